@@ -40,7 +40,7 @@ CV_TEXT = _lines(
     + " || ' | Celular: ' || " + _case(K, 3, "'+51 '", "'+51'", "''")
     + " || " + _s(f"900000000 + ({K} * 15485863) % 99999999")
     + " || ' | Fijo: ' || " + _s(f"1000000 + ({K} * 31) % 9000000")
-    + f" || ' | Correo: josé.' || {_s(K)} || '@mi-correo.com'",
+    + f" || ' | Correo: josé.' || {_s(K)} || '@mi-correo' || " + _case(K, 2, "'.com'", "'.red-sur.pe'"),
     "'Av. Las Flores 12, Arequipa'",
     "''",
     "'PERFIL PROFESIONAL'",
@@ -119,6 +119,23 @@ REPLY_BODY = _case(
     _reply(extra=',\"extra\":[1,2]'),
 )
 
+# Replies about job descriptions: valid, missing titles, odd years, broken lists.
+JD_REPLY_BODY = (
+    "'{\"jd_id\":\"jd-' || " + _s("p_partkey") + " || '\",' || "
+    + _case("p_partkey", 4, "'\"titulo_puesto\":\"' || p_name || '\",'", "'\"titulo_puesto\":7,'", "''",
+            "'\"titulo_puesto\":\"\",'")
+    + " || '\"nivel_requerido\":\"' || "
+    + _case("p_size", 3, "'lead'", "'junior'", "'experto'")
+    + " || '\",\"anos_experiencia_min\":' || "
+    + _case("p_size", 5, "'-2'", "'\" 1_0.5 \"'", "'true'", "'\"dos\"'", "'3.25'")
+    + " || ',\"skills_requeridos\":[\"sql\"],\"skills_deseables\":' || "
+    + _case("p_partkey", 6, "'[null]'", "'null'", "'[]'", "'[\"a\",null]'", "'[\"x\"]'", "'\"x\"'")
+    + " || ',\"industria_preferida\":[],\"nivel_educacion_minimo\":\"' || p_type || '\",\"idiomas_requeridos\":[' || "
+    + _case("p_partkey", 7, "'{\"idioma\":\"Inglés\"}'", "'{\"idioma\":\"Inglés\",\"nivel\":2}'",
+            "'{\"idioma\":\"Inglés\",\"nivel\":\"B2\",\"nota\":1}'", "''")
+    + " || '],\"descripcion_rol\":\"rol\"}'"
+)
+
 # The id a reply repeats: its own, a wrong one, or that of no known document.
 REPLY_DOC = f"CASE WHEN {K} % 11 = 0 THEN -1 - {K} ELSE {K} END"
 REPLY_ECHO = f"CASE WHEN {K} % 5 = 0 THEN 'otro' ELSE 'rid-' || {_s(K)} END"
