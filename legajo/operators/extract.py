@@ -53,10 +53,15 @@ def with_sections(df: DataFrame, text: str = "text", out: str = "sections") -> D
 
 def tag_sections(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(``doc``, pos, line, section): each line with the last heading seen."""
-    cut = with_sections(df.select(doc, text), text)
-    parts = cut.select(doc, F.explode("sections").alias("s"))
+    cut = with_sections(df.select(doc, text).filter(F.col(text).isNotNull()), text)
+    # There is always a line, so "outer" changes no row. It keeps Spark from
+    # adding a not-empty filter, which would repeat all of the above.
+    parts = cut.select(doc, F.explode_outer("sections").alias("s"))
     lines = parts.select(
-        doc, F.col("s.start").alias("start"), F.col("s.section").alias("section"), F.posexplode("s.lines")
+        doc,
+        F.col("s.start").alias("start"),
+        F.col("s.section").alias("section"),
+        F.posexplode_outer("s.lines"),
     )
     return lines.select(
         doc, (F.col("start") + F.col("pos")).cast("long").alias("pos"), F.col("col").alias("line"), "section"
@@ -103,7 +108,8 @@ def extract_terms_table(
     lexicon = lexicon.select(F.col("term"), F.col("category"))
     work = df.select(doc, X.words(F.col(text)).alias("_words"))
     runs = F.concat(*[X.grams(F.col("_words"), n) for n in range(1, max_words + 1)])
-    terms = work.select(doc, F.explode(F.array_distinct(runs)).alias("term"))
+    # "Outer" for the plan's sake, see tag_sections; the join drops the nulls.
+    terms = work.select(doc, F.explode_outer(F.array_distinct(runs)).alias("term"))
     if lexicon.limit(broadcast_rows + 1).count() <= broadcast_rows:
         hits = terms.join(F.broadcast(lexicon), "term")
     else:

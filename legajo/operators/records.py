@@ -13,6 +13,7 @@ from legajo.functions import text as T
 from legajo.functions.patterns import SPACE
 from legajo.operators.anonymize import anonymize
 from legajo.operators.extract import summary, with_sections
+from legajo.operators.validate import keep_together
 from legajo.functions.contract import CV_RULES, JD_RULES, FieldRule, record_schema
 
 
@@ -29,7 +30,8 @@ def _checked(df: DataFrame, rules: Sequence[FieldRule], text: str) -> DataFrame:
         if rule.minimum is not None:
             wrong = wrong | (value < rule.minimum)
         bad.append(F.when(wrong, rule.name))
-    return df.withColumn("errors", F.array_compact(F.array(*bad)))
+    checked = df.withColumn("errors", F.array_compact(F.array(*bad)))
+    return keep_together(checked, "record", "errors")
 
 
 def build_cv_records(df: DataFrame, salt: str, doc: str = "doc_id", text: str = "text") -> DataFrame:

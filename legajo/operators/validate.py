@@ -84,44 +84,61 @@ def _valid(variant: Column, rule: FieldRule) -> Column:
     return ok | kind.isNull() if rule.optional else ok
 
 
+def _is_object(variant: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(variant).startswith("OBJECT<"), F.lit(False))
+
+
+def _record(variant: Column, rules: Sequence[FieldRule]) -> Column:
+    return F.struct(*[_value(variant, r).alias(r.name) for r in rules])
+
+
+def keep_together(df: DataFrame, *columns: str) -> DataFrame:
+    """Compute the columns once per row, whatever is filtered on later.
+
+    Spark moves a filter below the projection it reads and repeats the column's
+    whole expression in it: here, one JSON parse per reference. Filters do not
+    move below a generator, so the columns pass through a one-row ``inline``.
+    """
+    others = [c for c in df.columns if c not in columns]
+    return df.select(*others, F.inline(F.array(F.struct(*columns))))
+
+
 def parse_response(df: DataFrame, rules: Sequence[FieldRule], body: str = "body") -> DataFrame:
-    """Add ``record``, the typed reply, and ``is_json``.
+    """Add ``is_json`` and ``record``, the typed reply.
 
     Unknown keys are ignored. Values that do not fit come out as null: see
     ``validate_response`` for why. Text that is not a JSON object gives a null
     record and ``is_json`` false.
     """
     variant = F.col("_v")
-    fields = [_value(variant, r).alias(r.name) for r in rules]
-    is_object = F.coalesce(F.schema_of_variant(variant).startswith("OBJECT<"), F.lit(False))
-    return (
+    parsed = (
         df.withColumn("_v", F.try_parse_json(F.col(body)))
-        .withColumn("is_json", is_object)
-        .withColumn("record", F.when(F.col("is_json"), F.struct(*fields)))
+        .withColumn("is_json", _is_object(variant))
+        .withColumn("record", F.when(F.col("is_json"), _record(variant, rules)))
         .drop("_v")
     )
+    return keep_together(parsed, "is_json", "record")
 
 
 def validate_response(df: DataFrame, rules: Sequence[FieldRule], body: str = "body") -> DataFrame:
-    """``parse_response`` plus ``errors``: the failing fields, in record order.
+    """Add ``is_json``, ``errors`` and ``record``, the typed reply if it has none.
 
-    ``["json"]`` stands for text that is not a JSON object. Strings are strict;
-    a number may come as an integer, a numeric string or a boolean.
+    ``errors`` names the failing fields in record order; ``["json"]`` stands for
+    text that is not a JSON object. Strings are strict; a number may come as an
+    integer, a numeric string or a boolean.
     """
     variant = F.col("_v")
     failing = F.array_compact(
         F.array(*[F.when(~_valid(variant, r), F.lit(r.name)) for r in rules])
     )
-    errors = F.when(F.col("is_json"), failing).otherwise(F.array(F.lit("json")))
-    fields = [_value(variant, r).alias(r.name) for r in rules]
-    is_object = F.coalesce(F.schema_of_variant(variant).startswith("OBJECT<"), F.lit(False))
-    return (
+    checked = (
         df.withColumn("_v", F.try_parse_json(F.col(body)))
-        .withColumn("is_json", is_object)
-        .withColumn("errors", errors)
-        .withColumn("record", F.when(F.size("errors") == 0, F.struct(*fields)))
+        .withColumn("is_json", _is_object(variant))
+        .withColumn("errors", F.when(F.col("is_json"), failing).otherwise(F.array(F.lit("json"))))
+        .withColumn("record", F.when(F.size("errors") == 0, _record(variant, rules)))
         .drop("_v")
     )
+    return keep_together(checked, "is_json", "errors", "record")
 
 
 def validate_cv(df: DataFrame, body: str = "body") -> DataFrame:
@@ -132,12 +149,17 @@ def validate_jd(df: DataFrame, body: str = "body") -> DataFrame:
     return validate_response(df, JD_RULES, body)
 
 
-def split_quarantine(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_quarantine(validated: DataFrame, store: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(good, quarantined): each row of ``validated`` is in exactly one.
 
-    Both are filters over the same plan. Where both are stored, write
-    ``validated`` once, partitioned by whether ``errors`` is empty, instead of
-    computing it twice.
+    With ``store``, a folder that does not exist yet, the rows are checked and
+    written once, by side, and both results read from there. Without it both
+    are filters, and using both checks everything twice.
     """
-    good = F.size("errors") == 0
-    return validated.filter(good), validated.filter(~good)
+    sides = validated.withColumn(
+        "side", F.when(F.size("errors") == 0, "good").otherwise("quarantine")
+    )
+    if store is not None:
+        sides.write.partitionBy("side").parquet(store)
+        sides = validated.sparkSession.read.schema(sides.schema).parquet(store)
+    return tuple(sides.filter(F.col("side") == s).drop("side") for s in ("good", "quarantine"))

@@ -317,7 +317,8 @@ def validate_jd(spark, sf_dir):
 
 @query
 def split_quarantine(spark, sf_dir):
-    good, bad = validate.split_quarantine(validate.validate_cv(C.replies(spark, sf_dir)))
+    checked = validate.validate_cv(C.replies(spark, sf_dir))
+    good, bad = validate.split_quarantine(checked, scratch_path(spark, "sides"))
     good = good.select("doc_id", F.lit("good").alias("side"), F.lit(None).cast("string").alias("raw"), F.lit("").alias("errors"))
     bad = bad.select("doc_id", F.lit("quarantine").alias("side"), F.col("body").alias("raw"), _joined(F.col("errors")).alias("errors"))
     return good.unionByName(bad)
