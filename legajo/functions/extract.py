@@ -38,13 +38,29 @@ def grams(tokens: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + k) for k in range(n)]))
 
 
-def found_terms(tokens: Column, terms: Sequence[str]) -> Column:
-    """The terms that occur among the words, each once, sorted."""
-    hits = []
-    for n in sorted({len(t.split()) for t in terms}):
-        listed = sorted(t for t in terms if len(t.split()) == n)
-        hits.append(F.array_intersect(F.array(*map(F.lit, listed)), grams(tokens, n)))
-    return F.array_sort(F.concat(*hits)) if hits else F.array().cast("array<string>")
+def term_hits(tokens: Column, terms: Sequence[str]) -> Column:
+    """The one-word terms that occur among the words, each once."""
+    return F.array_intersect(F.array(*[F.lit(t) for t in sorted(terms) if " " not in t]), tokens)
+
+
+def spaced(tokens: Column) -> Column:
+    """The words in one string, a blank on either side of each."""
+    return F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
+
+
+def found_terms(hits: Column, words_spaced: Column, terms: Sequence[str]) -> Column:
+    """The terms that occur in a text, each once, sorted.
+
+    ``hits`` are its words, or enough of them: the result of ``term_hits``.
+    Terms of several words are looked for in ``spaced`` words, which costs less
+    than building every run of words.
+    """
+    several = [t for t in sorted(terms) if " " in t]
+    found = term_hits(hits, terms)
+    if not several:
+        return found
+    runs = [F.when(F.contains(words_spaced, F.lit(f" {t} ")), t) for t in several]
+    return F.array_sort(F.concat(found, F.array_compact(F.array(*runs))))
 
 
 def years_required(text: Column) -> Column:

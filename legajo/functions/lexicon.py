@@ -66,4 +66,4 @@ TOP_LEVEL = "lead"
 NO_DEGREE = "no especificado"
 
 # A larger lexicon is joined as a table instead of being written into the plan.
-MAX_LITERAL_TERMS = 2000
+MAX_LITERAL_TERMS = 500

@@ -10,6 +10,10 @@ from legajo.functions import redact as R
 _STEP = "_masking"
 
 
+# A prefixed phone may go on in the next line; all else ends with its line.
+_ACROSS = "+51\n"
+
+
 def _masked_email(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("@")), R.redact_email(text)).otherwise(text)
 
@@ -18,6 +22,28 @@ def _if_digits(text: Column, then: Column) -> Column:
     return F.when(F.rlike(text, F.lit(R.DIGIT_RUN)), then).otherwise(text)
 
 
+def _masked_numbers(text: Column) -> Column:
+    return R.redact_phone(R.redact_ruc(R.redact_dni(text)))
+
+
+def _mask_items(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``, the text without e-mails, ids and phones.
+
+    A narrow job. The regexes are the cost, so they run on the lines with an
+    ``@`` or a run of digits only; a text with neither is not split at all.
+    """
+    raw = F.col(text)
+    suspect = F.contains(raw, F.lit("@")) | F.rlike(raw, F.lit(R.DIGIT_RUN))
+    no_emails = F.transform(F.split(raw, "\n"), _masked_email)
+    lines = F.transform(no_emails, lambda line: _if_digits(line, _masked_numbers(line)))
+    masked = (
+        F.when(F.contains(raw, F.lit(_ACROSS)), _masked_numbers(R.redact_email(raw)))
+        .when(suspect, F.array_join(lines, "\n"))
+        .otherwise(raw)
+    )
+    return df.withColumn(out, masked)
+
+
 def anonymize(
     df: DataFrame,
     text: str = "text",
@@ -27,55 +53,52 @@ def anonymize(
 ) -> DataFrame:
     """Mask e-mail, DNI, RUC, phone and name line, in that order, into ``out``.
 
-    A narrow job. Each step is a projection of its own because it reads its
-    input more than once; nested in one expression the regexes would multiply.
-    Texts without an ``@`` or a run of digits skip the regexes concerned.
+    The name step is a projection of its own: it reads its input more than once
+    and would repeat all regexes if nested.
     """
-    step = F.col(_STEP)
-    numbers = R.redact_phone(R.redact_ruc(R.redact_dni(step)))
-    return (
-        df.withColumn(_STEP, _masked_email(F.col(text)))
-        .withColumn(_STEP, _if_digits(step, numbers))
-        .withColumn(out, R.mask_name_line(step, skip_blank_lead))
-        .drop(_STEP)
-    )
+    named = R.mask_name_line(F.col(_STEP), skip_blank_lead)
+    return _mask_items(df, text, _STEP).withColumn(out, named).drop(_STEP)
 
 
-# What the audit counts, in the order of masking.
-_STEPS = (
-    ("emails", R.EMAIL, R.redact_email),
-    ("dnis", R.DNI, R.redact_dni),
-    ("rucs", R.RUC, R.redact_ruc),
-    ("phones", R.PHONE, R.redact_phone),
-)
+# The tag that stands for each kind, and what a second look searches for.
+_KINDS = {
+    "emails": (R.EMAIL_TAG, R.EMAIL),
+    "dnis": (R.DNI_TAG, R.DNI),
+    "rucs": (R.RUC_TAG, R.RUC),
+    "phones": (R.PHONE_TAG, R.PHONE),
+}
 
 
-def _matches(text: Column, kind: str, pattern: str) -> Column:
-    n = F.regexp_count(text, F.lit(pattern))
-    guard = F.contains(text, F.lit("@")) if kind == "emails" else F.rlike(text, F.lit(R.DIGIT_RUN))
-    return F.when(guard, n).otherwise(0).cast("long")
+def _times(text: Column, tag: str) -> Column:
+    rest = F.replace(text, F.lit(tag), F.lit(""))
+    return ((F.length(text) - F.length(rest)) / len(tag)).cast("long")
+
+
+def _left_over(text: Column) -> Column:
+    suspect = F.contains(text, F.lit("@")) | F.rlike(text, F.lit(R.DIGIT_RUN))
+    found = sum((F.regexp_count(text, F.lit(p)) for _, p in _KINDS.values()), F.lit(0))
+    return F.when(suspect, found).otherwise(0).cast("long")
 
 
 def pii_audit(df: DataFrame, by: list[str], text: str = "text") -> DataFrame:
     """Items masked of each kind per group, and what a second look still finds.
 
-    Each kind is counted on the text left by the kinds before it, as masking
-    sees it. Counts are summed map-side, so a group of any size shuffles as one
-    row per task.
+    Tags that masking adds are counted, so no regex runs twice: a tag already in
+    the text is counted before and after alike, as no match can hold one. The
+    sums combine map-side, so a group of any size shuffles as one row per task.
     """
-    work = df.select(*by, F.col(text).alias(_STEP))
-    for kind, pattern, redact in _STEPS:
-        step = F.col(_STEP)
-        guarded = (
-            _masked_email(step) if kind == "emails" else _if_digits(step, redact(step))
-        )
-        work = work.withColumn(kind, _matches(step, kind, pattern)).withColumn(_STEP, guarded)
-    work = work.withColumn("names", R.has_name_line(F.col(_STEP)).cast("long"))
-    work = work.withColumn(_STEP, R.mask_name_line(F.col(_STEP)))
-    left = sum((_matches(F.col(_STEP), k, p) for k, p, _ in _STEPS), F.lit(0).cast("long"))
-    totals = [F.sum(k).alias(k) for k in ("emails", "dnis", "rucs", "phones", "names")]
-    return (
-        work.withColumn("left_over", left)
-        .groupBy(*by)
-        .agg(F.count("*").alias("docs"), *totals, F.sum("left_over").alias("left_over"))
+    work = _mask_items(df.select(*by, F.col(text).alias("_raw")), "_raw", _STEP)
+    added = {
+        kind: _times(F.col(_STEP), tag) - _times(F.col("_raw"), tag)
+        for kind, (tag, _) in _KINDS.items()
+    }
+    counted = work.select(
+        *by,
+        *[n.alias(kind) for kind, n in added.items()],
+        R.has_name_line(F.col(_STEP)).cast("long").alias("names"),
+        R.mask_name_line(F.col(_STEP)).alias("_final"),
+    )
+    sums = [F.sum(kind).alias(kind) for kind in (*_KINDS, "names")]
+    return counted.groupBy(*by).agg(
+        F.count("*").alias("docs"), *sums, F.sum(_left_over(F.col("_final"))).alias("left_over")
     )

@@ -68,6 +68,17 @@ def tag_sections(df: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
     )
 
 
+def with_words(df: DataFrame, text: str, terms: Sequence[str], prefix: str = "") -> DataFrame:
+    """Add ``_hits`` and ``_spaced``, what ``found_terms`` needs for ``terms``."""
+    hits, spaced, words = f"{prefix}_hits", f"{prefix}_spaced", f"{prefix}_words"
+    return (
+        df.withColumn(words, X.words(F.col(text)))
+        .withColumn(hits, X.term_hits(F.col(words), terms))
+        .withColumn(spaced, X.spaced(F.col(words)))
+        .drop(words)
+    )
+
+
 def extract_terms(
     df: DataFrame,
     lexicon: Mapping[str, str] = L.TERMS,
@@ -77,12 +88,14 @@ def extract_terms(
     """(``doc``, one sorted array per category of the lexicon's terms found)."""
     if len(lexicon) > L.MAX_LITERAL_TERMS:
         raise ValueError("use extract_terms_table for a lexicon of this size")
-    work = df.select(doc, X.words(F.col(text)).alias("_words"))
+    work = with_words(df.select(doc, text), text, list(lexicon))
     categories = list(dict.fromkeys(lexicon.values()))
     return work.select(
         doc,
         *[
-            X.found_terms(F.col("_words"), [t for t, c in lexicon.items() if c == cat]).alias(cat)
+            X.found_terms(
+                F.col("_hits"), F.col("_spaced"), [t for t, c in lexicon.items() if c == cat]
+            ).alias(cat)
             for cat in categories
         ],
     )
@@ -174,18 +187,14 @@ def split_requirements(df: DataFrame, doc: str = "doc_id", text: str = "text") -
             for part, name in (("mandatory", "must_items"), ("desirable", "nice_items"))
         ],
     )
-    worded = items.select(
-        "*",
-        X.words(F.array_join("must_items", " | ")).alias("_must"),
-        X.words(F.array_join("nice_items", " | ")).alias("_nice"),
-    )
-    return worded.select(
-        doc,
-        "must_items",
-        "nice_items",
-        X.found_terms(F.col("_must"), L.TECHNICAL).alias("must_skills"),
-        X.found_terms(F.col("_nice"), L.TECHNICAL).alias("nice_skills"),
-    )
+    for kind in ("must", "nice"):
+        items = items.withColumn(f"_{kind}", F.array_join(f"{kind}_items", " | "))
+        items = with_words(items, f"_{kind}", L.TECHNICAL, kind)
+    skills = [
+        X.found_terms(F.col(f"{k}_hits"), F.col(f"{k}_spaced"), L.TECHNICAL).alias(f"{k}_skills")
+        for k in ("must", "nice")
+    ]
+    return items.select(doc, "must_items", "nice_items", *skills)
 
 
 def extract_job_title(df: DataFrame, doc: str = "doc_id", text: str = "text", given: str = "title") -> DataFrame:

@@ -12,11 +12,15 @@ from legajo.functions import lexicon as L
 from legajo.functions import text as T
 from legajo.functions.patterns import SPACE
 from legajo.operators.anonymize import anonymize
-from legajo.operators.extract import summary, with_sections
+from legajo.operators.extract import summary, with_sections, with_words
 from legajo.operators.validate import keep_together
 from legajo.functions.contract import CV_RULES, JD_RULES, FieldRule, record_schema
 
 
+# What is looked for among the words of a document.
+_LISTED = (*L.TERMS, *L.DEGREE_WORDS)
+
+
 def _checked(df: DataFrame, rules: Sequence[FieldRule], text: str) -> DataFrame:
     """Add ``errors`` to typed ``record`` rows; blank documents fail as such."""
     bad = [
@@ -40,23 +44,24 @@ def build_cv_records(df: DataFrame, salt: str, doc: str = "doc_id", text: str =
     One narrow job from raw text to checked record: no shuffle at any size. The
     whole text is read; the cut belongs to requests only.
     """
-    masked, found = F.col("text_anon"), F.col("_words")
+    masked, hits = F.col("text_anon"), F.col("_hits")
     part = lambda name: X.section_lines(F.col("sections"), L.SECTIONS[name])
+    terms = lambda known: X.found_terms(hits, F.col("_spaced"), known)
     years = F.coalesce(X.years_required(masked), F.lit(0.0))
     cut = with_sections(anonymize(df.select(doc, text), text), "text_anon")
-    read = cut.withColumn("_words", X.words(masked)).withColumn("_years", years)
+    read = with_words(cut, "text_anon", _LISTED).withColumn("_years", years)
     read = read.withColumn("_profile", part("profile"))
     record = F.struct(
         T.record_id(F.col(doc), salt).alias("candidato_id"),
         X.infer_level(F.col("_years")).alias("nivel_experiencia"),
         F.col("_years").alias("anos_experiencia"),
-        X.found_terms(found, L.TECHNICAL).alias("skills_tecnicos"),
-        X.found_terms(found, L.SOFT).alias("skills_blandos"),
-        X.found_terms(found, L.INDUSTRIES).alias("industrias"),
+        terms(L.TECHNICAL).alias("skills_tecnicos"),
+        terms(L.SOFT).alias("skills_blandos"),
+        terms(L.INDUSTRIES).alias("industrias"),
         X.dated_titles(part("experience")).alias("cargos_anteriores"),
-        X.degree(found, highest=True).alias("nivel_educacion"),
+        X.degree(hits, highest=True).alias("nivel_educacion"),
         X.dated_titles(part("education")).alias("carreras"),
-        X.found_terms(found, L.CERTIFICATES).alias("certificaciones"),
+        terms(L.CERTIFICATES).alias("certificaciones"),
         X.language_pairs(part("languages")).alias("idiomas"),
         summary(masked, F.col("_profile")).alias("resumen_perfil"),
     )
@@ -70,24 +75,25 @@ def build_jd_records(
 
     ``title`` holds the title given for the document.
     """
-    raw, found = F.col(text), F.col("_words")
+    raw, hits = F.col(text), F.col("_hits")
     part = lambda name: X.section_lines(F.col("sections"), L.SECTIONS[name])
+    terms = lambda known, of="": X.found_terms(F.col(f"{of}_hits"), F.col(f"{of}_spaced"), known)
     years = F.coalesce(X.years_required(raw), F.lit(0.0))
     read = with_sections(df.select(doc, text, title), text)
-    read = read.withColumn("_words", X.words(raw)).withColumn("_years", years)
-    for name, section in (("_must", "mandatory"), ("_nice", "desirable")):
-        listed = F.array_join(X.bullets(part(section)), " | ")
-        read = read.withColumn(name, X.words(listed))
+    read = with_words(read, text, _LISTED).withColumn("_years", years)
+    for name, section in (("must", "mandatory"), ("nice", "desirable")):
+        read = read.withColumn(f"_{name}", F.array_join(X.bullets(part(section)), " | "))
+        read = with_words(read, f"_{name}", L.TECHNICAL, name)
     read = read.withColumn("_role", part("role"))
     record = F.struct(
         T.record_id(F.col(doc), salt).alias("jd_id"),
         T.title_fallback(X.labelled_title(raw), F.col(title)).alias("titulo_puesto"),
         X.infer_level(F.col("_years")).alias("nivel_requerido"),
         F.col("_years").alias("anos_experiencia_min"),
-        X.found_terms(F.col("_must"), L.TECHNICAL).alias("skills_requeridos"),
-        X.found_terms(F.col("_nice"), L.TECHNICAL).alias("skills_deseables"),
-        X.found_terms(found, L.INDUSTRIES).alias("industria_preferida"),
-        F.coalesce(X.degree(found, highest=False), F.lit(L.NO_DEGREE)).alias("nivel_educacion_minimo"),
+        terms(L.TECHNICAL, "must").alias("skills_requeridos"),
+        terms(L.TECHNICAL, "nice").alias("skills_deseables"),
+        terms(L.INDUSTRIES).alias("industria_preferida"),
+        F.coalesce(X.degree(hits, highest=False), F.lit(L.NO_DEGREE)).alias("nivel_educacion_minimo"),
         X.language_mentions(raw).alias("idiomas_requeridos"),
         summary(raw, F.col("_role")).alias("descripcion_rol"),
     )

@@ -49,7 +49,7 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 @query
 def scan_documents(spark, sf_dir):
     folder = scratch_path(spark, "scan")
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    items = C.table(spark, sf_dir, "benchmark", "item_id", "text")
     sinks.write_documents_text(items, folder, "item_id", file_each=True)
     found = files.route_by_suffix(files.scan_documents(spark, folder, "*.[tT][xX][tT]"))
     return found.select(
