@@ -14,11 +14,17 @@ RUC_TAG = "[RUC_REDACTADO]"
 PHONE_TAG = "[TELEFONO_REDACTADO]"
 NAME_TAG = "[NOMBRE_REDACTADO]"
 
-# What counts as personal data. Possessive quantifiers are used
-# where the next literal is outside the repeated class, so nothing is re-scanned.
+# What counts as personal data.
+#
+# An address may start at any word boundary. All starts within one run of its
+# characters share what follows, so only the first can succeed: the first word
+# character of the run, or a sign right after the previous address. Trying no
+# other keeps long runs without an address linear. Signs before that word
+# character belong to the run but not to the address: group 1.
+_RUN = f"{WORD}.+-"
 EMAIL = (
-    rf"(?:{NOT_AFTER_WORD}(?=[{WORD}])|(?<=[{WORD}])(?=[.+-]))"
-    rf"[{WORD}.+-]++@[{WORD}-]++\.[{WORD}.]*[{WORD}]"
+    rf"((?<![{_RUN}])[.+-]*+(?=[{WORD}])|\G(?<=[{WORD}])(?=[.+-]))"
+    rf"[{_RUN}]++@[{WORD}-]++\.[{WORD}.]*[{WORD}]"
 )
 DNI = rf"{NOT_AFTER_WORD}\p{{Nd}}{{8}}{NOT_BEFORE_WORD}"
 RUC = rf"{NOT_AFTER_WORD}\p{{Nd}}{{11}}{NOT_BEFORE_WORD}"
@@ -37,7 +43,7 @@ DIGIT_RUN = r"\p{Nd}{7}"
 
 
 def redact_email(text: Column) -> Column:
-    return F.regexp_replace(text, EMAIL, EMAIL_TAG)
+    return F.regexp_replace(text, EMAIL, f"$1{EMAIL_TAG}")
 
 
 def redact_dni(text: Column) -> Column:

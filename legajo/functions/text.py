@@ -21,10 +21,13 @@ _TOKEN = rf"[{WORD}]+|[^{WORD}{SPACE}]"
 
 
 def _title_run(run: Column) -> Column:
-    head = F.upper(F.substring(run, 1, 1))
-    tail = F.lower(F.substr(run, F.lit(2)))
-    # One letter may have a two-letter capital, of which only the first stays.
-    return F.concat(F.substring(head, 1, 1), F.lower(F.substr(head, F.lit(2))), tail)
+    first = F.substring(run, 1, 1)
+    upper = F.upper(first)
+    # A letter may have a capital of several letters, of which only the first
+    # stays, or a title form of its own, which initcap knows.
+    several = F.concat(F.substring(upper, 1, 1), F.lower(F.substr(upper, F.lit(2))))
+    head = F.when(F.length(upper) > 1, several).otherwise(F.initcap(first))
+    return F.concat(head, F.lower(F.substr(run, F.lit(2))))
 
 
 def title_from_stem(stem: Column) -> Column:

@@ -38,8 +38,14 @@ def _checked(df: DataFrame, rules: Sequence[FieldRule], text: str) -> DataFrame:
     return keep_together(checked, "record", "errors")
 
 
-def build_cv_records(df: DataFrame, salt: str, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(``doc``, record, errors) for each CV, from its masked text.
+def build_cv_records(
+    df: DataFrame,
+    salt: str,
+    doc: str = "doc_id",
+    text: str = "text",
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """(``doc``, ``carry``, record, errors) for each CV, from its masked text.
 
     One narrow job from raw text to checked record: no shuffle at any size. The
     whole text is read; the cut belongs to requests only.
@@ -48,7 +54,7 @@ def build_cv_records(df: DataFrame, salt: str, doc: str = "doc_id", text: str =
     part = lambda name: X.section_lines(F.col("sections"), L.SECTIONS[name])
     terms = lambda known: X.found_terms(hits, F.col("_spaced"), known)
     years = F.coalesce(X.years_required(masked), F.lit(0.0))
-    cut = with_sections(anonymize(df.select(doc, text), text), "text_anon")
+    cut = with_sections(anonymize(df.select(doc, *carry, text), text), "text_anon")
     read = with_words(cut, "text_anon", _LISTED).withColumn("_years", years)
     read = read.withColumn("_profile", part("profile"))
     record = F.struct(
@@ -65,13 +71,20 @@ def build_cv_records(df: DataFrame, salt: str, doc: str = "doc_id", text: str =
         X.language_pairs(part("languages")).alias("idiomas"),
         summary(masked, F.col("_profile")).alias("resumen_perfil"),
     )
-    return _checked(read.withColumn("record", record), CV_RULES, text).select(doc, "record", "errors")
+    return _checked(read.withColumn("record", record), CV_RULES, text).select(
+        doc, *carry, "record", "errors"
+    )
 
 
 def build_jd_records(
-    df: DataFrame, salt: str, doc: str = "doc_id", text: str = "text", title: str = "title"
+    df: DataFrame,
+    salt: str,
+    doc: str = "doc_id",
+    text: str = "text",
+    title: str = "title",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(``doc``, record, errors) for each job description, read as it is.
+    """(``doc``, ``carry``, record, errors) for each job description, read as it is.
 
     ``title`` holds the title given for the document.
     """
@@ -79,7 +92,7 @@ def build_jd_records(
     part = lambda name: X.section_lines(F.col("sections"), L.SECTIONS[name])
     terms = lambda known, of="": X.found_terms(F.col(f"{of}_hits"), F.col(f"{of}_spaced"), known)
     years = F.coalesce(X.years_required(raw), F.lit(0.0))
-    read = with_sections(df.select(doc, text, title), text)
+    read = with_sections(df.select(doc, *carry, text, title), text)
     read = with_words(read, text, _LISTED).withColumn("_years", years)
     for name, section in (("must", "mandatory"), ("nice", "desirable")):
         read = read.withColumn(f"_{name}", F.array_join(X.bullets(part(section)), " | "))
@@ -97,7 +110,9 @@ def build_jd_records(
         X.language_mentions(raw).alias("idiomas_requeridos"),
         summary(raw, F.col("_role")).alias("descripcion_rol"),
     )
-    return _checked(read.withColumn("record", record), JD_RULES, text).select(doc, "record", "errors")
+    return _checked(read.withColumn("record", record), JD_RULES, text).select(
+        doc, *carry, "record", "errors"
+    )
 
 
 CV_SCHEMA = record_schema(CV_RULES)
