@@ -16,7 +16,7 @@ SOFT = (
     "proactividad", "trabajo en equipo",
 )
 INDUSTRIES = (
-    "banca", "educación", "fintech", "logística", "minería", "retail", "salud", "seguros",
+    "banca", "enseñanza", "fintech", "logística", "minería", "retail", "salud", "seguros",
 )
 CERTIFICATES = ("aws certified", "cisa", "cpa", "itil", "pmp", "scrum master")
 

@@ -125,7 +125,8 @@ def validate_response(df: DataFrame, rules: Sequence[FieldRule], body: str = "bo
 
     ``errors`` names the failing fields in record order; ``["json"]`` stands for
     text that is not a JSON object. Strings are strict; a number may come as an
-    integer, a numeric string or a boolean.
+    integer, a numeric string or a boolean. A repeated key counts as broken JSON
+    unless ``spark.sql.variant.allowDuplicateKeys`` is set, when the last stays.
     """
     variant = F.col("_v")
     failing = F.array_compact(
