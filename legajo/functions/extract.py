@@ -17,8 +17,8 @@ from legajo.functions.contract import DEGREES
 HEADING = r"^[\p{Lu} ]{4,}:?$"
 _WORDS = r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*[+#]*"
 # Written so that long runs of digits or blanks are read once.
-_YEARS = r"(?i)(?<![0-9])([0-9]++)\+?\s++años"
-_TITLE_LINE = r"(?im)^(?:posición|puesto|cargo|título)[ \t]*:[ \t]*(\S.*)$"
+_YEARS = r"(?iu)(?<![0-9])([0-9]++)\+?\s++años"
+_TITLE_LINE = r"(?imu)^(?:posición|puesto|cargo|título)[ \t]*:[ \t]*(\S.*)$"
 _DATED = r"^[0-9]{4}\s*-\s*[\p{L}\p{N}]+\s*:\s*(\S.*?)(?<=\S)\s++—\s+\S"
 _BULLET = r"^\s*[-•]\s*(.*\S)\s*$"
 _LANGUAGE_PAIR = (

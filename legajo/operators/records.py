@@ -21,20 +21,31 @@ from legajo.functions.contract import CV_RULES, JD_RULES, FieldRule, record_sche
 _LISTED = (*L.TERMS, *L.DEGREE_WORDS)
 
 
-def _checked(df: DataFrame, rules: Sequence[FieldRule], text: str) -> DataFrame:
-    """Add ``errors`` to typed ``record`` rows; blank documents fail as such."""
-    bad = [
-        F.when(F.coalesce(~F.rlike(F.col(text), F.lit(rf"[^{SPACE}]")), F.lit(True)), "text")
-    ]
+def _checked(
+    df: DataFrame, fields: dict[str, Column], rules: Sequence[FieldRule], keep: Sequence[str], text: str
+) -> DataFrame:
+    """(``keep``, record, errors); blank documents fail as such.
+
+    The fields are computed as columns of their own first, because the record
+    and the checks both read them.
+    """
+    blank = ~F.rlike(F.col(text), F.lit(rf"[^{SPACE}]"))
+    values = [fields[rule.name].alias(rule.name) for rule in rules]
+    flat = df.select(*[F.col(k).alias(f"_{k}") for k in keep], blank.alias("_blank"), *values)
+    bad = [F.when(F.coalesce(F.col("_blank"), F.lit(True)), "text")]
     for rule in rules:
-        value = F.col("record")[rule.name]
+        value = F.col(rule.name)
         wrong = value.isNull()
         if rule.values:
             wrong = wrong | ~value.isin(*rule.values)
         if rule.minimum is not None:
             wrong = wrong | (value < rule.minimum)
         bad.append(F.when(wrong, rule.name))
-    checked = df.withColumn("errors", F.array_compact(F.array(*bad)))
+    checked = flat.select(
+        *[F.col(f"_{k}").alias(k) for k in keep],
+        F.struct(*[F.col(rule.name) for rule in rules]).alias("record"),
+        F.array_compact(F.array(*bad)).alias("errors"),
+    )
     return keep_together(checked, "record", "errors")
 
 
@@ -57,23 +68,21 @@ def build_cv_records(
     cut = with_sections(anonymize(df.select(doc, *carry, text), text), "text_anon")
     read = with_words(cut, "text_anon", _LISTED).withColumn("_years", years)
     read = read.withColumn("_profile", part("profile"))
-    record = F.struct(
-        T.record_id(F.col(doc), salt).alias("candidato_id"),
-        X.infer_level(F.col("_years")).alias("nivel_experiencia"),
-        F.col("_years").alias("anos_experiencia"),
-        terms(L.TECHNICAL).alias("skills_tecnicos"),
-        terms(L.SOFT).alias("skills_blandos"),
-        terms(L.INDUSTRIES).alias("industrias"),
-        X.dated_titles(part("experience")).alias("cargos_anteriores"),
-        X.degree(hits, highest=True).alias("nivel_educacion"),
-        X.dated_titles(part("education")).alias("carreras"),
-        terms(L.CERTIFICATES).alias("certificaciones"),
-        X.language_pairs(part("languages")).alias("idiomas"),
-        summary(masked, F.col("_profile")).alias("resumen_perfil"),
-    )
-    return _checked(read.withColumn("record", record), CV_RULES, text).select(
-        doc, *carry, "record", "errors"
-    )
+    fields = {
+        "candidato_id": T.record_id(F.col(doc), salt),
+        "nivel_experiencia": X.infer_level(F.col("_years")),
+        "anos_experiencia": F.col("_years"),
+        "skills_tecnicos": terms(L.TECHNICAL),
+        "skills_blandos": terms(L.SOFT),
+        "industrias": terms(L.INDUSTRIES),
+        "cargos_anteriores": X.dated_titles(part("experience")),
+        "nivel_educacion": X.degree(hits, highest=True),
+        "carreras": X.dated_titles(part("education")),
+        "certificaciones": terms(L.CERTIFICATES),
+        "idiomas": X.language_pairs(part("languages")),
+        "resumen_perfil": summary(masked, F.col("_profile")),
+    }
+    return _checked(read, fields, CV_RULES, [doc, *carry], text)
 
 
 def build_jd_records(
@@ -98,21 +107,19 @@ def build_jd_records(
         read = read.withColumn(f"_{name}", F.array_join(X.bullets(part(section)), " | "))
         read = with_words(read, f"_{name}", L.TECHNICAL, name)
     read = read.withColumn("_role", part("role"))
-    record = F.struct(
-        T.record_id(F.col(doc), salt).alias("jd_id"),
-        T.title_fallback(X.labelled_title(raw), F.col(title)).alias("titulo_puesto"),
-        X.infer_level(F.col("_years")).alias("nivel_requerido"),
-        F.col("_years").alias("anos_experiencia_min"),
-        terms(L.TECHNICAL, "must").alias("skills_requeridos"),
-        terms(L.TECHNICAL, "nice").alias("skills_deseables"),
-        terms(L.INDUSTRIES).alias("industria_preferida"),
-        F.coalesce(X.degree(hits, highest=False), F.lit(L.NO_DEGREE)).alias("nivel_educacion_minimo"),
-        X.language_mentions(raw).alias("idiomas_requeridos"),
-        summary(raw, F.col("_role")).alias("descripcion_rol"),
-    )
-    return _checked(read.withColumn("record", record), JD_RULES, text).select(
-        doc, *carry, "record", "errors"
-    )
+    fields = {
+        "jd_id": T.record_id(F.col(doc), salt),
+        "titulo_puesto": T.title_fallback(X.labelled_title(raw), F.col(title)),
+        "nivel_requerido": X.infer_level(F.col("_years")),
+        "anos_experiencia_min": F.col("_years"),
+        "skills_requeridos": terms(L.TECHNICAL, "must"),
+        "skills_deseables": terms(L.TECHNICAL, "nice"),
+        "industria_preferida": terms(L.INDUSTRIES),
+        "nivel_educacion_minimo": F.coalesce(X.degree(hits, highest=False), F.lit(L.NO_DEGREE)),
+        "idiomas_requeridos": X.language_mentions(raw),
+        "descripcion_rol": summary(raw, F.col("_role")),
+    }
+    return _checked(read, fields, JD_RULES, [doc, *carry], text)
 
 
 CV_SCHEMA = record_schema(CV_RULES)

@@ -40,13 +40,15 @@ CV_TEXT = _lines(
     + " || ' | Celular: ' || " + _case(K, 3, "'+51 '", "'+51'", "''")
     + " || " + _s(f"900000000 + ({K} * 15485863) % 99999999")
     + " || ' | Fijo: ' || " + _s(f"1000000 + ({K} * 31) % 9000000")
-    + f" || ' | Correo: josé.' || {_s(K)} || '@mi-correo' || " + _case(K, 2, "'.com'", "'.red-sur.pe'"),
+    + f" || ' | Correo: josé.' || {_s(K)} || '@mi-correo' || " + _case(K, 2, "'.com'", "'.red-sur.pe'")
+    + " || CASE WHEN " + K + " % 25 = 0 THEN ' o ana@uno.pe' ELSE '' END",
     "'Av. Las Flores 12, Arequipa'",
     "''",
     "'PERFIL PROFESIONAL'",
     f"'Analista de datos con ' || {_s(f'{K} % 15')} || ' años de experiencia en Python y SQL. "
     "Proyectos para ' || " + _case(K, 3, "'banca'", "'retail'", "'minería'")
-    + " || '. Liderazgo y trabajo en equipo. Disponible para viajar.'",
+    + " || '. ' || " + _case(K, 2, "'Liderazgo y trabajo en equipo'", "'Empatía'")
+    + " || '. Disponible para viajar.'",
     "''",
     "'EXPERIENCIA LABORAL'",
     "'2021 - Actualidad: ' || " + _case(K, 2, "'Analista de Datos'", "'Ingeniera de Datos'")
@@ -100,12 +102,15 @@ _REPLY = (
     "'{{\"candidato_id\":\"id-' || {k} || '\",\"nivel_experiencia\":\"{level}\",\"anos_experiencia\":{years},"
     "\"skills_tecnicos\":[{skills}],\"skills_blandos\":[],\"industrias\":[\"banca\"],"
     "\"cargos_anteriores\":[\"Analista\"],\"nivel_educacion\":\"bachiller\",\"carreras\":[],"
-    "\"idiomas\":[{{\"idioma\":\"Inglés\",\"nivel\":\"B2\"}}],\"resumen_perfil\":\"Perfil ' || {k} || '\"{extra}}}'"
+    "\"idiomas\":[{{\"idioma\":\"Inglés\",\"nivel\":\"B' || {b} || '\"}}],\"resumen_perfil\":\"Perfil ' || {k} || '\"{extra}}}'"
 )
 
 
-def _reply(level="senior", years="4", skills='\"python\"', extra="") -> str:
-    return _REPLY.format(k=_s(K), level=level, years=years, skills=skills, extra=extra)
+_B = _s(f"{K} % 2 + 1")
+
+
+def _reply(level="senior", years="4", skills=f"\"python\",\"s' || {_B} || '\"", extra="") -> str:
+    return _REPLY.format(k=_s(K), b=_B, level=level, years=years, skills=skills, extra=extra)
 
 
 REPLY_BODY = _case(

@@ -365,7 +365,7 @@ FROM ({C.CV_SQL}) s LEFT JOIN found f ON s.doc_id = f.doc_id GROUP BY s.doc_id""
 ORACLE["extract_terms_table"] = f"""
 WITH {grams(C.JD_SQL)},
 lex AS (SELECT DISTINCT lower(p_type) AS term, 'rubro' AS category FROM part
-        UNION SELECT DISTINCT CAST(p_size % 9 AS VARCHAR) || ' años', 'plazo' FROM part),
+        UNION SELECT DISTINCT CAST(p_size % 9 AS VARCHAR) || '+ años', 'plazo' FROM part),
 found AS (SELECT doc_id, term, category FROM grams JOIN lex USING (term))
 SELECT s.doc_id, {hits('rubro')} AS rubro, {hits('plazo')} AS plazo
 FROM ({C.JD_SQL}) s LEFT JOIN found f ON s.doc_id = f.doc_id GROUP BY s.doc_id"""

@@ -347,7 +347,7 @@ def extract_terms(spark, sf_dir):
 def extract_terms_table(spark, sf_dir):
     brands = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_type", "p_size")
     names = brands.select(F.lower("p_type").alias("term"), F.lit("rubro").alias("category"))
-    sizes = brands.select(F.concat(F.col("p_size") % 9, F.lit(" años")).alias("term"), F.lit("plazo").alias("category"))
+    sizes = brands.select(F.concat(F.col("p_size") % 9, F.lit("+ años")).alias("term"), F.lit("plazo").alias("category"))
     lexicon = names.union(sizes).distinct()
     found = extract.extract_terms_table(C.jd_corpus(spark, sf_dir), lexicon, ["rubro", "plazo"], max_words=2)
     return found.select("doc_id", _joined(F.col("rubro")).alias("rubro"), _joined(F.col("plazo")).alias("plazo"))
