@@ -28,6 +28,11 @@ _LANGUAGE_PAIR = (
 _LEVELS = r"[abc][12]|nativo|básico|intermedio|avanzado"
 
 
+def listed(values: Sequence[str]) -> Column:
+    """The values as one array; Spark folds it to a constant."""
+    return F.split(F.lit("\n".join(values)), "\n")
+
+
 def words(text: Column) -> Column:
     """Lower-case words; ``c++``, ``c#`` and ``node.js`` are one word each."""
     return F.regexp_extract_all(F.lower(text), F.lit(_WORDS), F.lit(0))
@@ -44,7 +49,7 @@ def grams(tokens: Column, n: int) -> Column:
 
 def term_hits(tokens: Column, terms: Sequence[str]) -> Column:
     """The one-word terms that occur among the words, each once."""
-    return F.array_intersect(F.array(*[F.lit(t) for t in sorted(terms) if " " not in t]), tokens)
+    return F.array_intersect(listed([t for t in sorted(terms) if " " not in t]), tokens)
 
 
 def spaced(tokens: Column) -> Column:
@@ -87,10 +92,7 @@ def infer_level(
 def degree(tokens: Column, highest: bool = True, degrees: Mapping[str, str] = L.DEGREE_WORDS) -> Column:
     """The highest, or lowest, degree named; null when none is."""
     ranks = [
-        F.when(
-            F.arrays_overlap(tokens, F.array(*[F.lit(w) for w, d in degrees.items() if d == name])),
-            F.lit(name),
-        )
+        F.when(F.arrays_overlap(tokens, listed([w for w, d in degrees.items() if d == name])), name)
         for name in DEGREES
         if name in degrees.values()
     ]

@@ -107,9 +107,10 @@ _REPLY = (
 
 
 _B = _s(f"{K} % 2 + 1")
+_LEVEL = f"' || CASE WHEN {K} % 2 = 0 THEN 'senior' ELSE 'lead' END || '"
 
 
-def _reply(level="senior", years="4", skills=f"\"python\",\"s' || {_B} || '\"", extra="") -> str:
+def _reply(level=_LEVEL, years="4", skills=f"\"python\",\"s' || {_B} || '\"", extra="") -> str:
     return _REPLY.format(k=_s(K), b=_B, level=level, years=years, skills=skills, extra=extra)
 
 
