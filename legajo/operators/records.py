@@ -14,7 +14,7 @@ from legajo.functions.patterns import SPACE
 from legajo.operators.anonymize import anonymize
 from legajo.operators.extract import summary, with_sections, with_words
 from legajo.operators.validate import keep_together
-from legajo.functions.contract import CV_RULES, JD_RULES, FieldRule, record_schema
+from legajo.functions.contract import CV_RULES, JD_RULES, FieldRule
 
 
 # What is looked for among the words of a document.
@@ -120,7 +120,3 @@ def build_jd_records(
         "descripcion_rol": summary(raw, F.col("_role")),
     }
     return _checked(read, fields, JD_RULES, [doc, *carry], text)
-
-
-CV_SCHEMA = record_schema(CV_RULES)
-JD_SCHEMA = record_schema(JD_RULES)

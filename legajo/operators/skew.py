@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-SALTS = 64
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows; null counts as a key.
+    """(``key``, salts) of keys with more than ``hot_rows`` rows; null is a key too.
 
+    ``salts`` is how many parts of ``hot_rows`` rows such a key divides into.
     Counted with a map-side partial aggregate over the key column alone. There
-    are at most ``rows / hot_rows`` of them, which bounds the table's size.
+    are at most ``rows / hot_rows`` hot keys, which bounds the table's size, and
+    the salts add up to at most twice that.
     """
-    return df.groupBy(key).count().filter(F.col("count") > hot_rows).select(key)
+    counts = df.groupBy(key).count().filter(F.col("count") > hot_rows)
+    return counts.select(key, F.ceil(F.col("count") / hot_rows).cast("int").alias("salts"))
 
 
 def skew_join(
@@ -25,31 +27,26 @@ def skew_join(
     how: str = "left",
     *,
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup``, one row per key, with hot keys salted.
 
-    Fact rows of a hot key are dealt out over ``salts`` join keys and only the
-    lookup rows of those keys are repeated, so nothing is dropped and cold keys
-    pay nothing. Rows are dealt by position, which parts exact copies as well
-    and is the same when a task is run again, given that ``facts`` reads a table
-    and does not come out of a shuffle. ``how`` is ``left`` or ``inner``.
+    Fact rows of a hot key are dealt out over its salts and only the lookup rows
+    of those keys are repeated, once per salt, so nothing is dropped and cold
+    keys pay nothing. Rows are dealt by position, which parts exact copies as
+    well and is the same when a task is run again, given that ``facts`` reads a
+    table and does not come out of a shuffle. ``how`` is ``left`` or ``inner``.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     # Its size is bounded, see hot_keys.
     hot = F.broadcast(hot_keys(facts, key, hot_rows).withColumnRenamed(key, "_hot"))
 
-    def flagged(df: DataFrame) -> DataFrame:
-        return df.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").withColumn(
-            "_is_hot", F.col("_hot").isNotNull() | F.col(key).isNull()
-        )
-
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-    left = flagged(facts).withColumn("_salt", F.when(F.col("_is_hot"), salt).otherwise(0))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = flagged(lookup.filter(F.col(key).isNotNull())).withColumn(
-        "_salt", F.explode(F.when(F.col("_is_hot"), every).otherwise(F.array(F.lit(0))))
-    )
-    right = right.drop("_hot", "_is_hot")
-    return left.drop("_hot", "_is_hot").join(right, [key, "_salt"], how).drop("_salt")
+    def with_salts(df: DataFrame) -> DataFrame:
+        flagged = df.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
+        return flagged.withColumn("salts", F.coalesce(F.col("salts"), F.lit(1)))
+
+    dealt = F.pmod(F.monotonically_increasing_id(), F.col("salts")).cast("int")
+    left = with_salts(facts).withColumn("_salt", dealt).drop("salts")
+    right = with_salts(lookup.filter(F.col(key).isNotNull()))
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return left.join(right, [key, "_salt"], how).drop("_salt")

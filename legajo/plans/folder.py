@@ -19,8 +19,9 @@ def texts(scanned: DataFrame) -> DataFrame:
     bytes that are not UTF-8, ``docx`` or ``pdf`` for files their reader could
     not open or has no reader for.
     """
-    routed = files.decode_text(files.route_by_suffix(scanned))
     only = lambda kind: F.when(F.col("kind") == kind, F.col("content"))
+    routed = files.route_by_suffix(scanned).withColumn("_plain", only("text"))
+    routed = files.decode_text(routed, "_plain")
     routed = routed.withColumn("_docx", office.docx_paragraphs(only("docx")))
     pages = office.pdf_pages(only("pdf")) if office.has_pdf_reader() else F.lit(None).cast("array<string>")
     routed = routed.withColumn("_pdf", pages)

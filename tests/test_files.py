@@ -142,6 +142,31 @@ def test_docx_paragraphs(spark):
     assert got[2] == (None, None) and got[3] == (None, None)
 
 
+STUB = """
+class open:
+    def __init__(self, stream, filetype):
+        if not stream.startswith(b"%PDF"):
+            raise ValueError("no PDF")
+        self.pages = stream.decode().split("|")
+    def __enter__(self):
+        return [type("Page", (), {"get_text": lambda self, kind, t=t: t})() for t in self.pages]
+    def __exit__(self, *error):
+        return False
+"""
+
+
+def test_pdf_pages_with_a_stand_in_reader(spark, tmp_path, monkeypatch):
+    (tmp_path / "pymupdf.py").write_text(STUB)
+    monkeypatch.syspath_prepend(str(tmp_path))
+    spark.sparkContext.addPyFile(str(tmp_path / "pymupdf.py"))
+    assert office.has_pdf_reader()
+    rows = [(1, bytearray(b"%PDF a|b| ")), (2, bytearray(b"otro")), (3, None)]
+    df = spark.createDataFrame(rows, "i int, content binary")
+    pages = df.select("i", office.pdf_pages(F.col("content")).alias("p"))
+    got = {r["i"]: r["t"] for r in pages.select("i", office.join_pages(F.col("p")).alias("t")).collect()}
+    assert got == {1: "%PDF a\nb\n ", 2: None, 3: None}
+
+
 def cv_folder(tmp_path):
     cvs = tmp_path / "cvs"
     cvs.mkdir()
@@ -150,7 +175,7 @@ def cv_folder(tmp_path):
     (cvs / "vacio.txt").write_bytes(b"")
     (cvs / "luis.docx").write_bytes(docx([run(line) for line in CV.split("\n")]))
     (cvs / "roto.DOC").write_bytes(b"roto")
-    (cvs / "x.pdf").write_bytes(b"%PDF-1.4")
+    (cvs / "x.pdf").write_bytes(b"roto")
     return str(cvs)
 
 
