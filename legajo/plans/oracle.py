@@ -17,6 +17,7 @@ from legajo.plans.queries import PRICE_PER_1K, SALT
 
 ORACLE: dict[str, str] = {}
 
+# What counts as personal data, in DuckDB's regex dialect.
 EMAIL = r"\b[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[\p{L}\p{N}_.]+\b"
 DNI = r"\b[0-9]{8}\b"
 RUC = r"\b[0-9]{11}\b"

@@ -36,12 +36,19 @@ FRAGMENTS = [
 ]
 
 
+# What counts as personal data, in Python's regex dialect.
+KINDS = {
+    "emails": (r"\b[\w.+-]+@[\w-]+\.[\w.]+\b", E),
+    "dnis": (r"\b\d{8}\b", D),
+    "rucs": (r"\b\d{11}\b", U),
+    "phones": (r"\b(?:\+51\s?)?(?:9\d{8}|\d{7,8})\b", T),
+}
+
+
 def by_hand(text: str) -> str:
     """The rules with Python's own Unicode regexes."""
-    text = re.sub(r"\b[\w.+-]+@[\w-]+\.[\w.]+\b", E, text)
-    text = re.sub(r"\b\d{8}\b", D, text)
-    text = re.sub(r"\b\d{11}\b", U, text)
-    text = re.sub(r"\b(?:\+51\s?)?(?:9\d{8}|\d{7,8})\b", T, text)
+    for pattern, tag in KINDS.values():
+        text = re.sub(pattern, tag, text)
     head, mark, rest = text.partition("\n")
     return f"{N}{mark}{rest}" if len(head.split()) <= 5 else text
 
@@ -81,12 +88,8 @@ def test_fuzz_against_python(spark):
 
 def test_single_rules(column):
     texts = fuzz(3_000, seed=8)
-    for fn, pattern, tag in [
-        (R.redact_email, r"\b[\w.+-]+@[\w-]+\.[\w.]+\b", E),
-        (R.redact_dni, r"\b\d{8}\b", D),
-        (R.redact_ruc, r"\b\d{11}\b", U),
-        (R.redact_phone, r"\b(?:\+51\s?)?(?:9\d{8}|\d{7,8})\b", T),
-    ]:
+    rules = (R.redact_email, R.redact_dni, R.redact_ruc, R.redact_phone)
+    for fn, (pattern, tag) in zip(rules, KINDS.values()):
         assert column(fn, texts) == [re.sub(pattern, tag, t) for t in texts]
 
 
@@ -122,12 +125,7 @@ def test_audit_counts(spark, hot):
             if g != grp:
                 continue
             want["docs"] += 1
-            for key, pattern, tag in [
-                ("emails", r"\b[\w.+-]+@[\w-]+\.[\w.]+\b", E),
-                ("dnis", r"\b\d{8}\b", D),
-                ("rucs", r"\b\d{11}\b", U),
-                ("phones", r"\b(?:\+51\s?)?(?:9\d{8}|\d{7,8})\b", T),
-            ]:
+            for key, (pattern, tag) in KINDS.items():
                 t, n = re.subn(pattern, tag, t)
                 want[key] += n
             want["names"] += len(t.partition("\n")[0].split()) <= 5
