@@ -37,8 +37,8 @@ def resolve_attempts(
     The first success gives ``ok``, the first fatal error ``fatal``, a retryable
     error on the last attempt ``exhausted``; without any of them the request is
     ``pending``. ``wait_s`` is the sum of 2^i seconds after each failed attempt
-    i that is followed by another. The fatal test comes before the exhausted
-    one. A single aggregate that combines map-side: no rows of a request are
+    i that is followed by another; ``error_class`` and ``message`` are those of
+    the attempt that decided. The fatal test comes before the exhausted one. A single aggregate that combines map-side: no rows of a request are
     gathered.
     """
     if max_attempts < 1:
@@ -46,24 +46,34 @@ def resolve_attempts(
     keys = [request] if isinstance(request, str) else request
     n = F.col(attempt)
     verdict = classify_error(F.col(error_class), F.col(message))
-    steps = log.filter(n <= max_attempts).select(*keys, n.alias("_n"), verdict.alias("_verdict"))
+    steps = log.filter(n <= max_attempts).select(
+        *keys,
+        n.alias("_n"),
+        verdict.alias("_verdict"),
+        F.col(error_class).alias("error_class"),
+        F.col(message).alias("message"),
+    )
+    step = F.struct("_n", "_verdict", "error_class", "message")
     ends = (F.col("_verdict") != "retryable") | (F.col("_n") == max_attempts)
     grouped = steps.groupBy(*keys).agg(
-        F.min(F.when(ends, F.struct("_n", "_verdict"))).alias("_end"),
-        F.max("_n").alias("_last"),
+        F.min(F.when(ends, step)).alias("_end"), F.max(step).alias("_last")
     )
-    used = F.coalesce(F.col("_end._n"), F.col("_last"))
+    decided = F.coalesce(F.col("_end"), F.col("_last"))
+    done = grouped.select(*keys, F.col("_end").isNull().alias("_open"), decided.alias("_step"))
     outcome = (
-        F.when(F.col("_end").isNull(), "pending")
-        .when(F.col("_end._verdict") == "success", "ok")
-        .when(F.col("_end._verdict") == "fatal", "fatal")
+        F.when(F.col("_open"), "pending")
+        .when(F.col("_step._verdict") == "success", "ok")
+        .when(F.col("_step._verdict") == "fatal", "fatal")
         .otherwise("exhausted")
     )
     # 2 + 4 + ... + 2^k is 2^(k+1) - 2; the ending attempt is followed by no wait.
-    waits = F.when(F.col("_end").isNull(), used).otherwise(used - 1)
-    return grouped.select(
+    used = F.col("_step._n")
+    waits = F.when(F.col("_open"), used).otherwise(used - 1)
+    return done.select(
         *keys,
         outcome.alias("outcome"),
         used.cast("long").alias("attempts"),
         (F.pow(F.lit(2), waits + 1) - 2).cast("long").alias("wait_s"),
+        "_step.error_class",
+        "_step.message",
     )

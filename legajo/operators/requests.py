@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from legajo.functions import text as T
 from legajo.functions.contract import FieldRule
 
-# Reply limits and temperature of the two kinds of request.
+# Reply limits of the two kinds of request and of any other, and
+# the temperature.
 CV_MAX_TOKENS = 1200
 JD_MAX_TOKENS = 800
+MAX_TOKENS = 1500
 TEMPERATURE = 0.0
 
 # Wording is ours and can be replaced by the caller.
@@ -29,14 +31,23 @@ JD_SYSTEM = (
 JD_USER = "Título de referencia: %s\nAviso:\n%s\n\nUsa este jd_id: %s"
 
 
-def _request(df: DataFrame, doc: str, rid: Column, system: str, user: Column, max_tokens: int) -> DataFrame:
+def render_request(
+    df: DataFrame,
+    doc: str,
+    record_id: Column,
+    system: str,
+    user: Column,
+    max_tokens: int = MAX_TOKENS,
+    temperature: float = TEMPERATURE,
+) -> DataFrame:
+    """(``doc``, record_id, system, user, max_tokens, temperature) for any task."""
     return df.select(
         F.col(doc),
-        rid.alias("record_id"),
+        record_id.alias("record_id"),
         F.lit(system).alias("system"),
         user.alias("user"),
         F.lit(max_tokens).alias("max_tokens"),
-        F.lit(TEMPERATURE).alias("temperature"),
+        F.lit(temperature).alias("temperature"),
     )
 
 
@@ -54,7 +65,7 @@ def render_cv_request(
     """One request per masked CV; ``user`` takes the cut text and the id."""
     rid = T.record_id(F.col(doc), salt)
     filled = F.format_string(user, T.truncate_text(F.col(text), chars), rid)
-    return _request(df, doc, rid, system, filled, max_tokens)
+    return render_request(df, doc, rid, system, filled, max_tokens)
 
 
 def render_jd_request(
@@ -76,7 +87,7 @@ def render_jd_request(
     rid = T.record_id(F.col(doc), salt)
     hint = F.coalesce(F.col(title), F.lit(T.NO_TITLE))
     filled = F.format_string(user, hint, T.truncate_text(F.col(text), chars), rid)
-    return _request(df, doc, rid, system, filled, max_tokens)
+    return render_request(df, doc, rid, system, filled, max_tokens)
 
 
 def with_tokens(requests: DataFrame, out: str = "tokens") -> DataFrame:

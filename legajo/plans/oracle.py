@@ -217,17 +217,19 @@ FATAL = (
 VERDICT = f"CASE WHEN error_class IS NULL THEN 'success' WHEN {FATAL} THEN 'fatal' ELSE 'retryable' END"
 
 ORACLE["resolve_attempts"] = f"""
-WITH n AS (SELECT user_id, day, {VERDICT} AS verdict,
+WITH n AS (SELECT user_id, day, error_class, message, {VERDICT} AS verdict,
              row_number() OVER (PARTITION BY user_id, day ORDER BY ts, event_id) AS i FROM ({C.ATTEMPTS_SQL})),
 f AS (SELECT user_id, day, min(i) FILTER (WHERE verdict <> 'retryable') AS stop, least(max(i), 3) AS last
       FROM n WHERE i <= 3 GROUP BY user_id, day),
-e AS (SELECT f.*, n.verdict FROM f LEFT JOIN n ON f.user_id = n.user_id AND f.day = n.day AND f.stop = n.i)
+e AS (SELECT f.*, n.verdict, n.error_class, n.message
+      FROM f JOIN n ON f.user_id = n.user_id AND f.day = n.day AND coalesce(f.stop, f.last) = n.i)
 SELECT user_id, day,
        CASE WHEN verdict = 'success' THEN 'ok' WHEN verdict = 'fatal' THEN 'fatal'
             WHEN last = 3 THEN 'exhausted' ELSE 'pending' END AS outcome,
        CAST(coalesce(stop, last) AS BIGINT) AS attempts,
        CAST(CASE coalesce(stop - 1, CASE last WHEN 3 THEN 2 ELSE last END)
-            WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 6 END AS BIGINT) AS wait_s
+            WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 6 END AS BIGINT) AS wait_s,
+       error_class, message
 FROM e"""
 
 ORACLE["classify_error"] = f"SELECT event_id, {VERDICT} AS verdict FROM ({C.ATTEMPTS_SQL})"

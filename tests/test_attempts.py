@@ -16,13 +16,13 @@ def walk(calls, limit):
     waited = 0
     for i, (kind, message) in enumerate(calls[:limit], start=1):
         if kind is None:
-            return "ok", i, waited
+            return "ok", i, waited, kind, message
         if kind == "ValueError" or "api_key" in (message or "").lower():
-            return "fatal", i, waited
+            return "fatal", i, waited, kind, message
         if i == limit:
-            return "exhausted", i, waited
+            return "exhausted", i, waited, kind, message
         waited += 2**i
-    return "pending", min(len(calls), limit), waited
+    return "pending", i, waited, kind, message
 
 
 def log_rows(n, rng, weights=(1, 1, 4, 1, 4)):
@@ -48,14 +48,14 @@ def test_outcomes(spark, limit):
     rows += [(10_000, t, "Timeout", None) for t in range(900)]
     df = spark.createDataFrame(rows, "r long, t int, error_class string, message string").repartition(8)
     out = resolve_attempts(number_attempts(df, "r", ["t"], limit), "r", limit).collect()
-    assert {r["r"]: (r["outcome"], r["attempts"], r["wait_s"]) for r in out} == expected(rows, limit)
+    assert {r["r"]: tuple(r)[1:] for r in out} == expected(rows, limit)
 
 
 def test_a_fatal_last_attempt_is_fatal(spark):
     rows = [(1, 1, "Timeout", None), (1, 2, "Timeout", None), (1, 3, "ValueError", None)]
     df = spark.createDataFrame(rows, "r long, attempt int, error_class string, message string")
     out = resolve_attempts(df, "r").first()
-    assert (out["outcome"], out["attempts"], out["wait_s"]) == ("fatal", 3, 6)
+    assert tuple(out)[1:] == ("fatal", 3, 6, "ValueError", None)
 
 
 def test_no_attempts_allowed(spark):
