@@ -159,10 +159,10 @@ ERROR_MESSAGE = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The named table, or some of its columns, spread over the cores."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df.select(*columns) if columns else df)
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, even: bool = True) -> DataFrame:
+    """Columns of the named table, spread over the cores unless ``even`` is off."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    return spread(df) if even else df
 
 
 def cv_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,9 +171,9 @@ def cv_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.col(K).alias("doc_id"), F.expr(CV_TEXT).alias("text"))
 
 
-def jd_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def jd_corpus(spark: SparkSession, sf_dir: str, even: bool = True) -> DataFrame:
     """(doc_id, title, text)"""
-    df = table(spark, sf_dir, "part", P, "p_name", "p_brand", "p_type", "p_size")
+    df = table(spark, sf_dir, "part", P, "p_name", "p_brand", "p_type", "p_size", even=even)
     return df.select(F.col(P).alias("doc_id"), F.expr(JD_TITLE).alias("title"), F.expr(JD_TEXT).alias("text"))
 
 

@@ -247,7 +247,7 @@ def line_preview(spark, sf_dir):
 
 @query
 def correlate_responses(spark, sf_dir):
-    people = C.table(spark, sf_dir, "customer", "c_custkey")
+    people = C.table(spark, sf_dir, "customer", "c_custkey", even=False)
     asked = people.select(
         F.col("c_custkey").alias("doc_id"), F.concat(F.lit("rid-"), "c_custkey").alias("record_id")
     )
@@ -349,7 +349,8 @@ def extract_terms_table(spark, sf_dir):
     names = brands.select(F.lower("p_type").alias("term"), F.lit("rubro").alias("category"))
     sizes = brands.select(F.concat(F.col("p_size") % 9, F.lit("+ años")).alias("term"), F.lit("plazo").alias("category"))
     lexicon = names.union(sizes).distinct()
-    found = extract.extract_terms_table(C.jd_corpus(spark, sf_dir), lexicon, ["rubro", "plazo"], max_words=2)
+    jds = C.jd_corpus(spark, sf_dir, even=False)
+    found = extract.extract_terms_table(jds, lexicon, ["rubro", "plazo"], max_words=2)
     return found.select("doc_id", _joined(F.col("rubro")).alias("rubro"), _joined(F.col("plazo")).alias("plazo"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import urlsplit, urlunsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,23 @@ def with_name_parts(df: DataFrame, path: str = "path") -> DataFrame:
     )
 
 
+def _files_below(folder: str) -> list[tuple[str, int]]:
+    """(path as Spark writes it, length) of the files below a folder."""
+    from pyarrow import fs
+
+    parts = urlsplit(folder if ":" in folder else f"file:{folder}")
+    store, root = fs.FileSystem.from_uri(
+        urlunsplit(parts._replace(scheme="s3")) if parts.scheme == "s3a" else urlunsplit(parts)
+    )
+    if parts.scheme == "file":
+        head = "file:"
+    else:
+        # Object stores count the bucket as part of the path.
+        head = f"{parts.scheme}://{parts.netloc if root.startswith('/') else ''}"
+    found = store.get_file_info(fs.FileSelector(root, recursive=True))
+    return [(f"{head}{f.path}", f.size) for f in found if f.type == fs.FileType.File]
+
+
 def list_folder(spark: SparkSession, folders: str | list[str]) -> DataFrame:
     """(path, length) of every file below the folders, listed by tasks.
 
@@ -43,16 +61,9 @@ def list_folder(spark: SparkSession, folders: str | list[str]) -> DataFrame:
     folders = [folders] if isinstance(folders, str) else folders
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         for batch in batches:
             for folder in batch["folder"]:
-                uri = folder if "://" in folder or folder.startswith(("file:", "/")) else f"/{folder}"
-                store, root = fs.FileSystem.from_uri(uri)
-                scheme = uri.split("/", 1)[0] if ":" in uri else "file:"
-                files = store.get_file_info(fs.FileSelector(root, recursive=True))
-                rows = [(f"{scheme}{f.path}", f.size) for f in files if f.type == fs.FileType.File]
-                yield pd.DataFrame(rows, columns=["path", "length"])
+                yield pd.DataFrame(_files_below(folder), columns=["path", "length"])
 
     names = spark.createDataFrame([(f,) for f in folders], "folder string")
     return names.repartition(len(folders)).mapInPandas(walk, "path string, length long")

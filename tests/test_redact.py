@@ -4,7 +4,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from legajo.functions import redact as R
 from legajo.operators.anonymize import anonymize, pii_audit
