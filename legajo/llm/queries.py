@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from legajo.llm import quality
+from legajo.llm import bpe, minhash, quality
 from legajo.llm.scratch import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +19,19 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs, path, pattern).select("doc_id", "token_ids")
+    return bpe.digests(ids, "doc_id", path, pattern)
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
