@@ -8,8 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legajo.llm import bpe, embeddings, minhash, quality, toxicity
+from legajo.llm import bpe, embeddings, minhash, quality, toxicity, urls, warc
 from legajo.llm.scratch import saved, table
+from legajo.session import scratch_path
+
+#: The rules of the url query, and words in the names of hosts that it lists.
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+LISTED_HOSTS = r"(^|[.-])(casino|pills|bets|poker|loans)([.-]|$)"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -19,11 +26,27 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = urls.judged(pages, "url", URL_RULES, F.col("host").rlike(LISTED_HOSTS))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.archive(table(spark, sf_dir, "pages"), folder)
+    heads = warc.read_headers(spark, folder)
+    rows = heads.join(warc.read_payloads(spark, folder).drop("payload"), "address")
+    return rows.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
