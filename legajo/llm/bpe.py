@@ -131,17 +131,15 @@ def decode(ids: bytes, path: str, pattern: str) -> bytes:
     return encoder(path, pattern).decode_bytes(memoryview(ids).cast("I").tolist())
 
 
-def digests(encoded: DataFrame, doc: str, path: str, pattern: str) -> DataFrame:
-    """(doc, n_tokens, ids_sha256, decoded_sha256) of rows with ``token_ids``."""
+def digests(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``encoded`` with n_tokens, ids_sha256 and decoded_sha256 of its ``token_ids``; columns of these names are replaced."""
+    names = ("n_tokens", "ids_sha256", "decoded_sha256")
+    encoded = encoded.drop(*names)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
-            ids = df.pop("token_ids")
-            df["n_tokens"] = [len(x) // 4 for x in ids]
-            df["ids_sha256"] = [hashlib.sha256(x).hexdigest() for x in ids]
-            df["decoded_sha256"] = [hashlib.sha256(decode(x, path, pattern)).hexdigest() for x in ids]
+            df["decoded_sha256"] = [hashlib.sha256(decode(x, path, pattern)).hexdigest() for x in df["token_ids"]]
             yield df
 
-    kind = encoded.schema[doc].dataType.simpleString()
-    schema = f"`{doc}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return encoded.select(doc, "token_ids").mapInPandas(run, schema)
+    rows = encoded.mapInPandas(run, encoded.withColumn("decoded_sha256", F.lit("")).schema)
+    return rows.withColumns({"n_tokens": F.floor(F.octet_length("token_ids") / 4), "ids_sha256": F.sha2("token_ids", 256)})

@@ -80,7 +80,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe.encode(docs, path, pattern).select("doc_id", "token_ids")
-    return bpe.digests(ids, "doc_id", path, pattern)
+    return bpe.digests(ids, path, pattern).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 @query
