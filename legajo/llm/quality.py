@@ -76,19 +76,19 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     repeats = F.size(F.array_distinct("__windows")) < F.size("__windows")
     pairs = F.array_sort(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     df = df.withColumn("__pairs", F.when(repeats, pairs).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
-    df = df.withColumns(
-        {
-            "n_words": n.cast("long"),
-            "word_chars": F.length(F.regexp_replace(t, GAP, "")).cast("long"),
-            "n_symbols": F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", "")).cast("long"),
-            "n_capitals": F.length(F.regexp_replace(t, r"\P{Lu}+", "")).cast("long"),
-            "n_marks": F.length(F.regexp_replace(t, r"[^!?]+", "")).cast("long"),
-            "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
-            "n_repeat_words": _covered(F.col("__pairs")).cast("long"),
-        }
-    )
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return df.select(*kept, *out, failed.alias("base_failed"))
+    numbers = {
+        "n_words": n,
+        "word_chars": F.length(F.regexp_replace(t, GAP, "")),
+        "n_symbols": F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", "")),
+        "n_capitals": F.length(F.regexp_replace(t, r"\P{Lu}+", "")),
+        "n_marks": F.length(F.regexp_replace(t, r"[^!?]+", "")),
+        "n_dup_lines": F.size("__lines") - F.size(F.array_distinct("__lines")),
+        "n_repeat_words": _covered(F.col("__pairs")),
+    }
+    # The explode also keeps filters on the numbers from computing them once more.
+    row = F.struct(*[v.cast("long").alias(k) for k, v in numbers.items()])
+    df = df.select(*kept, F.explode_outer(F.array(row)).alias("__row")).select(*kept, *[F.col("__row")[c].alias(c) for c in out])
+    return df.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
 def _log_tail(k: Column, n: Column, rate: float) -> Column:
