@@ -52,8 +52,9 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         docs = docs.select("*", F.col("_metadata.file_name").alias("mix_file"), F.col("_metadata.row_index").alias("mix_row"))
     except AnalysisException:
         docs = docs.select("*", F.lit(None).cast("string").alias("mix_file"), F.lit(None).cast("long").alias("mix_row"))
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "mix_file", "mix_row", "text"), path, pattern).drop("text")
-    return bpe.digests(ids, path, pattern)
+    docs = docs.select("doc_id", "lang", "source", "mix_file", "mix_row", "text")
+    ids = bpe.encode(docs, path, pattern, digest=True).drop("text")
+    return ids.withColumns({"n_tokens": F.floor(F.octet_length("token_ids") / 4), "ids_sha256": F.sha2("token_ids", 256)})
 
 
 MARK = "[secret]"

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
@@ -65,23 +66,43 @@ def _ids(text: str, path: str, pattern: str) -> bytes:
     return encoder(path, pattern).encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", chunk: int = 1 << 15, overlap: int = 1 << 10) -> DataFrame:
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time: texts are long, and Spark sizes its batches by rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _decoded(ids: list[bytes], path: str, pattern: str) -> pa.Array:
+    return pa.array([hashlib.sha256(decode(x, path, pattern)).hexdigest() for x in ids], pa.string())
+
+
+def encode(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", digest: bool = False, chunk: int = 1 << 15, overlap: int = 1 << 10
+) -> DataFrame:
     """``docs`` with ``token_ids``: a binary of little-endian unsigned 32-bit ids, replacing a column of that name.
 
     Every row gets the ids of its whole text, repeated rows as well; a null text counts as empty and has no ids.
-    Long texts are encoded once for all rows that hold them and joined by SHA-256.
+    Long texts are encoded once for all rows that hold them and joined by SHA-256. With ``digest`` the ids are decoded again
+    and ``decoded_sha256`` is the hexadecimal digest of the bytes.
     """
-    cols = [c for c in docs.columns if c != "token_ids"]
+    cols = [c for c in docs.columns if c not in ("token_ids", "decoded_sha256")]
     body = F.coalesce(F.col(text), F.lit(""))
+    more = [F.lit("").alias("decoded_sha256")] if digest else []
+    schema = docs.select(*cols, F.lit(b"").alias("token_ids"), *more).schema
 
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in batches:
-            df["token_ids"] = [_ids(t, path, pattern) for t in df.pop("__text")]
-            yield df
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _sliced(batches):
+            ids = [_ids(t, path, pattern) for t in batch.column("__text").to_pylist()]
+            out = batch.drop_columns(["__text"]).append_column("token_ids", pa.array(ids, pa.binary()))
+            yield out.append_column("decoded_sha256", _decoded(ids, path, pattern)) if digest else out
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _sliced(batches):
+            yield batch.append_column("decoded_sha256", _decoded(batch.column("token_ids").to_pylist(), path, pattern))
 
-    schema = docs.select(*cols, F.lit(b"").alias("token_ids")).schema
     long = F.length(body) > chunk
-    short = docs.filter(~long).select(*cols, body.alias("__text")).mapInPandas(whole, schema)
+    short = docs.filter(~long).select(*cols, body.alias("__text")).mapInArrow(whole, schema)
 
     texts = docs.filter(long).select(F.sha2(F.encode(body, "UTF-8"), 256).alias("key"), body.alias("body"))
     texts = saved(texts.dropDuplicates(["key"]), "long-texts")
@@ -123,23 +144,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", chunk:
     ids = ids.select(F.col("key").alias("__key"), joined.alias("__ids"))
     rows = docs.filter(long).select(*cols, F.sha2(F.encode(body, "UTF-8"), 256).alias("__key"))
     rest = rows.join(ids, "__key", "left").select(*cols, F.col("__ids").alias("token_ids"))
-    return short.unionByName(rest)
+    return short.unionByName(rest.mapInArrow(again, schema) if digest else rest)
 
 
 def decode(ids: bytes, path: str, pattern: str) -> bytes:
     """Bytes of a binary of ids."""
     return encoder(path, pattern).decode_bytes(memoryview(ids).cast("I").tolist())
-
-
-def digests(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``encoded`` with n_tokens, ids_sha256 and decoded_sha256 of its ``token_ids``; columns of these names are replaced."""
-    names = ("n_tokens", "ids_sha256", "decoded_sha256")
-    encoded = encoded.drop(*names)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in batches:
-            df["decoded_sha256"] = [hashlib.sha256(decode(x, path, pattern)).hexdigest() for x in df["token_ids"]]
-            yield df
-
-    rows = encoded.mapInPandas(run, encoded.withColumn("decoded_sha256", F.lit("")).schema)
-    return rows.withColumns({"n_tokens": F.floor(F.octet_length("token_ids") / 4), "ids_sha256": F.sha2("token_ids", 256)})

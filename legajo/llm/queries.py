@@ -79,8 +79,9 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, path, pattern).select("doc_id", "token_ids")
-    return bpe.digests(ids, path, pattern).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    ids = bpe.encode(docs, path, pattern, digest=True)
+    n, hexes = F.floor(F.octet_length("token_ids") / 4), F.sha2("token_ids", 256)
+    return ids.select("doc_id", n.alias("n_tokens"), hexes.alias("ids_sha256"), "decoded_sha256")
 
 
 @query
