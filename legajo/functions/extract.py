@@ -11,19 +11,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from legajo.functions import lexicon as L
-from legajo.functions.patterns import WORD
+from legajo.functions.patterns import SPACE, WORD
 from legajo.functions.contract import DEGREES
 
-HEADING = r"^[\p{Lu} ]{4,}:?$"
+# Four capitals or more, and blanks.
+HEADING = r"^(?=(?:[^\p{Lu}]*+\p{Lu}){4})[\p{Lu} ]+:?$"
 _WORDS = r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*[+#]*"
 # Written so that long runs of digits or blanks are read once.
-_YEARS = r"(?iu)(?<![0-9])([0-9]++)\+?\s++años"
-_TITLE_LINE = r"(?imu)^(?:posición|puesto|cargo|título)[ \t]*:[ \t]*(\S.*)$"
-_DATED = r"^[0-9]{4}\s*-\s*[\p{L}\p{N}]+\s*:\s*(\S.*?)(?<=\S)\s++—\s+\S"
-_BULLET = r"^\s*[-•]\s*(.*\S)\s*$"
+# An age is no experience; "ñ" may be written in two characters.
+_YEARS = rf"(?iu)(?<![0-9.,])([0-9]++(?:[.,][0-9]++)?)\+?[{SPACE}]++a(?:ñ|n\u0303)os(?![{SPACE}]++de[{SPACE}]++edad)"
+_TITLE_LINE = rf"(?imu)^(?:posición|puesto|cargo|título)[ \t]*:[ \t]*([^{SPACE}].*)$"
+_DATED = rf"^[0-9]{{4}}[{SPACE}]*-[{SPACE}]*[\p{{L}}\p{{N}}]+[{SPACE}]*:[{SPACE}]*([^{SPACE}].*?)(?<=[^{SPACE}])[{SPACE}]++—[{SPACE}]+[^{SPACE}]"
+_BULLET = rf"^[{SPACE}]*[-•][{SPACE}]*(.*[^{SPACE}])[{SPACE}]*$"
 _LANGUAGE_PAIR = (
-    r"^[\s-]*+(\p{L}++(?: ++\p{L}++)*+)\s*+:\s*+"
-    r"([^(:\s]++(?:\s++[^(:\s]++)*+)\s*+(?:\(.*)?$"
+    rf"^[{SPACE}-]*+(\p{{L}}++(?: ++\p{{L}}++)*+)[{SPACE}]*+:[{SPACE}]*+"
+    rf"([^(:{SPACE}]++(?:[{SPACE}]++[^(:{SPACE}]++)*+)[{SPACE}]*+(?:\(.*)?$"
 )
 _LEVELS = r"[abc][12]|nativo|básico|intermedio|avanzado"
 
@@ -38,13 +40,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_WORDS), F.lit(0))
 
 
-def grams(tokens: Column, n: int) -> Column:
-    """Runs of ``n`` words. ``tokens`` should be a plain column."""
-    if n == 1:
-        return tokens
+def grams(tokens: Column, n: Column) -> Column:
+    """Runs of ``n`` words. ``tokens`` and ``n`` should be plain columns."""
     last = F.size(tokens) - n + 1
-    starts = F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + k) for k in range(n)]))
+    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.concat_ws(" ", F.slice(tokens, i, n)))
 
 
 def term_hits(tokens: Column, terms: Sequence[str]) -> Column:
@@ -75,7 +75,7 @@ def found_terms(hits: Column, words_spaced: Column, terms: Sequence[str]) -> Col
 def years_required(text: Column) -> Column:
     """The largest "n años" in the text; null when there is none."""
     found = F.regexp_extract_all(text, F.lit(_YEARS), F.lit(1))
-    return F.array_max(F.transform(found, lambda y: y.try_cast("double")))
+    return F.array_max(F.transform(found, lambda y: F.translate(y, ",", ".").try_cast("double")))
 
 
 def infer_level(
@@ -99,6 +99,34 @@ def degree(tokens: Column, highest: bool = True, degrees: Mapping[str, str] = L.
     return F.coalesce(*(reversed(ranks) if highest else ranks))
 
 
+def heading(line: Column, known: bool = False) -> Column:
+    """Whether a line is a heading; with ``known`` only one that a record field can end at.
+
+    Those are the headings of ``lexicon.SECTIONS`` and lines that end in a colon: capitals
+    inside a list, such as the names of tools, leave the section open.
+    """
+    shaped = F.rlike(line, F.lit(HEADING))
+    if not known:
+        return shaped
+    names = [name for part in L.SECTIONS.values() for name in part]
+    return shaped & (line.endswith(":") | F.trim(line).isin(*names))
+
+
+def prose(lines: Column) -> Column:
+    """Lines that are text and no list; where there is none, the items of the list."""
+    full = F.filter(lines, lambda l: F.rlike(l, F.lit(rf"[^{SPACE}]")))
+    text = F.filter(full, lambda l: ~F.rlike(l, F.lit(_BULLET)))
+    return F.when(F.size(text) > 0, text).otherwise(bullets(full))
+
+
+def free_lines(sections: Column) -> Column:
+    """Lines of text outside any list: no heading, no item and no ``label: value``."""
+    lines = F.flatten(F.transform(sections, lambda s: s["lines"]))
+    listed_or_labelled = rf"{_BULLET}|^[^:]{{1,40}}:"
+    plain = F.filter(lines, lambda l: ~heading(l) & ~F.rlike(l, F.lit(listed_or_labelled)))
+    return F.filter(plain, lambda l: F.rlike(l, F.lit(rf"[^{SPACE}]")))
+
+
 def section_lines(sections: Column, headings: Sequence[str]) -> Column:
     """Lines below the given headings, in order, without the heading lines."""
     mine = F.filter(sections, lambda s: s["section"].isin(*headings))
@@ -136,7 +164,7 @@ def language_pairs(lines: Column) -> Column:
 def language_mentions(text: Column, languages: Sequence[str] = L.LANGUAGES) -> Column:
     """Known language names directly followed by a level, such as "inglés B2"."""
     pattern = (
-        rf"(?iu)(?<![{WORD}])({'|'.join(languages)})[ \t]*:?[ \t]+({_LEVELS})(?![{WORD}])"
+        rf"(?iu)(?<![{WORD}]{{1,2}})({'|'.join(languages)})[ \t]*:?[ \t]+({_LEVELS})(?![{WORD}])"
     )
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return F.transform(

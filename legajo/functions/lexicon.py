@@ -57,6 +57,8 @@ SECTIONS: dict[str, tuple[str, ...]] = {
     "mandatory": ("REQUISITOS OBLIGATORIOS", "REQUISITOS"),
     "desirable": ("REQUISITOS DESEABLES", "DESEABLES"),
     "role": ("FUNCIONES", "DESCRIPCIÓN DEL PUESTO"),
+    # They fill no field but end the one before.
+    "other": ("HABILIDADES", "HABILIDADES TÉCNICAS", "COMPETENCIAS", "CERTIFICACIONES", "CURSOS", "REFERENCIAS", "DATOS PERSONALES", "CONTACTO", "OFRECEMOS", "BENEFICIOS"),
 }
 
 # Years below each bound give the level.

@@ -8,7 +8,9 @@ differs on combining marks, superscript digits and ``\\x1c``-``\\x1f``.
 WORD = r"\p{L}\p{N}_"
 SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
 
-NOT_AFTER_WORD = f"(?<![{WORD}])"
+# A look-behind for one character sees half of a letter beyond U+FFFF only; one
+# for up to two sees it whole.
+NOT_AFTER_WORD = f"(?<![{WORD}]{{1,2}})"
 NOT_BEFORE_WORD = f"(?![{WORD}])"
 
 # Every line break Python's str.splitlines knows, "\r\n" counted once.

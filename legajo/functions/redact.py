@@ -23,13 +23,13 @@ NAME_TAG = "[NOMBRE_REDACTADO]"
 # character belong to the run but not to the address: group 1.
 _RUN = f"{WORD}.+-"
 EMAIL = (
-    rf"((?<![{_RUN}])[.+-]*+(?=[{WORD}])|\G(?<=[{WORD}])(?=[.+-]))"
+    rf"((?<![{_RUN}]{{1,2}})[.+-]*+(?=[{WORD}])|\G(?<=[{WORD}]{{1,2}})(?=[.+-]))"
     rf"[{_RUN}]++@[{WORD}-]++\.[{WORD}.]*[{WORD}]"
 )
 DNI = rf"{NOT_AFTER_WORD}\p{{Nd}}{{8}}{NOT_BEFORE_WORD}"
 RUC = rf"{NOT_AFTER_WORD}\p{{Nd}}{{11}}{NOT_BEFORE_WORD}"
 PHONE = (
-    rf"(?:(?<=[{WORD}])\+51[{SPACE}]?|{NOT_AFTER_WORD})"
+    rf"(?:(?<=[{WORD}]{{1,2}})\+51[{SPACE}]?|{NOT_AFTER_WORD})"
     rf"(?:9\p{{Nd}}{{8}}|\p{{Nd}}{{7,8}}){NOT_BEFORE_WORD}"
 )
 NAME_WORDS = 5
@@ -67,6 +67,10 @@ def has_name_line(text: Column) -> Column:
     return F.rlike(first_line(text), F.lit(_SHORT_LINE))
 
 
+def without_blank_lead(text: Column) -> Column:
+    return F.regexp_replace(text, _BLANK_LEAD, "")
+
+
 def mask_name_line(text: Column, skip_blank_lead: bool = False) -> Column:
     """Replace a short first line by the name tag.
 
@@ -75,6 +79,6 @@ def mask_name_line(text: Column, skip_blank_lead: bool = False) -> Column:
     them is masked. It is off by default, where a blank first line counts as
     the name line.
     """
-    body = F.regexp_replace(text, _BLANK_LEAD, "") if skip_blank_lead else text
+    body = without_blank_lead(text) if skip_blank_lead else text
     rest = F.substr(body, F.length(first_line(body)) + 1)
     return F.when(has_name_line(body), F.concat(F.lit(NAME_TAG), rest)).otherwise(body)

@@ -89,6 +89,6 @@ def line_preview(text: Column, n: int = 5) -> Column:
 
 
 def leading_sentences(text: Column, n: int = 3) -> Column:
-    """The first ``n`` sentences, joined by one blank."""
-    parts = F.split(F.trim(text), rf"(?<=[.!?])[{SPACE}]+", n + 1)
+    """The first ``n`` sentences, joined by one blank; a line's end is a sentence's end."""
+    parts = F.split(F.trim(text), rf"[{SPACE}]*\n[{SPACE}]*|(?<=[.!?])[{SPACE}]+", n + 1)
     return F.array_join(F.slice(parts, 1, n), " ")

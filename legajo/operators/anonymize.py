@@ -56,8 +56,10 @@ def anonymize(
     The name step is a projection of its own: it reads its input more than once
     and would repeat all regexes if nested.
     """
-    named = R.mask_name_line(F.col(_STEP), skip_blank_lead)
-    return _mask_items(df, text, _STEP).withColumn(out, named).drop(_STEP)
+    masked = _mask_items(df, text, _STEP)
+    if skip_blank_lead:
+        masked = masked.withColumn(_STEP, R.without_blank_lead(F.col(_STEP)))
+    return masked.withColumn(out, R.mask_name_line(F.col(_STEP))).drop(_STEP)
 
 
 # The tag that stands for each kind, and what a second look searches for.

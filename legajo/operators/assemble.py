@@ -7,60 +7,39 @@ from pyspark.sql import functions as F
 
 from legajo.functions.patterns import SPACE
 
-# A document above this many characters is not built into one string. Each page
-# counts PAGE_CHARS more, for the memory it takes however short its text.
-MAX_CHARS = 64_000_000
-PAGE_CHARS = 64
 
-
-def _assemble(
-    df: DataFrame, doc: str, ord: str, text: str, keep: Column, max_chars: int | None
-) -> DataFrame:
+def _assemble(df: DataFrame, doc: str, ord: str, text: str, keep: Column) -> DataFrame:
     parts = df.select(
-        F.col(doc).alias("_doc"),
-        F.col(ord).alias("_ord"),
-        F.when(keep, F.col(text)).alias("_text"),
+        F.col(doc).alias("_doc"), F.col(ord).alias("_ord"), F.when(keep, F.col(text)).alias("_text")
     )
-    part = F.lit(0).cast("long")
-    if max_chars is not None:
-        # One extra read with a map-side sum is cheaper than a second shuffle of
-        # the text, and finds the documents that must not meet in one task. Their
-        # number is bounded by their size: 100 TB of text in pages of a hundred
-        # characters or more has at most 2.6 million, a broadcast of some 40 MB.
-        sizes = parts.groupBy(F.col("_doc").alias("_big")).agg(
-            F.sum(F.length("_text") + PAGE_CHARS).alias("_chars")
-        )
-        big = sizes.filter(F.col("_chars") > max_chars).select("_big", F.lit(True).alias("_is_big"))
-        parts = parts.join(F.broadcast(big), F.col("_doc").eqNullSafe(F.col("_big")), "left")
-        part = F.when(F.col("_is_big"), F.col("_ord")).otherwise(F.lit(0)).cast("long")
     item = F.when(F.col("_text").isNotNull(), F.struct("_ord", "_text"))
     ordered = F.array_sort(F.collect_list(item))
-    return (
-        parts.groupBy(F.col("_doc").alias(doc), part.alias("part"))
-        .agg(F.array_join(F.transform(ordered, lambda i: i["_text"]), "\n").alias("text"))
-    )
+    joined = F.array_join(F.transform(ordered, lambda i: i["_text"]), "\n")
+    return parts.groupBy(F.col("_doc").alias(doc)).agg(joined.alias("text"))
 
 
-def assemble_pages(
-    df: DataFrame, doc: str, ord: str, text: str, max_chars: int | None = MAX_CHARS
-) -> DataFrame:
-    """Page texts of each document joined in order by a line break.
+def assemble_pages(df: DataFrame, doc: str, ord: str, text: str) -> DataFrame:
+    """(``doc``, text): the page texts of each document joined in order by a line break.
 
-    Gives (``doc``, part, text). ``part`` is 0 for whole documents. A document
-    beyond ``max_chars`` keeps one row per page, ``part`` being the page number,
-    so that it spreads over tasks instead of filling one; joining its rows in
-    order gives the same text. ``max_chars=None`` saves the size check where
-    documents are known to be small.
+    One string per document is one row, so a document must fit in the memory of
+    a task. For documents that may not, choose ``order_pages``.
     """
-    return _assemble(df, doc, ord, text, F.lit(True), max_chars)
+    return _assemble(df, doc, ord, text, F.lit(True))
 
 
-def assemble_paragraphs(
-    df: DataFrame, doc: str, ord: str, text: str, max_chars: int | None = MAX_CHARS
-) -> DataFrame:
+def assemble_paragraphs(df: DataFrame, doc: str, ord: str, text: str) -> DataFrame:
     """As ``assemble_pages``, leaving out blank paragraphs.
 
     Kept ones are not stripped. A document with blank ones only gives ``""``.
     """
-    keep = F.rlike(F.col(text), F.lit(rf"[^{SPACE}]"))
-    return _assemble(df, doc, ord, text, keep, max_chars)
+    return _assemble(df, doc, ord, text, F.rlike(F.col(text), F.lit(rf"[^{SPACE}]")))
+
+
+def order_pages(df: DataFrame, doc: str, ord: str) -> DataFrame:
+    """The rows of ``df`` with each document's pages next to each other, in order.
+
+    Sorted by ranges of document and page, so that a document of any size is
+    spread over as many tasks as it needs.
+    """
+    order = [F.col(doc), F.col(ord)]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -16,19 +16,18 @@ from pyspark.sql import functions as F
 from legajo.functions import extract as X
 from legajo.functions import lexicon as L
 from legajo.functions import text as T
-from legajo.operators.skew import HOT_ROWS, skew_join
 
 
-def with_sections(df: DataFrame, text: str = "text", out: str = "sections") -> DataFrame:
+def with_sections(df: DataFrame, text: str = "text", out: str = "sections", known: bool = False) -> DataFrame:
     """Add ``out``: the text cut at its headings.
 
     An array of (start, section, lines): the number of the first line, the
     heading (null before the first one) and the lines, heading included. A
-    heading is a line of four or more capitals and blanks, with or without a
-    colon.
+    heading is a line of four or more capitals, and blanks, with or without a
+    colon; for ``known`` see ``functions.extract.heading``.
     """
     lines, heads, starts = F.col("_lines"), F.col("_heads"), F.col("_starts")
-    is_heading = lambda line: F.rlike(line, F.lit(X.HEADING))
+    is_heading = lambda line: X.heading(line, known)
     numbered = F.transform(lines, lambda line, i: F.when(is_heading(line), i))
 
     def section(start: Column, i: Column) -> Column:
@@ -87,7 +86,9 @@ def extract_terms(
 ) -> DataFrame:
     """(``doc``, one sorted array per category of the lexicon's terms found)."""
     if len(lexicon) > L.MAX_LITERAL_TERMS:
-        raise ValueError("use extract_terms_table for a lexicon of this size")
+        # Too many for constants in the plan: the same answer from a table.
+        rows = df.sparkSession.createDataFrame(list(lexicon.items()), "term string, category string")
+        return extract_terms_table(df, rows, list(dict.fromkeys(lexicon.values())), doc, text)
     work = with_words(df.select(doc, text), text, list(lexicon))
     categories = list(dict.fromkeys(lexicon.values()))
     return work.select(
@@ -105,40 +106,29 @@ def extract_terms_table(
     df: DataFrame,
     lexicon: DataFrame,
     categories: Sequence[str],
-    max_words: int = 3,
     doc: str = "doc_id",
     text: str = "text",
-    *,
-    broadcast_rows: int = 100_000,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``extract_terms`` for a lexicon table (term, category) of any size.
 
-    Each term has one row. Its row count decides between a broadcast and a join
-    whose hot terms are split; only the hits, never the words, are gathered per
-    document. ``doc`` must be unique.
+    Terms of any number of words and in any case are found; runs of words are
+    built in the lengths that the lexicon has, read from it by a subquery. Terms come out
+    as the lexicon writes them. How the runs meet the lexicon is left to Spark's statistics and its handling of skew; runs
+    that are no term are dropped before hits are gathered per document, but for
+    one run of each, which keeps documents without a hit. ``doc`` must be unique.
     """
-    lexicon = lexicon.select(F.col("term"), F.col("category"))
-    work = df.select(doc, X.words(F.col(text)).alias("_words"))
-    runs = F.concat(*[X.grams(F.col("_words"), n) for n in range(1, max_words + 1)])
-    # "Outer" for the plan's sake, see tag_sections; the join drops the nulls.
-    terms = work.select(doc, F.explode_outer(F.array_distinct(runs)).alias("term"))
-    if lexicon.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        hits = terms.join(F.broadcast(lexicon), "term")
-    else:
-        hits = skew_join(terms, lexicon, "term", "inner", hot_rows=hot_rows)
-    per_doc = hits.groupBy(doc).agg(
-        *[
-            F.array_sort(F.collect_set(F.when(F.col("category") == c, F.col("term")))).alias(c)
-            for c in categories
-        ]
-    )
-    none = F.array().cast("array<string>")
-    return (
-        df.select(doc)
-        .join(per_doc, doc, "left")
-        .select(doc, *[F.coalesce(F.col(c), none).alias(c) for c in categories])
-    )
+    key = X.words(F.col("term"))
+    lexicon = lexicon.select("term", "category", F.concat_ws(" ", key).alias("_run"), F.size(key).alias("_n"))
+    lexicon = lexicon.filter("_n > 0")
+    lengths = lexicon.agg(F.array_sort(F.collect_set("_n")).alias("_lengths"))
+    work = df.select(doc, F.explode_outer(F.array(X.words(F.col(text)))).alias("_words"))
+    # Lengths come in by a row each, words through an explode: a lambda would else build them anew for each run.
+    work = work.withColumn("_n", F.explode_outer(lengths.scalar()))
+    runs = work.select(doc, "_n", F.posexplode_outer(F.array_distinct(X.grams(F.col("_words"), F.col("_n")))).alias("_pos", "_run"))
+    hits = runs.join(lexicon.drop("_n"), "_run", "left")
+    hits = hits.filter(F.col("category").isNotNull() | F.coalesce(F.col("_pos") == 0, F.lit(True)))
+    found = [F.array_sort(F.collect_set(F.when(F.col("category") == c, F.col("term")))).alias(c) for c in categories]
+    return hits.groupBy(doc).agg(*found)
 
 
 def extract_years(df: DataFrame, doc: str = "doc_id", text: str = "text", default: float | None = 0.0) -> DataFrame:
@@ -158,7 +148,7 @@ def extract_education(df: DataFrame, doc: str = "doc_id", text: str = "text") ->
 
 
 def _from_section(df: DataFrame, doc: str, text: str, part: str, out: str, rule) -> DataFrame:
-    cut = with_sections(df.select(doc, text), text)
+    cut = with_sections(df.select(doc, text), text, known=True)
     return cut.select(doc, rule(X.section_lines(F.col("sections"), L.SECTIONS[part])).alias(out))
 
 
@@ -179,7 +169,7 @@ def extract_careers(df: DataFrame, doc: str = "doc_id", text: str = "text") -> D
 
 def split_requirements(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(``doc``, must_items, nice_items, must_skills, nice_skills)."""
-    cut = with_sections(df.select(doc, text), text)
+    cut = with_sections(df.select(doc, text), text, known=True)
     items = cut.select(
         doc,
         *[
@@ -204,18 +194,20 @@ def extract_job_title(df: DataFrame, doc: str = "doc_id", text: str = "text", gi
     )
 
 
-def summary(text: Column, section: Column, sentences: int = 3) -> Column:
-    """Leading sentences of the section's lines, else of the text."""
-    joined = F.trim(F.array_join(section, " "))
-    return F.when(joined != "", T.leading_sentences(joined, sentences)).otherwise(
-        T.leading_sentences(text, sentences)
-    )
+def summary(section: Column, sentences: int = 3) -> Column:
+    """Leading sentences of the section's prose; ``""`` where it has none.
+
+    Lines outside the section are never taken: those above the first heading
+    are where names and addresses stand.
+    """
+    return T.leading_sentences(F.array_join(F.coalesce(X.prose(section), F.array()), "\n"), sentences)
 
 
 def summarize(df: DataFrame, doc: str = "doc_id", text: str = "text", sentences: int = 3) -> DataFrame:
-    """(``doc``, summary) from the profile section, else from the text."""
-    cut = with_sections(df.select(doc, text), text)
-    lines = X.section_lines(F.col("sections"), L.SECTIONS["profile"])
-    return cut.withColumn("_lines", lines).select(
-        doc, summary(F.col(text), F.col("_lines"), sentences).alias("summary")
+    """(``doc``, summary) from the profile section; a text without any heading is all prose."""
+    cut = with_sections(df.select(doc, text), text, known=True)
+    plain = ~F.exists("sections", lambda s: s["section"].isNotNull())
+    lines = F.when(plain, F.flatten(F.transform("sections", lambda s: s["lines"]))).otherwise(
+        X.section_lines(F.col("sections"), L.SECTIONS["profile"])
     )
+    return cut.withColumn("_lines", lines).select(doc, summary(F.col("_lines"), sentences).alias("summary"))

@@ -17,6 +17,8 @@ from legajo.operators.validate import keep_together
 from legajo.functions.contract import CV_RULES, JD_RULES, FieldRule
 
 
+# Without a section to take it from a summary is empty, which fails the record.
+_SUMMARIES = ("resumen_perfil", "descripcion_rol")
 # What is looked for among the words of a document.
 _LISTED = (*L.TERMS, *L.DEGREE_WORDS)
 
@@ -36,6 +38,8 @@ def _checked(
     for rule in rules:
         value = F.col(rule.name)
         wrong = value.isNull()
+        if rule.name in _SUMMARIES:
+            wrong = wrong | (value == "")
         if rule.values:
             wrong = wrong | ~value.isin(*rule.values)
         if rule.minimum is not None:
@@ -65,7 +69,8 @@ def build_cv_records(
     part = lambda name: X.section_lines(F.col("sections"), L.SECTIONS[name])
     terms = lambda known: X.found_terms(hits, F.col("_spaced"), known)
     years = F.coalesce(X.years_required(masked), F.lit(0.0))
-    cut = with_sections(anonymize(df.select(doc, *carry, text), text), "text_anon")
+    masked_text = anonymize(df.select(doc, *carry, text), text, skip_blank_lead=True)
+    cut = with_sections(masked_text, "text_anon", known=True)
     read = with_words(cut, "text_anon", _LISTED).withColumn("_years", years)
     read = read.withColumn("_profile", part("profile"))
     fields = {
@@ -80,7 +85,7 @@ def build_cv_records(
         "carreras": X.dated_titles(part("education")),
         "certificaciones": terms(L.CERTIFICATES),
         "idiomas": X.language_pairs(part("languages")),
-        "resumen_perfil": summary(masked, F.col("_profile")),
+        "resumen_perfil": summary(F.col("_profile")),
     }
     return _checked(read, fields, CV_RULES, [doc, *carry], text)
 
@@ -101,12 +106,15 @@ def build_jd_records(
     part = lambda name: X.section_lines(F.col("sections"), L.SECTIONS[name])
     terms = lambda known, of="": X.found_terms(F.col(f"{of}_hits"), F.col(f"{of}_spaced"), known)
     years = F.coalesce(X.years_required(raw), F.lit(0.0))
-    read = with_sections(df.select(doc, *carry, text, title), text)
+    read = with_sections(df.select(doc, *carry, text, title), text, known=True)
     read = with_words(read, text, _LISTED).withColumn("_years", years)
     for name, section in (("must", "mandatory"), ("nice", "desirable")):
         read = read.withColumn(f"_{name}", F.array_join(X.bullets(part(section)), " | "))
         read = with_words(read, f"_{name}", L.TECHNICAL, name)
-    read = read.withColumn("_role", part("role"))
+    # Without a section on the role: text outside lists, else what is asked for.
+    free, asked = X.free_lines(F.col("sections")), part("mandatory")
+    role = F.when(F.size(part("role")) > 0, part("role")).when(F.size(free) > 0, free).otherwise(asked)
+    read = read.withColumn("_role", role)
     fields = {
         "jd_id": T.record_id(F.col(doc), salt),
         "titulo_puesto": T.title_fallback(X.labelled_title(raw), F.col(title)),
@@ -117,6 +125,6 @@ def build_jd_records(
         "industria_preferida": terms(L.INDUSTRIES),
         "nivel_educacion_minimo": F.coalesce(X.degree(hits, highest=False), F.lit(L.NO_DEGREE)),
         "idiomas_requeridos": X.language_mentions(raw),
-        "descripcion_rol": summary(raw, F.col("_role")),
+        "descripcion_rol": summary(F.col("_role")),
     }
     return _checked(read, fields, JD_RULES, [doc, *carry], text)

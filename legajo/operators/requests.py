@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from legajo.functions import text as T
 from legajo.functions.contract import FieldRule
+from legajo.functions.patterns import SPACE
 
 # Reply limits of the two kinds of request and of any other, and
 # the temperature.
@@ -51,6 +52,21 @@ def render_request(
     )
 
 
+def _if_text(text: str, filled: Column) -> Column:
+    return F.when(F.rlike(F.col(text), F.lit(rf"[^{SPACE}]")), filled)
+
+
+def sendable(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(requests to send, quarantined ones whose document has no text)."""
+    asked = F.col("user").isNotNull()
+    return requests.filter(asked), requests.filter(~asked)
+
+
+def with_model(requests: DataFrame, provider: str, model: str) -> DataFrame:
+    """Add ``provider`` and ``model``, for ``with_payload`` and for roll-ups by model."""
+    return requests.withColumns({"provider": F.lit(provider), "model": F.lit(model)})
+
+
 def render_cv_request(
     df: DataFrame,
     salt: str,
@@ -62,10 +78,13 @@ def render_cv_request(
     chars: int = T.CV_CHARS,
     max_tokens: int = CV_MAX_TOKENS,
 ) -> DataFrame:
-    """One request per masked CV; ``user`` takes the cut text and the id."""
+    """One request per masked CV; ``user`` takes the cut text and the id.
+
+    A row without text has no ``user``: see ``sendable``.
+    """
     rid = T.record_id(F.col(doc), salt)
     filled = F.format_string(user, T.truncate_text(F.col(text), chars), rid)
-    return render_request(df, doc, rid, system, filled, max_tokens)
+    return render_request(df, doc, rid, system, _if_text(text, filled), max_tokens)
 
 
 def render_jd_request(
@@ -82,12 +101,13 @@ def render_jd_request(
 ) -> DataFrame:
     """One request per job description, which is not masked.
 
-    ``user`` takes the title hint, the cut text and the id.
+    ``user`` takes the title hint, the cut text and the id. A row without text
+    has no ``user``: see ``sendable``.
     """
     rid = T.record_id(F.col(doc), salt)
     hint = F.coalesce(F.col(title), F.lit(T.NO_TITLE))
     filled = F.format_string(user, hint, T.truncate_text(F.col(text), chars), rid)
-    return render_request(df, doc, rid, system, filled, max_tokens)
+    return render_request(df, doc, rid, system, _if_text(text, filled), max_tokens)
 
 
 def with_tokens(requests: DataFrame, out: str = "tokens") -> DataFrame:
@@ -125,7 +145,7 @@ def with_payload(requests: DataFrame, style: str, schema: str | None = None, out
     """Add the JSON body for a model endpoint.
 
     ``chat`` gives two messages, ``prompt`` one text of both parts; ``schema``
-    is the JSON schema the reply must follow.
+    is the JSON schema the reply must follow; a ``model`` column goes along.
     """
     if style == "chat":
         message = lambda role, text: F.struct(F.lit(role).alias("role"), F.col(text).alias("content"))
@@ -135,6 +155,8 @@ def with_payload(requests: DataFrame, style: str, schema: str | None = None, out
     else:
         raise ValueError(f"unknown request style: {style}")
     extra = [] if schema is None else [F.lit(schema).alias("response_schema")]
+    if "model" in requests.columns:
+        extra.append(F.col("model"))
     body = F.struct(head, F.col("max_tokens"), F.col("temperature"), *extra)
     return requests.withColumn(out, F.to_json(body))
 

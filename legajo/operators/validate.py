@@ -47,7 +47,15 @@ def _value(variant: Column, rule: FieldRule) -> Column:
     path = f"$.{rule.name}"
     if rule.kind == "float":
         return _number(variant, path)
-    value = _get(variant, path, sql_type(rule))
+    kind = _type_of(variant, path)
+    if rule.kind in ("str", "enum"):
+        return F.when(kind == "STRING", _get(variant, path, "string"))
+    if rule.kind == "list_str":
+        value = F.when(kind.isin("ARRAY<STRING>", "ARRAY<VOID>"), _get(variant, path, sql_type(rule)))
+    else:
+        member = lambda item, m: F.when(_is_string(item, f"$.{m}"), _get(item, f"$.{m}", "string")).alias(m)
+        items = F.when(kind.startswith("ARRAY<"), _get(variant, path, "array<variant>"))
+        value = F.transform(items, lambda i: F.struct(*[member(i, m) for m in rule.members]))
     return F.coalesce(value, F.array().cast(sql_type(rule))) if rule.optional else value
 
 

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legajo.session import spread
-
 
 def _s(expr: str) -> str:
     return f"CAST({expr} AS STRING)"
@@ -44,8 +42,8 @@ CV_TEXT = _lines(
     + " || CASE WHEN " + K + " % 25 = 0 THEN ' o ana@uno.pe' ELSE '' END",
     "'Av. Las Flores 12, Arequipa'",
     "''",
-    "'PERFIL PROFESIONAL'",
-    f"'Analista de datos con ' || {_s(f'{K} % 15')} || ' años de experiencia en Python y SQL. "
+    _case(K, 9, *["'PERFIL PROFESIONAL'"] * 8, "'Sobre mi trabajo'"),
+    f"'Analista de datos con ' || {_s(f'{K} % 15')} || CASE WHEN {K} % 8 = 3 THEN ',5' ELSE '' END || ' años de experiencia en Python y SQL. "
     "Proyectos para ' || " + _case(K, 3, "'banca'", "'retail'", "'minería'")
     + " || '. ' || " + _case(K, 2, "'Liderazgo y trabajo en equipo'", "'Empatía'")
     + " || '. Disponible para viajar.'",
@@ -146,6 +144,8 @@ JD_REPLY_BODY = (
 REPLY_DOC = f"CASE WHEN {K} % 11 = 0 THEN -1 - {K} ELSE {K} END"
 REPLY_ECHO = f"CASE WHEN {K} % 5 = 0 THEN 'otro' ELSE 'rid-' || {_s(K)} END"
 
+JD_REPLY_ECHO = "CASE WHEN p_partkey % 5 = 0 THEN 'otro' ELSE 'rid-' || " + _s("p_partkey") + " END"
+
 ERROR_CLASS = (
     "CASE event_type WHEN 'signup' THEN 'ValueError' WHEN 'error' THEN 'RateLimitError' "
     "WHEN 'click' THEN 'ConnectionError' END"
@@ -159,10 +159,8 @@ ERROR_MESSAGE = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, even: bool = True) -> DataFrame:
-    """Columns of the named table, spread over the cores unless ``even`` is off."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
-    return spread(df) if even else df
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
 def cv_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,9 +169,9 @@ def cv_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.col(K).alias("doc_id"), F.expr(CV_TEXT).alias("text"))
 
 
-def jd_corpus(spark: SparkSession, sf_dir: str, even: bool = True) -> DataFrame:
+def jd_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, title, text)"""
-    df = table(spark, sf_dir, "part", P, "p_name", "p_brand", "p_type", "p_size", even=even)
+    df = table(spark, sf_dir, "part", P, "p_name", "p_brand", "p_type", "p_size")
     return df.select(F.col(P).alias("doc_id"), F.expr(JD_TITLE).alias("title"), F.expr(JD_TEXT).alias("text"))
 
 

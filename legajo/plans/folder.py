@@ -68,9 +68,13 @@ def jd_records(
     its stem.
     """
     docs = texts(files.scan_documents(spark, folder, manifest=manifest))
+    # The record is built without a title, so that no text goes through the join with the titles.
+    docs = docs.withColumn("title", F.lit(T.NO_TITLE))
+    built = records.build_jd_records(docs, salt, doc="path", carry=["problem", "stem"])
     if titles is None:
-        docs = docs.withColumn("title", F.lit(None).cast("string"))
+        given = T.title_from_stem(F.col("stem"))
     else:
-        docs = docs.join(titles.select("path", "title"), "path", "left")
-    docs = docs.withColumn("title", T.title_or_stem(F.col("title"), F.col("stem")))
-    return _named(records.build_jd_records(docs, salt, doc="path", carry=["problem"]))
+        built = built.join(titles.select("path", "title"), "path", "left")
+        given = T.title_or_stem(F.col("title"), F.col("stem"))
+    title = T.title_fallback(F.col("record.titulo_puesto"), given)
+    return _named(built.withColumn("record", F.col("record").withField("titulo_puesto", title)))

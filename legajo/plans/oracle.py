@@ -59,10 +59,12 @@ def joined(items: str) -> str:
     return f"coalesce(array_to_string({items}, '; '), '')"
 
 
-def masked(source: str, *columns: str) -> str:
-    """A query that adds text_anon to ``source`` (doc_id, text)."""
+def masked(source: str, *columns: str, lead: bool = False) -> str:
+    """A query that adds text_anon to ``source`` (doc_id, text); ``lead`` drops blank leading lines."""
     extra = "".join(f", {c}" for c in columns)
     steps = sub(sub(sub(sub("text", EMAIL, R.EMAIL_TAG), DNI, R.DNI_TAG), RUC, R.RUC_TAG), PHONE, R.PHONE_TAG)
+    if lead:
+        steps = rf"regexp_replace({steps}, '^(?:[\t\x{{0b}}-\r\x{{1c}}-\x{{20}}\x{{85}}\p{{Z}}]*\n)+', '')"
     return (
         f"SELECT doc_id{extra}, {named('stepped')} AS text_anon "
         f"FROM (SELECT doc_id{extra}, {steps} AS stepped FROM ({source}))"
@@ -95,11 +97,11 @@ WITH d AS (SELECT doc_id, CASE doc_id % 4 WHEN 3 THEN NULL WHEN 2 THEN chr(65279
 SELECT doc_id, t IS NOT NULL AS decode_ok, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS digest FROM d"""
 
 ORACLE["assemble_pages"] = """
-SELECT conv_id, CAST(0 AS BIGINT) AS part, string_agg(text, chr(10) ORDER BY turn) AS text
+SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text
 FROM conversations GROUP BY conv_id"""
 
 ORACLE["assemble_paragraphs"] = """
-SELECT conv_id, CAST(0 AS BIGINT) AS part,
+SELECT conv_id,
        coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE turn % 3 <> 1 AND conv_id % 7 <> 0
                 AND regexp_matches(text, '[^\\s]')), '') AS text
 FROM conversations GROUP BY conv_id"""
@@ -178,6 +180,10 @@ ORACLE["render_jd_request"] = request(
 )
 
 TOKENS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\t-\r\x{1c}-\x{20}\x{85}\p{Z}]"
+ORACLE["request_payloads"] = f"""
+SELECT doc_id, 'system' AS first_role, md5("user") AS user_digest, max_tokens, 'modelo-1' AS model
+FROM ({ORACLE['render_cv_request']})"""
+
 ORACLE["token_estimate"] = f"SELECT doc_id, {n_of('text', TOKENS)} AS tokens FROM documents"
 
 ORACLE["title_fallback"] = f"""
@@ -321,19 +327,45 @@ SELECT v->>'$.candidato_id' AS candidato_id, v->>'$.nivel_experiencia' AS nivel_
        v->>'$.resumen_perfil' AS resumen_perfil
 FROM e WHERE errors = ''"""
 
+ORACLE["jd_records_from_replies"] = f"""
+{_JSON.format(source=f"SELECT p_partkey AS doc_id, {C.JD_REPLY_BODY} AS body FROM part")},
+e AS (SELECT doc_id, v, {errors(JD_RULES)} AS errors FROM j),
+s AS (SELECT p_partkey AS doc_id, p_name, CASE WHEN p_partkey % 13 = 0 THEN 'unanswered'
+      WHEN {C.JD_REPLY_ECHO} = 'rid-' || CAST(p_partkey AS VARCHAR) THEN 'matched' ELSE 'id_mismatch' END AS status FROM part)
+SELECT doc_id, status, CASE status WHEN 'matched' THEN errors ELSE status END AS errors,
+       CASE WHEN status = 'matched' AND errors = '' THEN coalesce(nullif(nullif(v->>'$.titulo_puesto', ''), {quoted(T.NO_TITLE)}), p_name) END AS title,
+       CASE WHEN status = 'matched' AND errors = '' THEN {number_of('anos_experiencia_min')} END AS years
+FROM e JOIN s USING (doc_id)"""
+
+ORACLE["title_or_stem"] = """
+SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE (
+         SELECT string_agg(upper(w[1]) || lower(w[2:]), ' ' ORDER BY i)
+         FROM (SELECT unnest(string_split('puesto ' || p_name, ' ')) AS w,
+                      generate_subscripts(string_split('puesto ' || p_name, ' '), 1) AS i)) END AS title
+FROM part"""
+
+ORACLE["fatal_reason"] = f"""
+SELECT event_id, CASE WHEN {VERDICT} <> 'fatal' THEN NULL WHEN lower(message) LIKE '%api\\_key%' ESCAPE '\\'
+       OR lower(message) LIKE '%authentication%' THEN 'key'
+       WHEN error_class = 'BadRequestError' THEN 'request' ELSE 'reply' END AS reason
+FROM ({C.ATTEMPTS_SQL})"""
+
 # Extraction
 
 
-def lines_of(source: str, text: str = "text") -> str:
-    """CTEs ending in ``tagged`` (doc_id, pos, line, section)."""
+def lines_of(source: str, text: str = "text", known: bool = False) -> str:
+    """CTEs ending in ``tagged`` (doc_id, pos, line, section) and ``body`` without headings."""
+    is_head = r"(regexp_matches(line, '^[\p{Lu} ]+:?$') AND regexp_matches(line, '(?:\p{Lu} *){4}'))"
+    if known:
+        names = listed(name for part in L.SECTIONS.values() for name in part)
+        is_head = f"({is_head} AND (line LIKE '%:' OR trim(line) IN ({names})))"
     return rf"""
 src AS ({source}),
 ln AS (SELECT doc_id, unnest(string_split({text}, chr(10))) AS line,
               generate_subscripts(string_split({text}, chr(10)), 1) - 1 AS pos FROM src),
-tagged AS (SELECT doc_id, pos, line, last_value(
-             CASE WHEN regexp_matches(line, '^[\p{{Lu}} ]{{4,}}:?$') THEN trim(rtrim(line, ':')) END IGNORE NULLS)
+tagged AS (SELECT doc_id, pos, line, last_value(CASE WHEN {is_head} THEN trim(rtrim(line, ':')) END IGNORE NULLS)
              OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS section FROM ln),
-body AS (SELECT * FROM tagged WHERE NOT regexp_matches(line, '^[\p{{Lu}} ]{{4,}}:?$'))"""
+body AS (SELECT * FROM tagged WHERE NOT {is_head})"""
 
 
 _TAGGED = "SELECT doc_id, CAST(pos AS BIGINT) AS pos, line, section FROM tagged"
@@ -375,8 +407,8 @@ FROM ({C.JD_SQL}) s LEFT JOIN found f ON s.doc_id = f.doc_id GROUP BY s.doc_id""
 
 
 def years(text: str = "text") -> str:
-    found = rf"regexp_extract_all({text}, '(?i)([0-9]+)\+?\s+años', 1)"
-    return f"coalesce(list_max(list_transform({found}, lambda y: CAST(y AS DOUBLE))), 0.0)"
+    found = rf"regexp_extract_all({text}, '(?i)([0-9]+(?:[.,][0-9]+)?)\+?\s+años', 1)"
+    return f"coalesce(list_max(list_transform({found}, lambda y: CAST(replace(y, ',', '.') AS DOUBLE))), 0.0)"
 
 
 def level(value: str) -> str:
@@ -426,7 +458,7 @@ _CV_TEXT = f"SELECT doc_id, text FROM ({C.CV_SQL})"
 _JD_TEXT = f"SELECT doc_id, text FROM ({C.JD_SQL})"
 
 ORACLE["extract_languages"] = f"""
-WITH {lines_of(_CV_TEXT)}, {PAIRS}
+WITH {lines_of(_CV_TEXT, known=True)}, {PAIRS}
 SELECT s.doc_id, coalesce(string_agg(pair, '; ' ORDER BY pos), '') AS languages
 FROM src s LEFT JOIN pairs p ON s.doc_id = p.doc_id GROUP BY s.doc_id"""
 
@@ -438,10 +470,10 @@ MENTIONS = joined(
 ORACLE["language_mentions"] = f"SELECT doc_id, {MENTIONS} AS languages FROM ({C.JD_SQL})"
 
 ORACLE["extract_positions"] = f"""
-WITH {lines_of(_CV_TEXT)} SELECT doc_id, {dated('experience')} AS positions FROM body GROUP BY doc_id"""
+WITH {lines_of(_CV_TEXT, known=True)} SELECT doc_id, {dated('experience')} AS positions FROM body GROUP BY doc_id"""
 
 ORACLE["extract_careers"] = f"""
-WITH {lines_of(_CV_TEXT)} SELECT doc_id, {dated('education')} AS careers FROM body GROUP BY doc_id"""
+WITH {lines_of(_CV_TEXT, known=True)} SELECT doc_id, {dated('education')} AS careers FROM body GROUP BY doc_id"""
 
 
 def bullets(part: str) -> str:
@@ -459,7 +491,7 @@ def technical(items: str) -> str:
 
 
 ORACLE["split_requirements"] = f"""
-WITH {lines_of(_JD_TEXT)},
+WITH {lines_of(_JD_TEXT, known=True)},
 b AS (SELECT doc_id, {bullets('mandatory')} AS must_items, {bullets('desirable')} AS nice_items FROM body GROUP BY doc_id)
 SELECT doc_id, must_items, nice_items, {technical('must_items')} AS must_skills, {technical('nice_items')} AS nice_skills
 FROM b"""
@@ -470,43 +502,48 @@ ORACLE["extract_job_title"] = f"SELECT doc_id, {JOB_TITLE} AS job_title FROM ({C
 
 
 def sentences(text: str) -> str:
-    cut = rf"regexp_replace(trim({text}), '([.!?])[\t-\r\x{{1c}}-\x{{20}}\x{{85}}\p{{Z}}]+', '\1' || chr(1), 'g')"
+    blank = r"[\t-\r\x{1c}-\x{20}\x{85}\p{Z}]"
+    cut = rf"regexp_replace(trim({text}), '([.!?]){blank}+|{blank}*\n{blank}*', '\1' || chr(1), 'g')"
     return f"array_to_string(string_split({cut}, chr(1))[1:3], ' ')"
 
 
-def leading(part: str, text: str) -> str:
-    """Leading sentences of the part, else of the text, from body and src."""
+def leading(part: str) -> str:
+    """Leading sentences of the part's prose from body and src; of the whole where there is no heading."""
     inside = f"section IN ({listed(L.SECTIONS[part])})"
+    if part == "profile":
+        inside += " OR doc_id NOT IN (SELECT doc_id FROM tagged WHERE section IS NOT NULL)"
+    full = r"regexp_matches(line, '[^\t-\r\x{1c}-\x{20}\x{85}\p{Z}]')"
     return f"""
-lead AS (SELECT doc_id, trim(string_agg(line, ' ' ORDER BY pos)) AS words FROM body WHERE {inside} GROUP BY doc_id),
-summed AS (SELECT s.doc_id, CASE WHEN coalesce(words, '') <> '' THEN {sentences('words')} ELSE {sentences(text)} END AS summary
-           FROM src s LEFT JOIN lead l ON s.doc_id = l.doc_id)"""
+prose AS (SELECT *, regexp_matches(line, '{_BULLET}') AS item FROM body WHERE ({inside}) AND {full}),
+lead AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT item),
+           string_agg(regexp_extract(line, '{_BULLET}', 1), chr(10) ORDER BY pos)) AS words FROM prose GROUP BY doc_id),
+summed AS (SELECT s.doc_id, coalesce({sentences('words')}, '') AS summary FROM src s LEFT JOIN lead l ON s.doc_id = l.doc_id)"""
 
 
 for _name, _source in (("summarize", DOCS), ("summarize_cvs", _CV_TEXT)):
-    ORACLE[_name] = f"WITH {lines_of(_source)}, {leading('profile', 'text')} SELECT * FROM summed"
+    ORACLE[_name] = f"WITH {lines_of(_source, known=True)}, {leading('profile')} SELECT * FROM summed"
 
 
 ORACLE["build_cv_records"] = f"""
-WITH {lines_of(masked(C.CV_SQL), 'text_anon')}, {leading('profile', 'text_anon')}, {PAIRS},
-{grams(masked(C.CV_SQL), 'text_anon')},
+WITH {lines_of(masked(C.CV_SQL, lead=True), 'text_anon', known=True)}, {leading('profile')}, {PAIRS},
+{grams(masked(C.CV_SQL, lead=True), 'text_anon')},
 found AS (SELECT doc_id, term, category FROM grams JOIN {terms_values(L.TERMS)} USING (term)),
 terms AS (SELECT doc_id, {', '.join(f'{hits(c)} AS {c}' for c in _CATEGORIES)} FROM found GROUP BY doc_id),
 langs AS (SELECT doc_id, string_agg(pair, '; ' ORDER BY pos) AS languages FROM pairs GROUP BY doc_id),
 jobs AS (SELECT doc_id, {dated('experience')} AS positions, {dated('education')} AS careers FROM body GROUP BY doc_id),
-grade AS ({education(masked(C.CV_SQL), 'text_anon')}),
+grade AS ({education(masked(C.CV_SQL, lead=True), 'text_anon')}),
 yrs AS (SELECT doc_id, {years('text_anon')} AS years FROM src)
 SELECT src.doc_id, {rid('src.doc_id')} AS candidato_id, {level('years')} AS nivel_experiencia, years AS anos_experiencia,
        coalesce(tecnico, '') AS skills_tecnicos, coalesce(blando, '') AS skills_blandos,
        coalesce(industria, '') AS industrias, coalesce(positions, '') AS cargos_anteriores,
        highest AS nivel_educacion, coalesce(careers, '') AS carreras, coalesce(certificacion, '') AS certificaciones,
        coalesce(languages, '') AS idiomas, summary AS resumen_perfil,
-       CASE WHEN highest IS NULL THEN 'nivel_educacion' ELSE '' END AS errors
+       concat_ws('; ', CASE WHEN highest IS NULL THEN 'nivel_educacion' END, CASE WHEN summary = '' THEN 'resumen_perfil' END) AS errors
 FROM src JOIN yrs USING (doc_id) JOIN summed USING (doc_id) LEFT JOIN terms USING (doc_id)
 LEFT JOIN langs USING (doc_id) LEFT JOIN jobs USING (doc_id) LEFT JOIN grade USING (doc_id)"""
 
 ORACLE["build_jd_records"] = f"""
-WITH {lines_of(C.JD_SQL)}, {leading('role', 'text')}, {grams(C.JD_SQL)},
+WITH {lines_of(C.JD_SQL, known=True)}, {leading('role')}, {grams(C.JD_SQL)},
 found AS (SELECT doc_id, term, category FROM grams JOIN {terms_values(L.TERMS)} USING (term)),
 terms AS (SELECT doc_id, {hits('industria')} AS industria FROM found GROUP BY doc_id),
 reqs AS (SELECT doc_id, {bullets('mandatory')} AS must, {bullets('desirable')} AS nice FROM body GROUP BY doc_id),
@@ -515,6 +552,6 @@ yrs AS (SELECT doc_id, {years()} AS years FROM src)
 SELECT src.doc_id, {rid('src.doc_id')} AS jd_id, {JOB_TITLE} AS titulo_puesto, {level('years')} AS nivel_requerido,
        years AS anos_experiencia_min, {technical('must')} AS skills_requeridos, {technical('nice')} AS skills_deseables,
        coalesce(industria, '') AS industria_preferida, coalesce(lowest, '{L.NO_DEGREE}') AS nivel_educacion_minimo,
-       {MENTIONS} AS idiomas_requeridos, summary AS descripcion_rol, '' AS errors
+       {MENTIONS} AS idiomas_requeridos, summary AS descripcion_rol, CASE WHEN summary = '' THEN 'descripcion_rol' ELSE '' END AS errors
 FROM src JOIN yrs USING (doc_id) JOIN summed USING (doc_id) LEFT JOIN terms USING (doc_id)
 LEFT JOIN reqs USING (doc_id) LEFT JOIN grade USING (doc_id)"""

@@ -15,6 +15,7 @@ from legajo.functions.contract import CV_RULES, JD_RULES, record_schema
 from legajo.operators import anonymize as A
 from legajo.operators import assemble, attempts, correlate, extract, records, requests, validate
 from legajo.plans import corpora as C
+from legajo.plans import replies as lifecycle
 from legajo.session import scratch_path
 from legajo.sources import files, sinks
 
@@ -212,6 +213,19 @@ def render_cv_request(spark, sf_dir):
     return requests.render_cv_request(A.anonymize(C.cv_corpus(spark, sf_dir)), SALT)
 
 
+@query
+def request_payloads(spark, sf_dir):
+    asked, _ = lifecycle.cv_requests(C.cv_corpus(spark, sf_dir), SALT, "local", "modelo-1")
+    read = lambda path: F.get_json_object("payload", path)
+    return asked.select(
+        "doc_id",
+        read("$.messages[0].role").alias("first_role"),
+        F.md5(read("$.messages[1].content")).alias("user_digest"),
+        read("$.max_tokens").cast("int").alias("max_tokens"),
+        read("$.model").alias("model"),
+    )
+
+
 @query
 def render_jd_request(spark, sf_dir):
     return requests.render_jd_request(C.jd_corpus(spark, sf_dir), SALT)
@@ -247,7 +261,7 @@ def line_preview(spark, sf_dir):
 
 @query
 def correlate_responses(spark, sf_dir):
-    people = C.table(spark, sf_dir, "customer", "c_custkey", even=False)
+    people = C.table(spark, sf_dir, "customer", "c_custkey")
     asked = people.select(
         F.col("c_custkey").alias("doc_id"), F.concat(F.lit("rid-"), "c_custkey").alias("record_id")
     )
@@ -315,6 +329,22 @@ def validate_jd(spark, sf_dir):
     )
 
 
+@query
+def jd_records_from_replies(spark, sf_dir):
+    parts = C.table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_size")
+    key = F.col("p_partkey").alias("doc_id")
+    asked = parts.select(key, F.concat(F.lit("rid-"), "p_partkey").alias("record_id"))
+    sent = parts.select(key, F.expr(C.JD_REPLY_BODY).alias("body"), F.expr(C.JD_REPLY_ECHO).alias("rid"))
+    built = lifecycle.jd_records(asked, sent.filter("doc_id % 13 <> 0"), parts.select(key, F.col("p_name").alias("title")))
+    return built.select(
+        "doc_id",
+        "status",
+        _joined(F.col("errors")).alias("errors"),
+        F.col("record.titulo_puesto").alias("title"),
+        F.col("record.anos_experiencia_min").alias("years"),
+    )
+
+
 @query
 def split_quarantine(spark, sf_dir):
     checked = validate.validate_cv(C.replies(spark, sf_dir))
@@ -349,8 +379,8 @@ def extract_terms_table(spark, sf_dir):
     names = brands.select(F.lower("p_type").alias("term"), F.lit("rubro").alias("category"))
     sizes = brands.select(F.concat(F.col("p_size") % 9, F.lit("+ años")).alias("term"), F.lit("plazo").alias("category"))
     lexicon = names.union(sizes).distinct()
-    jds = C.jd_corpus(spark, sf_dir, even=False)
-    found = extract.extract_terms_table(jds, lexicon, ["rubro", "plazo"], max_words=2)
+    jds = C.jd_corpus(spark, sf_dir)
+    found = extract.extract_terms_table(jds, lexicon, ["rubro", "plazo"])
     return found.select("doc_id", _joined(F.col("rubro")).alias("rubro"), _joined(F.col("plazo")).alias("plazo"))
 
 
@@ -396,6 +426,20 @@ def extract_careers(spark, sf_dir):
     return found.select("doc_id", _joined(F.col("careers")).alias("careers"))
 
 
+@query
+def title_or_stem(spark, sf_dir):
+    parts = C.table(spark, sf_dir, "part", "p_partkey", "p_name")
+    given = F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).when(F.col("p_partkey") % 3 == 1, "")
+    stem = F.concat(F.lit("puesto-"), F.translate("p_name", " ", "_"))
+    return parts.select("p_partkey", T.title_or_stem(given, stem).alias("title"))
+
+
+@query
+def fatal_reason(spark, sf_dir):
+    log = C.attempt_log(spark, sf_dir)
+    return log.select("event_id", errors.fatal_reason(F.col("error_class"), F.col("message")).alias("reason"))
+
+
 @query
 def split_requirements(spark, sf_dir):
     found = extract.split_requirements(C.jd_corpus(spark, sf_dir))

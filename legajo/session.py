@@ -1,12 +1,13 @@
-"""Session helpers: local defaults, shared scratch folder, input spreading."""
+"""Session helpers: local defaults, shared scratch folder."""
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "legajo") -> SparkSession:
@@ -26,22 +27,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
     Executors must all see it, so the cluster's own setting is used. Only a
-    session without one (a local test) gets a temporary folder.
+    session in one process without one (a local test) gets a temporary folder.
+    What is written there is the caller's to remove.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        # "local-cluster" has executors of its own.
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="legajo-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input too small to fill them.
-
-    A small Parquet file is one row group and so one task. ``df`` must be a
-    plain scan. Inputs with a partition per core or more, which is every large
-    one, come back unchanged and without a shuffle.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from urllib.parse import urlsplit, urlunsplit
+from functools import reduce
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from legajo.session import scratch_path
+
 # Which reader a lower-cased suffix asks for; all else is text.
 KINDS = {".pdf": "pdf", ".docx": "docx", ".doc": "docx"}
 
@@ -36,37 +40,84 @@ def with_name_parts(df: DataFrame, path: str = "path") -> DataFrame:
     )
 
 
-def _files_below(folder: str) -> list[tuple[str, int]]:
-    """(path as Spark writes it, length) of the files below a folder."""
+def _store(path: str):
+    """The file system of a path as Spark writes it, the path in it, and what stood in front.
+
+    Paths are plain: blanks, ``%`` and ``#`` in them mean themselves.
+    """
     from pyarrow import fs
 
-    parts = urlsplit(folder if ":" in folder else f"file:{folder}")
-    store, root = fs.FileSystem.from_uri(
-        urlunsplit(parts._replace(scheme="s3")) if parts.scheme == "s3a" else urlunsplit(parts)
-    )
-    if parts.scheme == "file":
-        head = "file:"
-    else:
-        # Object stores count the bucket as part of the path.
-        head = f"{parts.scheme}://{parts.netloc if root.startswith('/') else ''}"
-    found = store.get_file_info(fs.FileSelector(root, recursive=True))
-    return [(f"{head}{f.path}", f.size) for f in found if f.type == fs.FileType.File]
+    scheme, mark, rest = path.partition("://")
+    if not mark or scheme == "file":
+        return fs.LocalFileSystem(), re.sub("^file:(//)?", "", path), "file:"
+    host, _, inner = rest.partition("/")
+    store, root = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{host}/{quote(inner)}")
+    # Object stores count the bucket as part of the path.
+    return store, root, f"{scheme}://{host if root.startswith('/') else ''}"
+
+
+def _entries(folder: str, rows: int = 10_000) -> Iterator[pd.DataFrame]:
+    """(path, length, is_folder) of what lies in a folder, not below it."""
+    from pyarrow import fs
+
+    store, root, head = _store(folder)
+    found = store.get_file_info(fs.FileSelector(root, recursive=False))
+    for at in range(0, len(found), rows):
+        part = found[at : at + rows]
+        yield pd.DataFrame(
+            {
+                "path": [f"{head}{f.path}" for f in part],
+                "length": [f.size or 0 for f in part],
+                "is_folder": [f.type == fs.FileType.Directory for f in part],
+            }
+        )
 
 
 def list_folder(spark: SparkSession, folders: str | list[str]) -> DataFrame:
-    """(path, length) of every file below the folders, listed by tasks.
+    """(path, length) of every file below the folders.
 
-    One task per folder, so name the subfolders of a large store one by one.
+    Level by level: all folders of one depth are listed side by side by tasks, and
+    each level's listing is a table in the shared folder, so no task and not the driver holds
+    more than one folder's entries.
     """
     folders = [folders] if isinstance(folders, str) else folders
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for folder in batch["folder"]:
-                yield pd.DataFrame(_files_below(folder), columns=["path", "length"])
+                yield from _entries(folder)
 
-    names = spark.createDataFrame([(f,) for f in folders], "folder string")
-    return names.repartition(len(folders)).mapInPandas(walk, "path string, length long")
+    level = spark.createDataFrame([(f,) for f in folders], "folder string")
+    schema, found = "path string, length long, is_folder boolean", []
+    while True:
+        place = scratch_path(spark, "listing")
+        level.repartition("folder").mapInPandas(walk, schema).write.parquet(place)
+        listed = spark.read.schema(schema).parquet(place)
+        found.append(listed.filter("not is_folder").select("path", "length"))
+        level = listed.filter("is_folder").select(F.col("path").alias("folder"))
+        if level.isEmpty():
+            return reduce(DataFrame.union, found)
+
+
+def read_files(manifest: DataFrame, rows: int = 64) -> DataFrame:
+    """(path, name, stem, suffix, content) of the files of a manifest with a ``path`` column.
+
+    Tasks open the files, ``rows`` of them at a time; the driver never sees a path. For
+    folders of so many small files that listing them is the work.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), rows):
+                out = []
+                for path in batch["path"].iloc[at : at + rows]:
+                    store, inner, _ = _store(path)
+                    with store.open_input_stream(inner) as stream:
+                        out.append((path, stream.read()))
+                yield pd.DataFrame(out, columns=["path", "content"])
+
+    files = manifest.select("path").mapInPandas(read, "path string, content binary")
+    return with_name_parts(files).select("path", "name", "stem", "suffix", "content")
 
 
 def scan_documents(

@@ -67,6 +67,9 @@ def _reader(read: Callable[[bytes], list[str]]):
                 return None
             try:
                 return read(bytes(data))
+            except ImportError:
+                # A worker without the library says nothing about the file.
+                raise
             except Exception:
                 return None
 

@@ -48,4 +48,6 @@ def read_documents_text(spark: SparkSession, path: str, doc: str = "doc_id", *,
     raw = spark.read.option("lineSep", _END).text(path)
     value = F.replace(F.col("value"), F.lit(_ESCAPED), F.lit(_MARK))
     key = F.substring_index(value, "\n", 1)
-    return raw.select(key.alias(doc), F.substr(value, F.length(key) + 2).alias("text"))
+    # A null text has no line break behind the id.
+    text = F.when(value.contains("\n"), F.substr(value, F.length(key) + 2))
+    return raw.select(key.alias(doc), text.alias("text"))

@@ -1,11 +1,9 @@
-"""Assembly against a plain grouping, also with documents too big for one task."""
+"""Assembly against a plain grouping."""
 
 import random
 from collections import defaultdict
 
-import pytest
-
-from legajo.operators.assemble import assemble_pages, assemble_paragraphs
+from legajo.operators.assemble import assemble_pages, assemble_paragraphs, order_pages
 
 
 def pages(n_docs, rng):
@@ -24,13 +22,12 @@ def expected(rows, keep=lambda t: True):
     return {d: "\n".join(t for _, t in sorted(ps)) for d, ps in docs.items()}
 
 
-@pytest.mark.parametrize("max_chars", [None, 1_000])
-def test_pages(spark, max_chars):
+def test_pages(spark):
     rows = pages(300, random.Random(3))
     df = spark.createDataFrame(rows, "doc long, page int, text string").repartition(8)
-    out = assemble_pages(df, "doc", "page", "text", max_chars).collect()
+    out = assemble_pages(df, "doc", "page", "text").collect()
     assert {r["doc"]: r["text"] for r in out} == expected(rows)
-    assert {r["part"] for r in out} == {0} and len(out) == 300
+    assert len(out) == 300
 
 
 def test_paragraphs(spark):
@@ -41,17 +38,14 @@ def test_paragraphs(spark):
     assert "" in out.values()
 
 
-def test_a_document_with_a_third_of_all_pages_stays_in_parts(spark):
-    rows = [(d, p, f"{d}.{p}") for d in range(400) for p in range(5)]
-    rows += [(999, p, f"texto {p}") for p in range(1_000)]
-    df = spark.createDataFrame(rows, "doc long, page int, text string").repartition(8)
-    out = assemble_pages(df, "doc", "page", "text", max_chars=2_000).collect()
-    big = sorted((r["part"], r["text"]) for r in out if r["doc"] == 999)
-    assert len(big) == 1_000
-    assert "\n".join(t for _, t in big) == expected(rows)[999]
-    assert {r["doc"]: r["text"] for r in out if r["doc"] != 999} == {
-        d: t for d, t in expected(rows).items() if d != 999
-    }
+def test_pages_of_a_large_document_are_ordered_over_tasks(spark):
+    rows = [(d, f"2020-01-{p:02}", f"{d}.{p}") for d in range(100) for p in range(5)]
+    rows += [(999, f"p{p:05}", f"texto {p}") for p in range(1_000)]
+    df = spark.createDataFrame(rows, "doc long, page string, text string").repartition(8)
+    ordered = order_pages(df, "doc", "page")
+    assert [tuple(r) for r in ordered.collect()] == sorted(rows)
+    big = assemble_pages(ordered.filter("doc = 999"), "doc", "page", "text").collect()
+    assert [(r["doc"], r["text"]) for r in big] == [(999, expected(rows)[999])]
 
 
 def test_null_document(spark):

@@ -1,12 +1,9 @@
-"""Correlation and skew joins against dictionaries, with hot, unknown and null keys."""
+"""Correlation against dictionaries, with hot, unknown and null keys."""
 
 import random
 from collections import Counter
 
-from pyspark.sql import functions as F
-
 from legajo.operators.correlate import correlate_responses
-from legajo.operators.skew import skew_join
 
 
 def test_statuses_with_a_hot_document(spark, tmp_path):
@@ -19,7 +16,7 @@ def test_statuses_with_a_hot_document(spark, tmp_path):
     path = str(tmp_path / "replies")
     spark.createDataFrame(replies, "doc_id long, rid string").repartition(6).write.parquet(path)
     requests = spark.createDataFrame(asked, "doc_id long, record_id string")
-    out = correlate_responses(requests, spark.read.parquet(path), hot_rows=50).collect()
+    out = correlate_responses(requests, spark.read.parquet(path)).collect()
     want, ids = Counter(), dict(asked)
     for d, e in replies:
         status = "unknown" if d not in ids else "matched" if e == ids[d] else "id_mismatch"
@@ -29,23 +26,8 @@ def test_statuses_with_a_hot_document(spark, tmp_path):
     assert Counter((r["doc_id"], r["rid"], r["record_id"], r["status"]) for r in out) == want
 
 
-def test_skew_join_spreads_hot_and_null_keys(spark, tmp_path):
-    path = str(tmp_path / "facts")
-    rows = [(1, "copia")] * 3_000 + [(None, "x")] * 3_000 + [(k, "y") for k in range(2, 3_000)]
-    spark.createDataFrame(rows, "k long, v string").repartition(8).write.parquet(path)
-    facts = spark.read.parquet(path)
-    lookup = spark.range(0, 2_000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        joined = skew_join(facts, lookup, "k", "left", hot_rows=100)
-        spots = joined.groupBy("k", F.spark_partition_id().alias("p")).count().collect()
-        inner = skew_join(facts, lookup, "k", "inner", hot_rows=100).count()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert sum(r["count"] for r in spots) == len(rows)
-    for hot in (1, None):
-        parts = [r["count"] for r in spots if r["k"] == hot]
-        assert sum(parts) == 3_000 and len(parts) > 4 and max(parts) < 1_500
-    assert inner == 3_000 + 1_998
+def test_repeated_requests_are_reported_once_per_reply(spark):
+    requests = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "doc_id long, record_id string")
+    replies = spark.createDataFrame([(1, "a"), (2, "c")], "doc_id long, rid string")
+    out = correlate_responses(requests, replies).collect()
+    assert sorted((r["doc_id"], r["status"]) for r in out) == [(1, "repeated"), (2, "matched")]

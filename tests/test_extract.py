@@ -25,7 +25,7 @@ def test_sections_carry_the_last_heading(spark):
     for i, text in enumerate(docs):
         section = None
         for pos, line in enumerate(text.split("\n")):
-            if re.fullmatch(r"[A-ZÁÉÍÓÚÑ ]{4,}:?", line):
+            if re.fullmatch(r"[A-ZÁÉÍÓÚÑ ]+:?", line) and sum(map(str.isupper, line)) >= 4:
                 section = line.rstrip(":").strip()
             want.add((i, pos, line, section))
     got = [tuple(r) for r in extract.tag_sections(df).collect()]
@@ -58,27 +58,54 @@ def test_terms(spark):
         assert {c: r[c] for c in set(L.TERMS.values())} == by_hand(docs[r["doc_id"]], L.TERMS)
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 5, "hot_rows": 50}])
-def test_terms_from_a_table_agree(spark, tmp_path, limits):
+def test_terms_from_a_table_agree(spark, tmp_path):
     docs = word_docs(400, 3) + ["python"] * 200
     path = str(tmp_path / "docs")
     spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string").repartition(8).write.parquet(path)
     df = spark.read.parquet(path)
     lexicon = spark.createDataFrame(list(L.TERMS.items()), "term string, category string")
     categories = list(dict.fromkeys(L.TERMS.values()))
-    table = extract.extract_terms_table(df, lexicon, categories, **limits)
+    table = extract.extract_terms_table(df, lexicon, categories)
     assert sorted(table.collect()) == sorted(extract.extract_terms(df).select(*table.columns).collect())
 
 
 def test_lexicon_too_large_for_the_plan(spark):
-    df = spark.createDataFrame([(1, "a")], "doc_id int, text string")
-    with pytest.raises(ValueError):
-        extract.extract_terms(df, {f"t{i}": "c" for i in range(L.MAX_LITERAL_TERMS + 1)})
+    df = spark.createDataFrame([(1, "t7 y t600"), (2, "nada"), (3, None)], "doc_id int, text string")
+    found = extract.extract_terms(df, {f"t{i}": "c" for i in range(L.MAX_LITERAL_TERMS + 200)}).collect()
+    assert {r["doc_id"]: r["c"] for r in found} == {1: ["t600", "t7"], 2: [], 3: []}
+
+
+def test_long_terms_capitals_and_an_empty_lexicon(spark):
+    df = spark.createDataFrame([(1, "Sé administración de bases de  datos y sap"), (2, "")], "doc_id int, text string")
+    lexicon = spark.createDataFrame([("administración de bases de datos", "c"), ("SAP", "c")], "term string, category string")
+    found = {r["doc_id"]: r["c"] for r in extract.extract_terms_table(df, lexicon, ["c"]).collect()}
+    assert found == {1: ["SAP", "administración de bases de datos"], 2: []}
+    none = extract.extract_terms_table(df, lexicon.filter("false"), ["c"]).collect()
+    assert {r["doc_id"]: r["c"] for r in none} == {1: [], 2: []}
+
+
+def test_blanks_and_capitals_in_a_list_leave_the_section_open(spark):
+    text = "IDIOMAS\n    \nInglés: B2\nAWS GCP\nQuechua: C1\nOFRECEMOS:\nItaliano: A1"
+    df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    found = extract.extract_languages(df).first()["languages"]
+    assert [i["idioma"] for i in found] == ["Inglés", "Quechua"]
+
+
+def test_summaries_take_prose_of_their_section_only(spark):
+    rows = [
+        (1, "\nEva Ruiz\nCalle 1\nPERFIL\nUna línea\n- lista\nDos. Tres. Cuatro."),
+        (2, "\nEva Ruiz\nCalle 1\nIDIOMAS\nInglés: B2"),
+        (3, "PERFIL\n- solo\n- lista"),
+        (4, "Sin títulos. Nada más"),
+    ]
+    got = {r["doc_id"]: r["summary"] for r in extract.summarize(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got == {1: "Una línea Dos. Tres.", 2: "", 3: "solo lista", 4: "Sin títulos. Nada más"}
 
 
 def test_years(column):
-    values = ["4 años y 12+  AÑOS", "sin", "", "1" * 400 + " años", "07 años", None]
-    assert column(X.years_required, values) == [12.0, None, None, float("inf"), 7.0, None]
+    values = ["4 años y 12+  AÑOS", "sin", "", "1" * 400 + " años", "07 años", None, "2.5 años", "1,5 años", "5\u00a0años", "5 an\u0303os", "30 años de edad"]
+    want = [12.0, None, None, float("inf"), 7.0, None, 2.5, 1.5, 5.0, 5.0, None]
+    assert column(X.years_required, values) == want
 
 
 def test_levels(column):
@@ -97,10 +124,10 @@ def test_dated_titles(column):
 
 
 def test_language_pairs(column):
-    lines = ["Español: Nativo | Inglés: B2 (TOEFL 95)", "- Portugués :  muy  básico ", "nada", "a: b: c", "x" + " " * 50_000 + "y"]
+    lines = ["Italiano: Nativo | Alemán: C1 (curso 2021)", "- Portugués :  muy  básico ", "nada", "a: b: c", "x" + " " * 50_000 + "y"]
     got = column(X.language_pairs, [lines], "array<string>")[0]
     assert [(i["idioma"], i["nivel"]) for i in got] == [
-        ("Español", "Nativo"), ("Inglés", "B2"), ("Portugués", "muy  básico"),
+        ("Italiano", "Nativo"), ("Alemán", "C1"), ("Portugués", "muy  básico"),
     ]
 
 

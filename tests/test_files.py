@@ -193,7 +193,7 @@ def test_cv_folder_to_records(spark, tmp_path):
     by_name = {r["path"].rsplit("/", 1)[1]: r for r in built}
     assert {n: r["errors"] for n, r in by_name.items()} == {
         "ana.txt": [], "luis.docx": [], "mal.txt": ["decode"], "roto.DOC": ["docx"], "x.pdf": ["pdf"],
-        "vacio.txt": ["text", "nivel_educacion"],
+        "vacio.txt": ["text", "nivel_educacion", "resumen_perfil"],
     }
     ana = by_name["ana.txt"]["record"].asDict(recursive=True)
     assert {k: ana[k] for k in WANT} == WANT

@@ -12,16 +12,16 @@ E, D, U, T, N = R.EMAIL_TAG, R.DNI_TAG, R.RUC_TAG, R.PHONE_TAG, R.NAME_TAG
 
 WHOLE = [
     ("", N),
-    ("\nJuan Perez\nDNI: 47123456", f"{N}\nJuan Perez\nDNI: {D}"),
+    ("\nInés Soto\nDNI: 80011122", f"{N}\nInés Soto\nDNI: {D}"),
     ("Juan\r\nDNI 12345678", f"{N}\nDNI {D}"),
     ("una dos tres cuatro cinco seis\nx", "una dos tres cuatro cinco seis\nx"),
     ("una dos tres cuatro cinco", N),
 ]
 FRAGMENTS = [
-    ("+51 987654321", f"+51 {T}"),
-    ("+51987654321", f"+{U}"),
-    ("x+51 987654321", f"x{T}"),
-    ("x+51\n987654321", f"x{T}"),
+    ("+51 912340056", f"+51 {T}"),
+    ("+51912340056", f"+{U}"),
+    ("x+51 912340056", f"x{T}"),
+    ("x+51\n912340056", f"x{T}"),
     ("14441234", D),
     ("1000000", T),
     ("123456789", "123456789"),
@@ -55,7 +55,7 @@ def by_hand(text: str) -> str:
 PIECES = [
     "a", "é", "_", "9", "12345678", "987654321", "20123456789", "1234567", "+51", "+51 ", "+51\n", "+",
     "@", ".", "-", "x.y", "@b.c", " ", "\n", "\r", "\t", "\x1c", "\x1f", "\x85", " ", " ", "́",
-    "²", "١٢٣٤٥٦٧٨", "ñ", "palabra", "(", ")", ",", ":", "½", "Ⅷ", "漢",
+    "²", "𝐀", "😀", "𝟗", "١٢٣٤٥٦٧٨", "ñ", "palabra", "(", ")", ",", ":", "½", "Ⅷ", "漢",
 ]
 
 
