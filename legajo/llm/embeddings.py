@@ -113,8 +113,8 @@ def near_duplicates(
     Two vectors are linked if their cosine, in double precision, is ``threshold`` or more. ``n_links`` counts the other rows
     linked directly, ``component_id`` is the smallest id that can be reached, ``kept`` says that it is the row's own. A null
     vector, and one that is zero, empty or has null or non-finite components, is linked with nothing. Shorter vectors
-    count as continued with zeros. Rows without an id are counted as links of others and have no component
-    but that of the rows they equal; repeated ids are rows of their own.
+    count as continued with zeros. Rows without an id are counted as links of others and share their component, the
+    smallest id in it, or null where none has one; repeated ids are rows of their own.
     """
     rows = vectors.select(F.col(vec).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("given"))
     fine = F.forall("given", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -123,10 +123,9 @@ def near_duplicates(
     last = F.array_max(F.transform("given", lambda x, i: F.when(x != 0, i + 1)))
     plain = F.transform(F.slice("given", 1, last), lambda x: F.when(x == 0, 0.0).otherwise(x))
     rows = saved(rows.select("id", F.when(usable, plain).alias("given")), "vectors")
-    # A class is named by its smallest id; one of rows without ids only by a number below all ids in use.
+    # Numbers are given while the classes are written and hold as the table is read; ids may be null or repeat.
     classes = rows.filter("given is not null").groupBy("given").agg(F.min("id").alias("low"), F.count("*").alias("weight"))
-    nameless = -F.pmod(F.xxhash64("given"), F.lit(1 << 61)) - F.lit(1 << 61)
-    classes = saved(classes.select("given", "weight", F.coalesce("low", nameless).alias("vec")), "classes")
+    classes = saved(classes.withColumn("vec", F.monotonically_increasing_id()), "classes")
     dims = classes.agg(F.max(F.size("given"))).first()[0] or 1
     turn = axes(classes, dims, fit_rows)
     ends = [s for s in STAGES if s < dims] + [dims]
@@ -195,10 +194,13 @@ def near_duplicates(
 
     found = saved(tiles.mapInPandas(compared, "vec long, n long, low long"), "tiles")
     comps = components(found.select(F.col("vec").alias("a"), F.col("low").alias("b")))
+    comps = comps.join(classes.select(F.col("vec").alias("node"), "low"), "node")
+    least = comps.groupBy("component").agg(F.min("low").alias("least"))
+    comps = comps.select("node", "component").join(least, "component").drop("component")
     counts = found.groupBy("vec").agg(F.sum("n").alias("n"))
     result = classes.join(counts, "vec", "left").join(comps, classes["vec"] == comps["node"], "left")
-    result = result.select("given", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "vec").alias("low"))
+    result = result.select("given", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("least", "low").alias("component"))
     out = rows.join(result, "given", "left")
-    component = F.coalesce(F.when(F.col("low") > -(1 << 61), F.col("low")), "id")
+    component = F.coalesce("component", "id")
     kept = F.coalesce(F.col("id") == component, F.lit(True))
     return out.select(F.col("id").alias(vec), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), kept.alias("kept"))
