@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from legajo.llm.quality import RULES, STEPS
 from legajo.llm.queries import LISTED_HOSTS, URL_RULES
 
+#: A rule's share of the limit on false rejection.
+RATE = 0.02 / len(RULES)
+
 
 def _case(value: int) -> str:
     """CASE of the rules, longest first; ``value`` 0 gives the rule's name, 1 its verdict."""
@@ -51,4 +55,74 @@ SQL = {
             CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN page_id <> last THEN last END AS refers_to
         FROM (SELECT page_id, html, sha1(coalesce(html, '')) AS d, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)""",
+    "op7_minhash_near_dedup": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), starts AS (
+            SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM starts
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), pairs AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * k >= 85 * (p.n + q.n - k)
+        ), ends AS (
+            SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+        ), reach AS (
+            SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.y, r.c FROM reach r JOIN ends e ON r.doc_id = e.x
+        ), least AS (
+            SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)""",
+    "op10_quality_rules": rf"""
+        WITH words AS (
+            SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM words)
+        ), twins AS (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM windows
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest(range(8)) AS k FROM twins WHERE n > 1) GROUP BY doc_id
+        ), lines AS (
+            SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM words)
+            WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id
+        ), measures AS (
+            SELECT doc_id, stratum, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines,
+                coalesce(c.n, 0) AS n_repeat_words, length(regexp_replace(t, '\P{{Lu}}+', '', 'g')) AS n_capitals,
+                length(regexp_replace(t, '[^!?]+', '', 'g')) AS n_marks
+            FROM words LEFT JOIN covered c USING (doc_id) LEFT JOIN lines l USING (doc_id)
+        ), base AS (
+            SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measures
+        ), valued AS (
+            SELECT doc_id, stratum, base_failed, unnest([
+                {{'rule': 'symbols', 'step': least({STEPS}, floor(n_symbols / n_words * {STEPS}))}}, {{'rule': 'repeats', 'step': least({STEPS}, floor(n_repeat_words / n_words * {STEPS}))}},
+                {{'rule': 'capitals', 'step': least({STEPS}, floor(n_capitals / word_chars * {STEPS}))}}, {{'rule': 'marks', 'step': least({STEPS}, floor(n_marks / n_words * {STEPS}))}}
+            ], recursive := true) FROM base
+        ), marked AS (
+            SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+        ), counted AS (
+            SELECT stratum, rule, coalesce(step, 0) AS step, count(*) FILTER (good >= 1) AS good, count(*) FILTER (good < 1) AS bad
+            FROM valued JOIN marked USING (doc_id) WHERE NOT base_failed GROUP BY ALL
+        ), tried AS (
+            SELECT stratum, rule, c, sum(good) AS n, coalesce(sum(good) FILTER (step >= c), 0) AS k, coalesce(sum(bad) FILTER (step >= c), 0) AS bad
+            FROM counted, range(1, {STEPS} + 1) AS t(c) GROUP BY ALL
+        ), tested AS (
+            SELECT *, (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RATE}) + (n - j) * ln(1 - {RATE})))
+                       FROM range(0, 1 + k::BIGINT) AS t(j)) AS chance
+            FROM tried WHERE k <= {RATE} * n
+        ), cuts AS (
+            SELECT stratum, rule, arg_max(c, (bad - 10 * k) * 1000 + c) AS cut FROM tested
+            WHERE bad - 10 * k > 0 AND chance <= 0.05 / 4 / (SELECT count(DISTINCT stratum) FROM counted) GROUP BY ALL
+        ), over AS (
+            SELECT DISTINCT doc_id FROM valued JOIN cuts USING (stratum, rule) WHERE step >= cut
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM over) AS kept
+        FROM base""",
 }
