@@ -163,21 +163,30 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def _dealt(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Keys to build a corpus from, dealt over the session's shuffle partitions.
+
+    A table of keys is one small file whose texts, built from it, are many times larger. The keys are
+    moved, never a text.
+    """
+    return table(spark, sf_dir, name, *columns).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def cv_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text)"""
-    df = table(spark, sf_dir, "customer", K, "c_mktsegment")
+    df = _dealt(spark, sf_dir, "customer", K, "c_mktsegment")
     return df.select(F.col(K).alias("doc_id"), F.expr(CV_TEXT).alias("text"))
 
 
 def jd_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, title, text)"""
-    df = table(spark, sf_dir, "part", P, "p_name", "p_brand", "p_type", "p_size")
+    df = _dealt(spark, sf_dir, "part", P, "p_name", "p_brand", "p_type", "p_size")
     return df.select(F.col(P).alias("doc_id"), F.expr(JD_TITLE).alias("title"), F.expr(JD_TEXT).alias("text"))
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, body)"""
-    df = table(spark, sf_dir, "customer", K)
+    df = _dealt(spark, sf_dir, "customer", K)
     return df.select(F.col(K).alias("doc_id"), F.expr(REPLY_BODY).alias("body"))
 
 

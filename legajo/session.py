@@ -11,13 +11,14 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "legajo") -> SparkSession:
-    """A local session for tests and the benchmark; a cluster brings its own."""
+    """A local session for tests and the benchmark, with a scratch folder; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="legajo-"))
         .config("spark.driver.memory", os.environ.get("LEGAJO_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
