@@ -234,3 +234,26 @@ def test_arriving_files_give_the_batch_result(spark, tmp_path):
     stream = spark.read.parquet(out)
     assert sorted(map(str, stream.collect())) == sorted(map(str, batch.select(*stream.columns).collect()))
     assert stream.filter(F.col("record.nivel_experiencia") == "junior").count() >= 1
+
+
+def test_folders_with_any_name_are_listed_at_every_depth(spark, tmp_path):
+    want = {}
+    for name in ("con espacio", "año", "a%20b", "a#b", "x/y/z"):
+        place = tmp_path / name
+        place.mkdir(parents=True)
+        (place / "f 1.txt").write_text(name, "utf-8")
+        want[f"file:{place}/f 1.txt"] = name
+    (tmp_path / "vacía").mkdir()
+    listed = files.list_folder(spark, str(tmp_path))
+    assert {r["path"]: r["length"] for r in listed.collect()} == {p: len(t.encode()) for p, t in want.items()}
+    read = files.decode_text(files.read_files(listed)).collect()
+    assert {r["path"]: r["text"] for r in read} == want
+    one = files.list_folder(spark, [str(tmp_path / "a#b"), f"file:{tmp_path}/año"])
+    assert one.count() == 2
+
+
+def test_a_null_text_stays_null(spark, tmp_path):
+    rows = [("1", None), ("2", ""), ("3", "a\n\x1eb")]
+    where = str(tmp_path / "texts")
+    sinks.write_documents_text(spark.createDataFrame(rows, "doc_id string, text string"), where)
+    assert sorted((r["doc_id"], r["text"]) for r in sinks.read_documents_text(spark, where).collect()) == rows

@@ -54,3 +54,13 @@ def test_tokens_count_both_parts(spark):
     df = spark.createDataFrame([("uno dos.", "tres")], "system string, user string")
     assert requests.with_tokens(df).first()["tokens"] == 4
     assert df.select(T.token_estimate(F.col("user"))).first()[0] == 1
+
+
+def test_documents_without_text_are_set_aside(spark):
+    from legajo.operators.requests import render_cv_request, sendable, with_model, with_payload
+
+    df = spark.createDataFrame([(1, None), (2, " \n"), (3, "hola")], "doc_id long, text_anon string")
+    asked, empty = sendable(render_cv_request(df, "s"))
+    assert [r["doc_id"] for r in asked.collect()] == [3] and sorted(r["doc_id"] for r in empty.collect()) == [1, 2]
+    body = with_payload(with_model(asked, "casa", "m1"), "chat").first()
+    assert json.loads(body["payload"])["model"] == "m1" and body["provider"] == "casa"

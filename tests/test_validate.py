@@ -145,3 +145,13 @@ def test_json_schema():
     assert "certificaciones" not in schema["required"] and len(schema["properties"]) == 12
     assert schema["properties"]["anos_experiencia"] == {"type": "number", "minimum": 0}
     assert json.loads(json_schema(JD_RULES))["properties"]["idiomas_requeridos"]["items"]["required"] == ["idioma", "nivel"]
+
+
+def test_values_of_another_type_come_out_null(spark):
+    from legajo.functions.contract import CV_RULES
+    from legajo.operators.validate import parse_response
+
+    body = '{"candidato_id":7,"skills_tecnicos":["a",7],"resumen_perfil":{"a":1},"idiomas":[{"idioma":3,"nivel":"B1"}],"industrias":["x"]}'
+    record = parse_response(spark.createDataFrame([(body,)], "body string"), CV_RULES).first()["record"]
+    assert (record["candidato_id"], record["skills_tecnicos"], record["resumen_perfil"]) == (None, None, None)
+    assert record["industrias"] == ["x"] and [tuple(i) for i in record["idiomas"]] == [(None, "B1")]
