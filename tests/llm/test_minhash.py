@@ -93,8 +93,8 @@ def test_pruning_keeps_what_is_similar():
     hashes = lambda n: rng.integers(0, 2**63, n, dtype=np.uint64)
     same, kept = hashes(900), 0
     for _ in range(200):
-        a, b = (minhash.signature(np.r_[same, hashes(79)], 180) for _ in "ab")
+        a, b = (minhash.signature(np.r_[same, hashes(79)]) for _ in "ab")
         kept += len(minhash.survivors(a[None], b[None], 85, 1e-7))
     assert kept == 200
-    far = [len(minhash.survivors(minhash.signature(hashes(500), 180)[None], minhash.signature(hashes(500), 180)[None], 85, 1e-7)) for _ in range(50)]
+    far = [len(minhash.survivors(minhash.signature(hashes(500))[None], minhash.signature(hashes(500))[None], 85, 1e-7)) for _ in range(50)]
     assert sum(far) == 0
