@@ -11,8 +11,9 @@ rejects most bad documents is taken, a good one counting ten times, so that a ru
 good, or a stratum with too few labels to prove anything, gets no cutoff and rejects nothing.
 
 Everything is built from DataFrame functions. A text is measured where it is read; only labelled rows'
-numbers are shuffled. Cutoffs are broadcast: a stratum has one only with ``ln(1/level)/limit`` labelled good
-documents or more, and at most ``max_labelled`` labels are used, which bounds their number.
+numbers are shuffled, and all labels count: they fold map-side into a histogram per stratum and rule. Cutoffs are broadcast:
+a stratum has one only with ``ln(1/level) / (limit / rules)`` labelled good documents or more (some 900 at the default limits), so
+that there are that many times fewer of them than labels.
 """
 
 from __future__ import annotations
@@ -113,18 +114,14 @@ def cutoffs(
     stratum: str = "lang",
     limit: float = 0.02,
     delta: float = 0.05,
-    max_labelled: int = 200_000,
 ) -> DataFrame:
     """(stratum, rule, cut): the chosen cutoffs, from measured and labelled documents.
 
     ``numbers`` has ``doc``, ``stratum`` and the measures; ``labels`` has ``doc`` and ``quality`` (1 good, 0 bad).
     Documents that the base rules reject are not counted: the limit is on what the cutoffs add. A document labelled
     twice counts by its lowest label; null labels and null ids are left out; a null stratum is the stratum ``""``.
-    Above ``max_labelled`` labels a share of them is taken by the hash of the id.
     """
-    share = max_labelled / max(max_labelled, labels.count())
     labels = labels.select(F.col(doc).alias("__doc"), F.col("quality").alias("__good")).dropna()
-    labels = labels.filter(F.pmod(F.xxhash64("__doc"), F.lit(1 << 20)) < int(share * (1 << 20)))
     labels = labels.groupBy("__doc").agg(F.min("__good").alias("__good"))
     df = numbers.filter("not base_failed").join(labels, numbers[doc] == F.col("__doc"))
     df = df.withColumn("stratum", F.coalesce(F.col(stratum).cast("string"), F.lit("")))

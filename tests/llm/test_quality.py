@@ -6,6 +6,7 @@ from collections import Counter
 from math import comb
 
 import pytest
+from pyspark.sql import functions as F
 
 from legajo.llm import quality
 
@@ -86,3 +87,14 @@ def test_without_labels_only_the_base_rules_hold(spark):
     assert cuts.count() == 0 and quality.judged(df, cuts).filter("kept").count() == 100
     twice = marks.union(marks).union(spark.createDataFrame([(None, 1), (3, None)], marks.schema))
     assert quality.cutoffs(df, twice).collect() == quality.cutoffs(df, marks).collect()
+
+
+def test_all_labels_count(spark):
+    """1,500 good labels prove a cutoff, among however many labels of another language."""
+    ids = spark.range(500_000, numPartitions=8).withColumnRenamed("id", "doc_id")
+    good = (F.col("doc_id") >= 100).cast("long")
+    lang = F.when(F.col("doc_id") < 1_600, "few").otherwise("en")
+    row = {"n_words": 100, "word_chars": 400, "n_dup_lines": 0, "n_repeat_words": 0, "n_capitals": 4, "n_marks": 0}
+    df = ids.select("doc_id", lang.alias("lang"), ((1 - good) * 60).alias("n_symbols"), *[F.lit(v).cast("long").alias(k) for k, v in row.items()], F.lit(False).alias("base_failed"))
+    got = quality.cutoffs(df, ids.select("doc_id", good.alias("quality"))).collect()
+    assert [tuple(r) for r in got] == [("few", "symbols", 0.6)]
