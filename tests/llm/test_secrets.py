@@ -54,3 +54,21 @@ def test_masking_takes_secrets_and_nothing_else(spark, forest):
     got = sorted((str(r["text"]) for r in out.collect()))
     assert out.columns == df.columns
     assert got == sorted(["None", "None", 'token = "[secret]" y [secret]', "api_key: [secret]", clean, 'token = "[secret]"'])
+
+
+def test_short_and_signed_values_are_masked(spark, forest):
+    texts = {
+        'password = "Tr0ub4dor&3"': 'password = "[secret]"',
+        'x client_secret = "p@ss.W0rd!2024$x" y': 'x client_secret = "[secret]" y',
+        "api_key: k3J9xQ2mZ7pL y": "api_key: [secret] y",
+        'token = "qzkfhwmrtbxplcvdkq"': 'token = "[secret]"',
+        "AUTH_TOKEN=f7!aQ9$zX, Tr0ub4dor": "AUTH_TOKEN=[secret] Tr0ub4dor",
+        "password: required": None,
+        "the token: verment and more": None,
+        "author: Tr0ub4dor&3": None,
+    }
+    df = spark.createDataFrame([(i, t, "conf") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in secrets.masked(df, forest).collect()}
+    assert got == {i: want or t for i, (t, want) in enumerate(texts.items())}
+    found = secrets.candidates(df).filter("doc_id = 1").collect()
+    assert [(r["candidate"], r["before"], r["after"]) for r in found] == [("p@ss.W0rd!2024$x", 'x client_secret = "', '" y')]
