@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from legajo.functions import lexicon as L
@@ -40,6 +40,14 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_WORDS), F.lit(0))
 
 
+def term_runs(spark: SparkSession, terms: Sequence[str]) -> dict[str, str]:
+    """The run of words that each of a few terms is, by the rule for texts; ``""`` where it has none."""
+    if not terms:
+        return {}
+    runs = spark.range(1).select(F.array(*[F.concat_ws(" ", words(F.lit(t))) for t in terms]).alias("runs")).first()["runs"]
+    return dict(zip(terms, runs))
+
+
 def grams(tokens: Column, n: Column) -> Column:
     """Runs of ``n`` words. ``tokens`` and ``n`` should be plain columns."""
     last = F.size(tokens) - n + 1

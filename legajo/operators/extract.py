@@ -84,22 +84,33 @@ def extract_terms(
     doc: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """(``doc``, one sorted array per category of the lexicon's terms found)."""
+    """(``doc``, one sorted array per category of the lexicon's terms found).
+
+    Terms are met as runs of words, in any case, and come out as the lexicon writes them. Each row gives
+    a row, also where ids repeat; a null text has no terms. Lexicons of any size give the same.
+    """
+    categories = list(dict.fromkeys(lexicon.values()))
+    work = df.select(doc, F.coalesce(F.col(text), F.lit("")).alias(text))
     if len(lexicon) > L.MAX_LITERAL_TERMS:
-        # Too many for constants in the plan: the same answer from a table.
+        # Too many for constants in the plan: the same answer from a table, per text and back to the rows.
         rows = df.sparkSession.createDataFrame(list(lexicon.items()), "term string, category string")
-        return extract_terms_table(df, rows, list(dict.fromkeys(lexicon.values())), doc, text)
-    work = with_words(df.select(doc, text), text, list(lexicon))
-    categories = list(dict.fromkeys(lexicon.values()))
-    return work.select(
-        doc,
-        *[
-            X.found_terms(
-                F.col("_hits"), F.col("_spaced"), [t for t, c in lexicon.items() if c == cat]
-            ).alias(cat)
-            for cat in categories
-        ],
-    )
+        work = work.withColumn("_key", F.sha2(F.encode(text, "UTF-8"), 256))
+        found = extract_terms_table(work.select("_key", text), rows, categories, "_key", text)
+        return work.select(doc, "_key").join(found, "_key").select(doc, *categories)
+    runs: dict[str, dict[str, list[str]]] = {cat: {} for cat in categories}
+    for term, run in X.term_runs(df.sparkSession, list(lexicon)).items():
+        if run:
+            runs[lexicon[term]].setdefault(run, []).append(term)
+    work = with_words(work, text, sorted({run for terms in runs.values() for run in terms}))
+
+    def found_in(cat: str) -> Column:
+        found = X.found_terms(F.col("_hits"), F.col("_spaced"), list(runs[cat]))
+        if all(terms == [run] for run, terms in runs[cat].items()):
+            return found
+        written = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for pair in runs[cat].items() for x in pair])
+        return F.array_sort(F.flatten(F.transform(found, lambda run: F.element_at(written, run))))
+
+    return work.select(doc, *[found_in(cat).alias(cat) for cat in categories])
 
 
 def extract_terms_table(

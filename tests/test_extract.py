@@ -75,6 +75,15 @@ def test_lexicon_too_large_for_the_plan(spark):
     assert {r["doc_id"]: r["c"] for r in found} == {1: ["t600", "t7"], 2: [], 3: []}
 
 
+@pytest.mark.parametrize("size", [2, 600])
+def test_lexicons_of_any_size_give_the_same(spark, size):
+    rows = [(1, "Usa SAP y machine-learning"), (1, "sap"), (1, "sap"), (2, None), (None, "Machine learning"), (3, "nada")]
+    lexicon = {"SAP": "c", "machine-learning": "c"} | {f"relleno{i}": "c" for i in range(size - 2)}
+    found = extract.extract_terms(spark.createDataFrame(rows, "doc_id int, text string"), lexicon)
+    got = sorted((str(r["doc_id"]), r["c"]) for r in found.collect())
+    assert got == [("1", ["SAP"]), ("1", ["SAP"]), ("1", ["SAP", "machine-learning"]), ("2", []), ("3", []), ("None", ["machine-learning"])]
+
+
 def test_long_terms_capitals_and_an_empty_lexicon(spark):
     df = spark.createDataFrame([(1, "Sé administración de bases de  datos y sap"), (2, "")], "doc_id int, text string")
     lexicon = spark.createDataFrame([("administración de bases de datos", "c"), ("SAP", "c")], "term string, category string")
