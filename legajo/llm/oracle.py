@@ -125,4 +125,77 @@ SQL = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
             NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM over) AS kept
         FROM base""",
+    "op12_source_divergence": r"""
+        WITH docs AS (
+            SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), held AS (
+            SELECT lang, source, term, count(*) AS n, count(DISTINCT doc) AS docs
+            FROM (SELECT row_number() OVER () AS doc, lang, source, unnest(w) AS term FROM docs) GROUP BY ALL
+        ), kept AS (
+            SELECT lang, term, sum(n)::HUGEINT AS n FROM held GROUP BY ALL HAVING sum(docs) >= 10
+        ), groups AS (
+            SELECT DISTINCT lang, source FROM docs
+        ), counts AS (
+            SELECT g.lang, g.source, k.term, coalesce(h.n, 0)::HUGEINT AS n, k.n AS lang_n
+            FROM groups g JOIN kept k USING (lang) LEFT JOIN held h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term
+        ), sizes AS (
+            SELECT lang, source, sum(n) + 2 * count(*) AS size, sum(lang_n) + 2 * count(*) AS lang_size FROM counts GROUP BY ALL
+        ), shares AS (
+            SELECT lang, source, term, n, 1 + 1000000000 * (n + 2) // size AS p, 1 + 1000000000 * (lang_n + 2) // lang_size AS q
+            FROM counts JOIN sizes USING (lang, source)
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), valued AS (
+            SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(p.value, 0)::BIGINT AS value
+            FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source
+            LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = o.source
+            UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM shares WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM valued
+        )
+        SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10""",
+    # A run's windows of three words recur one period on; with four periods or more, a stretch's smallest period divides its others.
+    "op13_periodic_runs": r"""
+        WITH hashed AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                xor(list_reduce(
+                    flatten([[ord(x), -1, -1, -1, -1, -1, -1, -1, -1] for x in string_split(doc_id::VARCHAR, '')]),
+                    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END, 4294967295::BIGINT), 4294967295) AS h
+            FROM documents
+        ), placed AS (
+            SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM hashed
+        ), texts AS (
+            SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+                THEN [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] for i in range(n)] ELSE w END AS w
+            FROM placed
+        ), triples AS (
+            SELECT doc_id, n, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS s FROM (SELECT *, unnest(range(n - 2)) AS i FROM texts)
+        ), again AS (
+            SELECT a.doc_id, a.i, b.i - a.i AS q FROM triples a JOIN triples b ON a.doc_id = b.doc_id AND a.s = b.s AND a.i < b.i AND 4 * (b.i - a.i) <= a.n
+        ), islands AS (
+            SELECT doc_id, q, min(i) AS start, count(*) + 2 + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM again) GROUP BY doc_id, q, island
+        ), runs AS (
+            SELECT doc_id, start, length, min(q) AS period FROM islands GROUP BY ALL HAVING length >= greatest(6, 4 * min(q))
+        ), dropped AS (
+            SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+        ), left_over AS (
+            SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS s FROM (
+                SELECT t.doc_id, t.i, t.x FROM (SELECT doc_id, unnest(range(n)) AS i, unnest(w) AS x FROM texts) t ANTI JOIN dropped USING (doc_id, i)
+            ) GROUP BY doc_id
+        ), best AS (
+            SELECT doc_id, start, length, period FROM (
+                SELECT r.*, count(*) FILTER (o.length * r.period > r.length * o.period
+                    OR o.length * r.period = r.length * o.period AND (o.start, o.period) < (r.start, r.period)) AS ahead
+                FROM runs r JOIN runs o USING (doc_id) GROUP BY ALL
+            ) WHERE ahead = 0
+        ), listed AS (
+            SELECT doc_id, count(*) AS n, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS s FROM runs GROUP BY doc_id
+        )
+        SELECT t.doc_id, coalesce(l.n, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+            sha256(coalesce(l.s, '')) AS runs_sha256, sha256(coalesce(k.s, '')) AS collapsed_sha256
+        FROM texts t LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN left_over k USING (doc_id)""",
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legajo.llm import bpe, chat, embeddings, minhash, mixing, quality, secrets, toxicity, urls, warc
+from legajo.llm import attention, bpe, chat, divergence, embeddings, minhash, mixing, quality, runs, secrets, toxicity, urls, warc
 from legajo.llm.scratch import saved, table
 from legajo.session import scratch_path
 
@@ -97,3 +97,31 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = saved(quality.measured(docs).drop("text"), "quality")
     cuts = quality.cutoffs(numbers, table(spark, sf_dir, "labels"))
     return quality.judged(numbers, cuts).select("doc_id", *quality.MEASURES, "base_failed", "kept")
+
+
+@query
+def op11_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return attention.scored(docs, attention.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    # One text in ten gets a periodic end, from a place and with a period that its id gives.
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(runs.WORD), F.lit(0)))
+    docs = docs.select("doc_id", "text", F.call_function("div", h, F.lit(10)).alias("g"), F.explode(F.array(words)).alias("words"))
+    n = F.size("words")
+    docs = docs.select("*", F.when(n > 0, F.col("g") % n).cast("int").alias("a"), n.alias("n"))
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    docs = docs.withColumn("p", F.when(F.col("n") > 0, period))
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    said = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("words", source(i))), " ")
+    docs = docs.select("doc_id", F.when(F.col("n") > 0, said).otherwise(F.col("text")).alias("text"))
+    return runs.digests(runs.periodic_runs(docs))
