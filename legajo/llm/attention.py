@@ -90,10 +90,13 @@ def encode(units: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     passage = np.repeat(np.arange(n), np.diff([*opens, len(begin)]))
     kind = KIND[data]
 
-    # A passage reaches to the next one's first byte; the white space ahead of a text counts to the one before.
-    place = np.repeat(np.arange(n), np.diff([*begin[opens], len(data)]))
+    # A passage reaches to the next one's first byte or its text's end; what lies between counts to a passage past the last.
+    ends = np.cumsum([len(u) + 1 for u in units])
+    follow = np.append(begin[opens[1:]], len(data))
+    stop = np.minimum(follow, ends[unit[opens]])
+    place = np.repeat(np.stack([np.arange(n), np.full(n, n)], axis=1).ravel(), np.stack([stop - begin[opens], follow - stop], axis=1).ravel())
     body = kind[begin[0] :]
-    rates = np.bincount(place * len(KINDS) + body, minlength=n * len(KINDS)).reshape(n, len(KINDS)).astype(np.float64)
+    rates = np.bincount(place * len(KINDS) + body, minlength=(n + 1) * len(KINDS)).reshape(n + 1, len(KINDS))[:n].astype(np.float64)
     rates /= rates.sum(axis=1, keepdims=True)
 
     size = end - begin
@@ -102,7 +105,8 @@ def encode(units: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     mixed = _BYTES[data[at]] * _PLACES[(at - begin[word_of]) % len(_PLACES)]
     name = np.add.reduceat(mixed, np.cumsum([0, *size[:-1]]))
     pair = name.copy()
-    pair[1:] = name[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + name[1:]
+    inner = np.flatnonzero(unit[1:] == unit[:-1]) + 1
+    pair[inner] = name[inner - 1] * np.uint64(0xC2B2AE3D27D4EB4F) + name[inner]
     is_kind = lambda where, k: kind[where] == KINDS.index(k)
     marks = {
         "capital_words": is_kind(begin, "capital") & is_kind(end - 1, "capital") & (size > 1),
