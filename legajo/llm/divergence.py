@@ -55,15 +55,18 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        size = 0
         for rows in batches:
             for lang, source, text in zip(*(rows.column(i).to_pylist() for i in range(3))):
                 n, held = counts.setdefault((lang, source), (Counter(), Counter()))
                 found = terms(text)
+                size -= len(n)
                 n.update(found)
+                size += len(n)
                 held.update(set(found))
-                if sum(len(c) for c, _ in counts.values()) > MOST_COUNTED:
+                if size > MOST_COUNTED:
                     yield from batch(counts)
-                    counts = {}
+                    counts, size = {}, 0
         yield from batch(counts)
 
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
