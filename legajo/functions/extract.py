@@ -17,9 +17,16 @@ from legajo.functions.contract import DEGREES
 # Four capitals or more, and blanks.
 HEADING = r"^(?=(?:[^\p{Lu}]*+\p{Lu}){4})[\p{Lu} ]+:?$"
 _WORDS = r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*[+#]*"
-# Written so that long runs of digits or blanks are read once.
-# An age is no experience; "ñ" may be written in two characters.
-_YEARS = rf"(?iu)(?<![0-9.,])([0-9]++(?:[.,][0-9]++)?)\+?[{SPACE}]++a(?:ñ|n\u0303)os(?![{SPACE}]++de[{SPACE}]++edad)"
+# Written so that long runs of digits or blanks are read once. The number may be spelled out in brackets behind it, and
+# "ñ" written in two characters. An age is no experience, and neither is what a firm has behind it.
+_NOT_OWN = (
+    rf"(?<!(?:[eE]dad|[eE]dad:|[cC]umpl[íio]|[cC]umplid[ao]s|(?:[eE]mpresa|[cC]ompañía|[fF]irma) con)[{SPACE}]{{1,3}})"
+)
+_AGE = rf"(?<!(?:[tT]engo|[tT]iene)[{SPACE}]{{1,3}})|(?=[0-9]++[{SPACE}]++a(?:ñ|n\u0303)os[{SPACE}]++(?:de[{SPACE}]++(?:experiencia|trayectoria)|trabajando|como)(?![{WORD}]))"
+_YEARS = (
+    rf"(?iu)(?<![0-9.,]){_NOT_OWN}(?:{_AGE})([0-9]++(?:[.,][0-9]++)?)\+?(?:[{SPACE}]*+\([^()\n]{{1,30}}\))?[{SPACE}]++a(?:ñ|n\u0303)os"
+    rf"(?![{SPACE}]++(?:de[{SPACE}]++(?:edad|fundad[ao]|vida)|en[{SPACE}]++el[{SPACE}]++mercado)(?![{WORD}]))"
+)
 _TITLE_LINE = rf"(?imu)^(?:posición|puesto|cargo|título)[ \t]*:[ \t]*([^{SPACE}].*)$"
 _DATED = rf"^[0-9]{{4}}[{SPACE}]*-[{SPACE}]*[\p{{L}}\p{{N}}]+[{SPACE}]*:[{SPACE}]*([^{SPACE}].*?)(?<=[^{SPACE}])[{SPACE}]++—[{SPACE}]+[^{SPACE}]"
 _BULLET = rf"^[{SPACE}]*[-•][{SPACE}]*(.*[^{SPACE}])[{SPACE}]*$"
@@ -107,22 +114,55 @@ def degree(tokens: Column, highest: bool = True, degrees: Mapping[str, str] = L.
     return F.coalesce(*(reversed(ranks) if highest else ranks))
 
 
+_ACCENTED, _PLAIN = "ÁÀÂÄÃÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇ\u0300\u0301\u0302\u0303\u0308", "AAAAAEEEEIIIIOOOOOUUUUNC"
+
+
+def folded(text: Column) -> Column:
+    """In capitals and without accents, however they are written."""
+    return F.translate(F.upper(text), _ACCENTED, _PLAIN)
+
+
+def folded_names(names: Sequence[str]) -> list[str]:
+    """``folded`` for headings of the lexicon."""
+    drop = {ord(c): None for c in _ACCENTED[len(_PLAIN) :]}
+    return [n.upper().translate(drop | str.maketrans(_ACCENTED[: len(_PLAIN)], _PLAIN)) for n in names]
+
+
+def heading_name(line: Column) -> Column:
+    """A line that may be a heading, as ``section_lines`` compares it."""
+    return folded(F.regexp_replace(F.trim(line), rf"[{SPACE}]*:?[{SPACE}]*$", ""))
+
+
 def heading(line: Column, known: bool = False) -> Column:
     """Whether a line is a heading; with ``known`` only one that a record field can end at.
 
-    Those are the headings of ``lexicon.SECTIONS`` and lines that end in a colon: capitals
-    inside a list, such as the names of tools, leave the section open.
+    Those are lines that hold a heading of ``lexicon.SECTIONS`` in any writing, with or without accents or a colon, and
+    lines of capitals that end in a colon: capitals inside a list, such as the names of tools, leave the section open.
     """
     shaped = F.rlike(line, F.lit(HEADING))
     if not known:
         return shaped
-    names = [name for part in L.SECTIONS.values() for name in part]
-    return shaped & (line.endswith(":") | F.trim(line).isin(*names))
+    names = folded_names([name for part in L.SECTIONS.values() for name in part])
+    named = (F.length(line) <= max(map(len, names)) + 10) & heading_name(line).isin(*names)
+    return (line.endswith(":") & shaped) | named
+
+
+# How an address starts, and words inside a name that need no capital.
+_ADDRESS = rf"(?iu)^[^{WORD}]*+(?:(?:dirección|domicilio)[{SPACE}]*+:|(?:av|avenida|jr|jirón|ca|calle|psje|pasaje|urb|urbanización|mz|carretera)(?![{WORD}])\.?[{SPACE}]++\p{{L}})"
+_CONTACT = rf"@|(?:EMAIL|DNI|RUC|TELEFONO)_REDACTADO\]|\p{{Nd}}{{6}}|^[^{WORD}]*+\[NOMBRE_REDACTADO\][^{WORD}]*+$"
+_NAMED = rf"(?iu)^[^{WORD}]*+(?:nombres?|apellidos?)(?:[{SPACE}]++y[{SPACE}]++(?:nombres?|apellidos?))?[{SPACE}]*+:"
+_CAPITALISED = r"(?:\p{Lu}(?:\.|[\p{L}'’-]*+)|\[NOMBRE_REDACTADO\])"
+NAME_LIKE = rf"^[{SPACE}]*+{_CAPITALISED}(?:,?[ ]++(?:(?:de|del|la|las|los|y)[ ]++)*+{_CAPITALISED}){{1,5}}[{SPACE}]*+$"
+
+
+def private(line: Column) -> Column:
+    """Whether a line may say who or where a person is: an address, a contact, a labelled name, or nothing but words in capitals."""
+    return F.rlike(line, F.lit(f"{_CONTACT}|{_ADDRESS}|{_NAMED}")) | F.rlike(line, F.lit(NAME_LIKE))
 
 
-def prose(lines: Column) -> Column:
-    """Lines that are text and no list; where there is none, the items of the list."""
-    full = F.filter(lines, lambda l: F.rlike(l, F.lit(rf"[^{SPACE}]")))
+def prose(lines: Column, public: bool = False) -> Column:
+    """Lines that are text and no list; where there is none, the items of the list. With ``public`` none that is ``private``."""
+    full = F.filter(lines, lambda l: F.rlike(l, F.lit(rf"[^{SPACE}]")) & (~private(l) if public else F.lit(True)))
     text = F.filter(full, lambda l: ~F.rlike(l, F.lit(_BULLET)))
     return F.when(F.size(text) > 0, text).otherwise(bullets(full))
 
@@ -136,8 +176,8 @@ def free_lines(sections: Column) -> Column:
 
 
 def section_lines(sections: Column, headings: Sequence[str]) -> Column:
-    """Lines below the given headings, in order, without the heading lines."""
-    mine = F.filter(sections, lambda s: s["section"].isin(*headings))
+    """Lines below the given headings, in order, without the heading lines; for sections cut at known headings."""
+    mine = F.filter(sections, lambda s: s["section"].isin(*folded_names(headings)))
     return F.flatten(F.transform(mine, lambda s: F.slice(s["lines"], F.lit(2), F.size(s["lines"]))))
 
 
@@ -147,6 +187,53 @@ def dated_titles(lines: Column) -> Column:
     return F.transform(dated, lambda l: F.regexp_extract(l, _DATED, 1))
 
 
+# Months by the first three letters, and words for a job that goes on.
+_MONTHS = ("ene", "feb", "mar", "abr", "may", "jun", "jul", "ago", "set", "oct", "nov", "dic")
+_ONGOING = "actualidad|actualmente|actual|presente|hoy|fecha"
+_MONTH = (
+    "ene(?:ro)?|feb(?:rero)?|mar(?:zo)?|abr(?:il)?|may(?:o)?|jun(?:io)?|jul(?:io)?|ago(?:sto)?|set(?:iembre)?|sep(?:t(?:iembre)?)?|oct(?:ubre)?|nov(?:iembre)?|dic(?:iembre)?"
+)
+_DATE = rf"(?:({_MONTH})\.?[{SPACE}]*+(?:del?[{SPACE}]++)?|([0-9]{{1,2}})[{SPACE}]*+[/.][{SPACE}]*+)?((?:19|20)[0-9]{{2}})"
+_SPAN = rf"(?iu)^[{SPACE}•*-]*+(?:desde[{SPACE}]++)?{_DATE}[{SPACE}]*+(?:-|–|—|a|al|hasta)[{SPACE}]*+(?:(?:la[{SPACE}]++)?({_ONGOING})|{_DATE})(?![{WORD}])"
+
+
+def _month(name: Column, number: Column, otherwise: int | None) -> Column:
+    """Months from January on, 0 to 11; null for a number that is no month."""
+    short = F.replace(F.lower(F.substring(name, 1, 3)), F.lit("sep"), F.lit("set"))
+    by_name = F.array_position(listed(_MONTHS), short).cast("int") - 1
+    by_number = F.when(number.cast("int").between(1, 12), number.cast("int") - 1)
+    return F.when(name != "", by_name).when(number != "", by_number).otherwise(F.lit(otherwise).cast("int"))
+
+
+def job_spans(lines: Column, as_of: Column) -> Column:
+    """(start, end) of each line that opens with two dates, in months from year 0, the end not included.
+
+    Dates are years, or a month, by name or number, and a year. A month that ends a span counts; a year that ends one does not, unless the span
+    is within that year. A job that goes on, or ends later, ends in the month of ``as_of``. Lines whose end is not behind their start give nothing.
+    """
+    found = F.filter(lines, lambda l: F.rlike(l, F.lit(_SPAN)))
+    part = lambda l, i: F.regexp_extract(l, _SPAN, i)
+    now = F.year(as_of) * 12 + F.month(as_of) - 1
+
+    def dates(l: Column) -> Column:
+        start = part(l, 3).cast("int") * 12 + _month(part(l, 1), part(l, 2), 0)
+        year, month = F.nullif(part(l, 7), F.lit("")).cast("int") * 12, _month(part(l, 5), part(l, 6), None)
+        whole = (part(l, 5) == "") & (part(l, 6) == "")
+        end = F.when(part(l, 4) != "", now).when(whole, F.when(year > start, year).when(year + 12 > start, year + 12)).otherwise(year + month + 1)
+        return F.struct(start.alias("start"), F.when(end <= now, end).when(end > now, now).alias("end"))
+
+    return F.filter(F.transform(found, dates), lambda s: s["end"] > s["start"])
+
+
+def covered_months(spans: Column) -> Column:
+    """Months that lie in at least one span: a sweep over the spans by their start."""
+    step = lambda a, s: F.struct(
+        (a["months"] + F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], a["until"]))).alias("months"),
+        F.greatest(a["until"], s["end"]).alias("until"),
+    )
+    return F.aggregate(F.array_sort(spans), F.struct(F.lit(0).alias("months"), F.lit(0).alias("until")), step, lambda a: a["months"])
+
+
 def bullets(lines: Column) -> Column:
     """Items of a list, without their marks."""
     marked = F.filter(lines, lambda l: F.rlike(l, F.lit(_BULLET)))

@@ -92,3 +92,9 @@ def leading_sentences(text: Column, n: int = 3) -> Column:
     """The first ``n`` sentences, joined by one blank; a line's end is a sentence's end."""
     parts = F.split(F.trim(text), rf"[{SPACE}]*\n[{SPACE}]*|(?<=[.!?])[{SPACE}]+", n + 1)
     return F.array_join(F.slice(parts, 1, n), " ")
+
+
+def plain_breaks(text: Column) -> Column:
+    """Line breaks of other systems as plain ones; a text without them is not rewritten."""
+    plain = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return F.when(F.contains(text, F.lit("\r")), plain).otherwise(text)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from legajo.functions import names as N
 from legajo.functions import redact as R
 
 _STEP = "_masking"
@@ -50,15 +51,22 @@ def anonymize(
     out: str = "text_anon",
     *,
     skip_blank_lead: bool = False,
+    names: bool = False,
 ) -> DataFrame:
     """Mask e-mail, DNI, RUC, phone and name line, in that order, into ``out``.
 
     The name step is a projection of its own: it reads its input more than once
-    and would repeat all regexes if nested.
+    and would repeat all regexes if nested. With ``names`` the names that the first line
+    or a label gives are masked wherever the text mentions them.
     """
     masked = _mask_items(df, text, _STEP)
     if skip_blank_lead:
         masked = masked.withColumn(_STEP, R.without_blank_lead(F.col(_STEP)))
+    if names:
+        # In steps, as each is read several times by the next.
+        masked = masked.withColumn("_first", R.first_line(R.without_blank_lead(F.col(_STEP))))
+        masked = masked.select("*", F.explode(F.array(N.name_words(F.col(_STEP), F.col("_first")))).alias("_names"))
+        masked = masked.withColumn(_STEP, N.mask_mentions(F.col(_STEP), F.col("_names"))).drop("_first", "_names")
     return masked.withColumn(out, R.mask_name_line(F.col(_STEP))).drop(_STEP)
 
 

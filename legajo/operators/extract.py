@@ -24,7 +24,8 @@ def with_sections(df: DataFrame, text: str = "text", out: str = "sections", know
     An array of (start, section, lines): the number of the first line, the
     heading (null before the first one) and the lines, heading included. A
     heading is a line of four or more capitals, and blanks, with or without a
-    colon; for ``known`` see ``functions.extract.heading``.
+    colon; for ``known``, whose headings come out in capitals and without accents,
+    see ``functions.extract.heading``. Lines may end as on any system.
     """
     lines, heads, starts = F.col("_lines"), F.col("_heads"), F.col("_starts")
     is_heading = lambda line: X.heading(line, known)
@@ -33,7 +34,9 @@ def with_sections(df: DataFrame, text: str = "text", out: str = "sections", know
     def section(start: Column, i: Column) -> Column:
         end = F.coalesce(F.get(starts, i + 1), F.size(lines))
         head = F.get(lines, start)
-        name = F.when(is_heading(head), F.trim(F.regexp_replace(head, ":$", "")))
+        # Only the first section may begin without a heading.
+        headed = (i > 0) | F.coalesce(F.get(heads, F.lit(0)) == 0, F.lit(False))
+        name = F.when(headed, X.heading_name(head) if known else F.trim(F.regexp_replace(head, ":$", "")))
         return F.struct(
             start.alias("start"),
             name.alias("section"),
@@ -42,7 +45,7 @@ def with_sections(df: DataFrame, text: str = "text", out: str = "sections", know
 
     opens = F.when(F.get(heads, F.lit(0)) == 0, heads).otherwise(F.concat(F.array(F.lit(0)), heads))
     return (
-        df.withColumn("_lines", F.split(F.col(text), "\n"))
+        df.withColumn("_lines", F.split(T.plain_breaks(F.col(text)), "\n"))
         .withColumn("_heads", F.filter(numbered, lambda i: i.isNotNull()))
         .withColumn("_starts", opens)
         .withColumn(out, F.transform(starts, section))
@@ -158,6 +161,18 @@ def extract_education(df: DataFrame, doc: str = "doc_id", text: str = "text") ->
     )
 
 
+def experience_from_jobs(df: DataFrame, as_of: Column, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """(``doc``, jobs, months, years): the time that the dated jobs of the experience section cover up to ``as_of``.
+
+    Jobs at the same time count once. A text without dated jobs has none, and 0 of all. Spans are swept within their row: one map stage.
+    """
+    cut = with_sections(df.select(doc, text), text, known=True)
+    spans = X.job_spans(X.section_lines(F.col("sections"), L.SECTIONS["experience"]), as_of)
+    swept = cut.select(doc, F.coalesce(spans, F.array().cast("array<struct<start:int,end:int>>")).alias("_spans"))
+    swept = swept.select(doc, F.size("_spans").cast("long").alias("jobs"), X.covered_months(F.col("_spans")).cast("long").alias("months"))
+    return swept.withColumn("years", F.round(F.col("months") / 12, 1))
+
+
 def _from_section(df: DataFrame, doc: str, text: str, part: str, out: str, rule) -> DataFrame:
     cut = with_sections(df.select(doc, text), text, known=True)
     return cut.select(doc, rule(X.section_lines(F.col("sections"), L.SECTIONS[part])).alias(out))
@@ -205,20 +220,23 @@ def extract_job_title(df: DataFrame, doc: str = "doc_id", text: str = "text", gi
     )
 
 
-def summary(section: Column, sentences: int = 3) -> Column:
+def summary(section: Column, sentences: int = 3, public: bool = False) -> Column:
     """Leading sentences of the section's prose; ``""`` where it has none.
 
     Lines outside the section are never taken: those above the first heading
-    are where names and addresses stand.
+    are where names and addresses stand. With ``public`` neither are lines inside that may be private.
     """
-    return T.leading_sentences(F.array_join(F.coalesce(X.prose(section), F.array()), "\n"), sentences)
+    return T.leading_sentences(F.array_join(F.coalesce(X.prose(section, public), F.array()), "\n"), sentences)
+
 
+def summarize(df: DataFrame, doc: str = "doc_id", text: str = "text", sentences: int = 3, plain: bool = False) -> DataFrame:
+    """(``doc``, summary) from the profile section of a CV, without lines that may tell who it is about.
 
-def summarize(df: DataFrame, doc: str = "doc_id", text: str = "text", sentences: int = 3) -> DataFrame:
-    """(``doc``, summary) from the profile section; a text without any heading is all prose."""
+    A text without a profile section has none; with ``plain`` texts without any heading, which are no CVs, are all prose.
+    """
     cut = with_sections(df.select(doc, text), text, known=True)
-    plain = ~F.exists("sections", lambda s: s["section"].isNotNull())
-    lines = F.when(plain, F.flatten(F.transform("sections", lambda s: s["lines"]))).otherwise(
-        X.section_lines(F.col("sections"), L.SECTIONS["profile"])
-    )
-    return cut.withColumn("_lines", lines).select(doc, summary(F.col("_lines"), sentences).alias("summary"))
+    lines = X.section_lines(F.col("sections"), L.SECTIONS["profile"])
+    if plain:
+        bare = ~F.exists("sections", lambda s: s["section"].isNotNull())
+        lines = F.when(bare, F.flatten(F.transform("sections", lambda s: s["lines"]))).otherwise(lines)
+    return cut.withColumn("_lines", lines).select(doc, summary(F.col("_lines"), sentences, not plain).alias("summary"))

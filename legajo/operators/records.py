@@ -59,20 +59,31 @@ def build_cv_records(
     doc: str = "doc_id",
     text: str = "text",
     carry: Sequence[str] = (),
+    as_of: Column | None = None,
 ) -> DataFrame:
     """(``doc``, ``carry``, record, errors) for each CV, from its masked text.
 
+    Experience is what the text says or, given ``as_of``, the larger of that and what its dated jobs cover up to that day;
+    without it no record depends on the day it is made. Names that the text gives are masked wherever it mentions them, and a summary
+    takes no line that may say who or where a person is.
+
     One narrow job from raw text to checked record: no shuffle at any size. The
     whole text is read; the cut belongs to requests only.
     """
     masked, hits = F.col("text_anon"), F.col("_hits")
     part = lambda name: X.section_lines(F.col("sections"), L.SECTIONS[name])
     terms = lambda known: X.found_terms(hits, F.col("_spaced"), known)
-    years = F.coalesce(X.years_required(masked), F.lit(0.0))
-    masked_text = anonymize(df.select(doc, *carry, text), text, skip_blank_lead=True)
+    said = F.coalesce(X.years_required(masked), F.lit(0.0))
+    plain = df.select(doc, *carry, F.col(text), T.plain_breaks(F.col(text)).alias("_plain"))
+    masked_text = anonymize(plain, "_plain", skip_blank_lead=True, names=True)
     cut = with_sections(masked_text, "text_anon", known=True)
-    read = with_words(cut, "text_anon", _LISTED).withColumn("_years", years)
-    read = read.withColumn("_profile", part("profile"))
+    read = with_words(cut, "text_anon", _LISTED)
+    read = read.withColumn("_profile", part("profile")).withColumn("_jobs", part("experience"))
+    if as_of is None:
+        read = read.withColumn("_years", said)
+    else:
+        months = F.coalesce(X.covered_months(X.job_spans(F.col("_jobs"), as_of)), F.lit(0))
+        read = read.withColumn("_years", F.greatest(said, F.round(months / 12, 1)))
     fields = {
         "candidato_id": T.record_id(F.col(doc), salt),
         "nivel_experiencia": X.infer_level(F.col("_years")),
@@ -80,12 +91,12 @@ def build_cv_records(
         "skills_tecnicos": terms(L.TECHNICAL),
         "skills_blandos": terms(L.SOFT),
         "industrias": terms(L.INDUSTRIES),
-        "cargos_anteriores": X.dated_titles(part("experience")),
+        "cargos_anteriores": X.dated_titles(F.col("_jobs")),
         "nivel_educacion": X.degree(hits, highest=True),
         "carreras": X.dated_titles(part("education")),
         "certificaciones": terms(L.CERTIFICATES),
         "idiomas": X.language_pairs(part("languages")),
-        "resumen_perfil": summary(F.col("_profile")),
+        "resumen_perfil": summary(F.col("_profile"), public=True),
     }
     return _checked(read, fields, CV_RULES, [doc, *carry], text)
 

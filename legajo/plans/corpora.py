@@ -70,6 +70,58 @@ CV_TEXT = _lines(
     "'Español: Nativo | Inglés: ' || " + _case(K, 2, "'B2 (examen 2022)'", "'C1'"),
 )
 
+# CVs as people write them: headings in any writing, lines ended as elsewhere, names and addresses in the text, jobs that overlap.
+_NAME = _case(K, 4, "'Rosa Quispe Mamani'", "'LUIS ALBERTO PAREDES DÍAZ'", "'Nombre: Ana María Soto de la Cruz'", "'María Ñahui'")
+_MENTION = _case(K, 4, "'La contadora Quispe'", "'Paredes Diaz, Luis,'", "'SOTO DE LA CRUZ'", "'Maria'")
+_FREE_CV = _lines(
+    _NAME,
+    "'DNI: ' || " + _s(f"20000000 + ({K} * 6151) % 70000000") + " || ' | p.' || " + _s(K) + " || '@correo.pe'",
+    "'Av. Los Olmos ' || " + _s(f"{K} % 900") + " || ', Cusco'",
+    "''",
+    "'PERFIL PROFESIONAL'",
+    _case(K, 3, "'Ana Soto Quispe'", "'Jr. Puno ' || " + _s(f"{K} % 90") + " || ', Puno'", "'Vive cerca.'"),
+    f"'Especialista con ' || {_s(f'{K} % 14')} || ' años de experiencia en Python y SQL. ' || " + _MENTION
+    + " || ' coordina equipos de banca. Tengo 41 años. Otra frase.'",
+    "''",
+    "'EXPERIENCIA LABORAL'",
+    f"{_s(f'2008 + {K} % 7')} || ' - ' || {_s(f'2012 + {K} % 5')} || ': Analista — Taller Norte'",
+    "'- Informes para ventas'",
+    f"'marzo 2016 – 0' || {_s(f'1 + {K} % 9')} || '/2019: Jefa de Área — Sur SAC'",
+    _case(K, 3, "'2020 - Actualidad: Gerente de Datos — Andes'", "'Ago. de 2021 a la fecha: Consultora'", "'- Soporte a usuarios'"),
+    _case(K, 5, "'2019 - 2017: Al revés — Nada'", "'2014 - 2014: Asistente — Uno'", "'13/2015 - 2016: Sin mes'", "'2018-2030: Docente — Dos'", "''"),
+    "'EDUCACIÓN'",
+    "'2003 - 2008: Contabilidad — Universidad del Valle'",
+    _case(K, 6, "'Grado de bachiller'", "'Título de licenciada'", "'Maestría en datos'", "'Técnico en redes'", "'Bachiller'", "'Cursos libres'"),
+    "''",
+    "'IDIOMAS'",
+    "'Español: Nativo | Inglés: ' || " + _case(K, 2, "'B2'", "'C1'"),
+)
+_HEADS = ("PERFIL PROFESIONAL", "EXPERIENCIA LABORAL", "EDUCACIÓN", "IDIOMAS")
+
+
+def _with_heads(*heads: str) -> str:
+    out = "text"
+    for old, new in zip(_HEADS, heads):
+        out = f"replace({out}, '{old}', '{new}')"
+    return out
+
+
+def _crlf(text: str) -> str:
+    return f"replace({text}, chr(10), chr(13) || chr(10))"
+
+
+#: Over (doc_id, text): the same CVs in five writings.
+WRITINGS = _case(
+    "doc_id", 5,
+    _with_heads("Perfil profesional", "Experiencia laboral", "Educación", "Idiomas"),
+    _with_heads("PERFIL", "EXPERIENCIA LABORAL :", "EDUCACION", "IDIOMAS:"),
+    _crlf("text"),
+    _crlf(_with_heads("Resumen:", "Experiencia Profesional", " Formacion Academica: ", "idiomas")),
+    "text",
+)
+#: The day up to which jobs that go on are counted.
+AS_OF = "2024-01-01"
+
 P = "p_partkey"
 
 JD_TITLE = "p_name"
@@ -92,7 +144,7 @@ JD_TEXT = _lines(
     "'Diseñar procesos de datos. Atender a los equipos de ' || p_type || '. Medir resultados. Otras tareas.'",
     "''",
     "'OFRECEMOS:'",
-    "'- Trabajo remoto'",
+    "'- Horario flexible'",
 )
 
 # A whole CV record as JSON; the case below breaks it in several ways.
@@ -178,6 +230,12 @@ def cv_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.col(K).alias("doc_id"), F.expr(CV_TEXT).alias("text"))
 
 
+def free_cv_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text): CVs in several writings."""
+    df = _dealt(spark, sf_dir, "customer", K).select(F.col(K).alias("doc_id"), F.expr(_FREE_CV).alias("text"))
+    return df.select("doc_id", F.expr(WRITINGS).alias("text"))
+
+
 def jd_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, title, text)"""
     df = _dealt(spark, sf_dir, "part", P, "p_name", "p_brand", "p_type", "p_size")
@@ -205,6 +263,7 @@ def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The same corpora for DuckDB.
 CV_SQL = f"SELECT {K} AS doc_id, {CV_TEXT} AS text FROM customer"
+FREE_CV_SQL = f"SELECT doc_id, {WRITINGS} AS text FROM (SELECT {K} AS doc_id, {_FREE_CV} AS text FROM customer)"
 JD_SQL = f"SELECT {P} AS doc_id, {JD_TITLE} AS title, {JD_TEXT} AS text FROM part"
 REPLIES_SQL = f"SELECT {K} AS doc_id, {REPLY_BODY} AS body FROM customer"
 ATTEMPTS_SQL = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legajo.functions import text as T
@@ -43,16 +43,16 @@ def _named(built: DataFrame) -> DataFrame:
     return keep_together(built.select("path", "record", errors.alias("errors")), "record", "errors")
 
 
-def cv_records_of(docs: DataFrame, salt: str) -> DataFrame:
-    """(path, record, errors) from what ``texts`` gives, batch or stream."""
-    return _named(records.build_cv_records(docs, salt, doc="path", carry=["problem"]))
+def cv_records_of(docs: DataFrame, salt: str, as_of: Column | None = None) -> DataFrame:
+    """(path, record, errors) from what ``texts`` gives, batch or stream; jobs are counted up to ``as_of``."""
+    return _named(records.build_cv_records(docs, salt, doc="path", carry=["problem"], as_of=as_of))
 
 
 def cv_records(
-    spark: SparkSession, folder: str, salt: str, manifest: DataFrame | None = None
+    spark: SparkSession, folder: str, salt: str, manifest: DataFrame | None = None, as_of: Column | None = None
 ) -> DataFrame:
     """(path, record, errors) for each CV file."""
-    return cv_records_of(texts(files.scan_documents(spark, folder, manifest=manifest)), salt)
+    return cv_records_of(texts(files.scan_documents(spark, folder, manifest=manifest)), salt, as_of)
 
 
 def jd_records(

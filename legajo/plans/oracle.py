@@ -353,17 +353,31 @@ FROM ({C.ATTEMPTS_SQL})"""
 # Extraction
 
 
+def folded(text: str) -> str:
+    return f"upper(strip_accents({text}))"
+
+
+def plain(text: str) -> str:
+    return f"replace(replace({text}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+
+
+def part_names(part: str) -> str:
+    return ", ".join(folded(quoted(name)) for name in L.SECTIONS[part])
+
+
 def lines_of(source: str, text: str = "text", known: bool = False) -> str:
     """CTEs ending in ``tagged`` (doc_id, pos, line, section) and ``body`` without headings."""
     is_head = r"(regexp_matches(line, '^[\p{Lu} ]+:?$') AND regexp_matches(line, '(?:\p{Lu} *){4}'))"
+    name = "trim(rtrim(line, ':'))"
     if known:
-        names = listed(name for part in L.SECTIONS.values() for name in part)
-        is_head = f"({is_head} AND (line LIKE '%:' OR trim(line) IN ({names})))"
+        name = folded("trim(rtrim(trim(line), ':'))")
+        names = ", ".join(map(part_names, L.SECTIONS))
+        is_head = f"(({is_head} AND line LIKE '%:') OR {name} IN ({names}))"
     return rf"""
-src AS ({source}),
+src AS (SELECT * REPLACE ({plain(text)} AS {text}) FROM ({source})),
 ln AS (SELECT doc_id, unnest(string_split({text}, chr(10))) AS line,
               generate_subscripts(string_split({text}, chr(10)), 1) - 1 AS pos FROM src),
-tagged AS (SELECT doc_id, pos, line, last_value(CASE WHEN {is_head} THEN trim(rtrim(line, ':')) END IGNORE NULLS)
+tagged AS (SELECT doc_id, pos, line, last_value(CASE WHEN {is_head} THEN {name} END IGNORE NULLS)
              OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS section FROM ln),
 body AS (SELECT * FROM tagged WHERE NOT {is_head})"""
 
@@ -444,13 +458,13 @@ def ordered(value: str, where: str) -> str:
 
 
 def dated(part: str) -> str:
-    inside = f"section IN ({listed(L.SECTIONS[part])}) AND regexp_matches(line, '{_DATED}')"
+    inside = f"section IN ({part_names(part)}) AND regexp_matches(line, '{_DATED}')"
     return ordered(f"regexp_extract(line, '{_DATED}', 1)", inside)
 
 
 PAIRS = f"""
 items AS (SELECT doc_id, unnest(string_split(line, '|')) AS item, pos * 100 + generate_subscripts(string_split(line, '|'), 1) AS pos
-          FROM body WHERE section IN ({listed(L.SECTIONS['languages'])})),
+          FROM body WHERE section IN ({part_names('languages')})),
 pairs AS (SELECT doc_id, pos, regexp_extract(item, '{_PAIR}', 1) || '=' || regexp_extract(item, '{_PAIR}', 2) AS pair
           FROM items WHERE regexp_matches(item, '{_PAIR}'))"""
 
@@ -477,7 +491,7 @@ WITH {lines_of(_CV_TEXT, known=True)} SELECT doc_id, {dated('education')} AS car
 
 
 def bullets(part: str) -> str:
-    inside = f"section IN ({listed(L.SECTIONS[part])}) AND regexp_matches(line, '{_BULLET}')"
+    inside = f"section IN ({part_names(part)}) AND regexp_matches(line, '{_BULLET}')"
     return ordered(f"regexp_extract(line, '{_BULLET}', 1)", inside)
 
 
@@ -507,12 +521,22 @@ def sentences(text: str) -> str:
     return f"array_to_string(string_split({cut}, chr(1))[1:3], ' ')"
 
 
-def leading(part: str) -> str:
-    """Leading sentences of the part's prose from body and src; of the whole where there is no heading."""
-    inside = f"section IN ({listed(L.SECTIONS[part])})"
-    if part == "profile":
+# Lines that may say who or where somebody is.
+PRIVATE = (
+    r"regexp_matches(line, '@|(?:EMAIL|DNI|RUC|TELEFONO)_REDACTADO\]|[0-9]{6}|^[^\p{L}]*\[NOMBRE_REDACTADO\][^\p{L}]*$')"
+    r" OR regexp_matches(line, '(?i)^[^\p{L}]*(?:(?:av|avenida|jr|jirón|ca|calle|psje|pasaje|urb|urbanización|mz|carretera)(?:\.\s*|\s+)\p{L}|(?:dirección|domicilio|nombres?|apellidos?)\s*:)')"
+    r" OR regexp_matches(line, '^\s*(?:\p{Lu}(?:\.|[\p{L}-]*)|\[NOMBRE_REDACTADO\])(?:,? +(?:(?:de|del|la|las|los|y) +)*(?:\p{Lu}(?:\.|[\p{L}-]*)|\[NOMBRE_REDACTADO\])){1,5}\s*$')"
+)
+
+
+def leading(part: str, bare: bool = False) -> str:
+    """Leading sentences of the part's prose from body and src; with ``bare`` of the whole where there is no heading."""
+    inside = f"section IN ({part_names(part)})"
+    if bare:
         inside += " OR doc_id NOT IN (SELECT doc_id FROM tagged WHERE section IS NOT NULL)"
     full = r"regexp_matches(line, '[^\t-\r\x{1c}-\x{20}\x{85}\p{Z}]')"
+    if part == "profile" and not bare:
+        full += f" AND NOT ({PRIVATE})"
     return f"""
 prose AS (SELECT *, regexp_matches(line, '{_BULLET}') AS item FROM body WHERE ({inside}) AND {full}),
 lead AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT item),
@@ -521,18 +545,72 @@ summed AS (SELECT s.doc_id, coalesce({sentences('words')}, '') AS summary FROM s
 
 
 for _name, _source in (("summarize", DOCS), ("summarize_cvs", _CV_TEXT)):
-    ORACLE[_name] = f"WITH {lines_of(_source, known=True)}, {leading('profile')} SELECT * FROM summed"
+    ORACLE[_name] = f"WITH {lines_of(_source, known=True)}, {leading('profile', _name == 'summarize')} SELECT * FROM summed"
 
+_MONTH_NAMES = "ene feb mar abr may jun jul ago set oct nov dic"
+_MONTH = "(?:(ene|feb|mar|abr|may|jun|jul|ago|sep|set|oct|nov|dic)[a-z]*\\.?\\s*(?:del?\\s+)?|([0-9]{1,2})\\s*[/.]\\s*)?((?:19|20)[0-9]{2})"
+_SPAN = f"(?i)^[\\s•*-]*(?:desde\\s+)?{_MONTH}\\s*(?:-|–|—|a|al|hasta)\\s*(?:(?:la\\s+)?(actualidad|actualmente|actual|presente|hoy|fecha)|{_MONTH})(?:[^\\p{{L}}\\p{{N}}_]|$)"
 
-ORACLE["build_cv_records"] = f"""
-WITH {lines_of(masked(C.CV_SQL, lead=True), 'text_anon', known=True)}, {leading('profile')}, {PAIRS},
-{grams(masked(C.CV_SQL, lead=True), 'text_anon')},
+
+def experience() -> str:
+    """CTEs from body and src ending in ``worked`` (doc_id, jobs, months): islands of overlapping spans."""
+    g = lambda i: f"regexp_extract(line, '{_SPAN}', {i})"
+    number = lambda name, n: f"""CASE WHEN {name} <> '' THEN list_position(string_split('{_MONTH_NAMES}', ' '), replace(lower({name}), 'sep', 'set')) - 1
+        WHEN {n} <> '' THEN CASE WHEN {n}::INT BETWEEN 1 AND 12 THEN {n}::INT - 1 END"""
+    now = f"(year(DATE '{C.AS_OF}') * 12 + month(DATE '{C.AS_OF}') - 1)"
+    return f"""
+dates AS (SELECT doc_id, {g(1)} AS n1, {g(2)} AS m1, {g(3)} AS y1, {g(4)} AS still, {g(5)} AS n2, {g(6)} AS m2, {g(7)} AS y2
+          FROM body WHERE section IN ({part_names('experience')}) AND regexp_matches(line, '{_SPAN}')),
+ends AS (SELECT doc_id, y1::INT * 12 + {number('n1', 'm1')} ELSE 0 END AS s, still <> '' AS still, n2 || m2 = '' AS whole,
+         nullif(y2, '')::INT * 12 AS y, {number('n2', 'm2')} END AS m FROM dates),
+spans AS (SELECT doc_id, s, CASE WHEN still THEN {now} WHEN whole AND y > s THEN y WHEN whole THEN y + 12 ELSE y + m + 1 END AS e FROM ends),
+clipped AS (SELECT doc_id, s, CASE WHEN e > {now} THEN {now} ELSE e END AS e FROM spans WHERE s IS NOT NULL AND e IS NOT NULL AND e > s),
+good AS (SELECT * FROM clipped WHERE e > s),
+opened AS (SELECT *, coalesce(s > max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS new FROM good),
+islands AS (SELECT doc_id, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island, s, e FROM opened),
+joined AS (SELECT doc_id, island, max(e) - min(s) AS months, count(*) AS jobs FROM islands GROUP BY ALL),
+worked AS (SELECT src.doc_id, coalesce(sum(jobs), 0)::BIGINT AS jobs, coalesce(sum(months), 0)::BIGINT AS months
+           FROM src LEFT JOIN joined USING (doc_id) GROUP BY src.doc_id)"""
+
+
+_FREE = f"SELECT doc_id, text FROM ({C.FREE_CV_SQL})"
+ORACLE["experience_from_jobs"] = f"""
+WITH {lines_of(_FREE, known=True)}, {experience()} SELECT *, round(months / 12, 1) AS years FROM worked"""
+
+_TOKENS = r"regexp_extract_all(stepped, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+')"
+_NO_NAMES = f"'NOMBRE', {', '.join(map(part_names, ('profile', 'experience', 'education', 'languages')))}"
+
+
+def without_names(source: str, breaks: bool = False) -> str:
+    """A query (doc_id, text_anon): token by token, those of the text's names become tags and runs of tags one."""
+    steps = sub(sub(sub(sub(plain("text") if breaks else "text", EMAIL, R.EMAIL_TAG), DNI, R.DNI_TAG), RUC, R.RUC_TAG), PHONE, R.PHONE_TAG)
+    given = rf"regexp_replace(split_part(stepped, chr(10), 1), '^Nombre: ', '')"
+    words = rf"list_transform(regexp_extract_all({given}, '\p{{Lu}}\p{{L}}{{2,}}'), lambda w: {folded('w')})"
+    tag = R.NAME_TAG
+    bare = tag.strip("[]")
+    masked_tokens = rf"list_transform({_TOKENS}, lambda t: CASE WHEN regexp_matches(t, '^\p{{Lu}}') AND list_contains(words, {folded('t')}) THEN '{tag}' ELSE t END)"
+    tags = rf"regexp_replace(array_to_string({masked_tokens}, ''), '\[{bare}\](?: +(?:(?i:de|del|la|las|los|y) +)*\[{bare}\])+', '{tag}', 'g')"
+    return (
+        f"SELECT doc_id, text, {named('stepped')} AS text_anon FROM (SELECT doc_id, text, {tags} AS stepped FROM ("
+        f"SELECT *, {words} AS words FROM (SELECT doc_id, text, {steps} AS stepped FROM ({source}))))"
+    )
+
+
+ORACLE["mask_names"] = f"""
+SELECT doc_id, len(regexp_extract_all(text_anon, '\[NOMBRE_REDACTADO\]'))::BIGINT AS tags, md5(text_anon) AS digest
+FROM ({without_names(_FREE)})"""
+
+
+def cv_records(masked_texts: str, said: str) -> str:
+    return f"""
+WITH {lines_of(masked_texts, 'text_anon', known=True)}, {leading('profile')}, {PAIRS}, {experience()},
+{grams(masked_texts, 'text_anon')},
 found AS (SELECT doc_id, term, category FROM grams JOIN {terms_values(L.TERMS)} USING (term)),
 terms AS (SELECT doc_id, {', '.join(f'{hits(c)} AS {c}' for c in _CATEGORIES)} FROM found GROUP BY doc_id),
 langs AS (SELECT doc_id, string_agg(pair, '; ' ORDER BY pos) AS languages FROM pairs GROUP BY doc_id),
 jobs AS (SELECT doc_id, {dated('experience')} AS positions, {dated('education')} AS careers FROM body GROUP BY doc_id),
-grade AS ({education(masked(C.CV_SQL, lead=True), 'text_anon')}),
-yrs AS (SELECT doc_id, {years('text_anon')} AS years FROM src)
+grade AS ({education(masked_texts, 'text_anon')}),
+yrs AS (SELECT doc_id, greatest({said}, round(months / 12, 1)) AS years FROM src JOIN worked USING (doc_id))
 SELECT src.doc_id, {rid('src.doc_id')} AS candidato_id, {level('years')} AS nivel_experiencia, years AS anos_experiencia,
        coalesce(tecnico, '') AS skills_tecnicos, coalesce(blando, '') AS skills_blandos,
        coalesce(industria, '') AS industrias, coalesce(positions, '') AS cargos_anteriores,
@@ -542,6 +620,13 @@ SELECT src.doc_id, {rid('src.doc_id')} AS candidato_id, {level('years')} AS nive
 FROM src JOIN yrs USING (doc_id) JOIN summed USING (doc_id) LEFT JOIN terms USING (doc_id)
 LEFT JOIN langs USING (doc_id) LEFT JOIN jobs USING (doc_id) LEFT JOIN grade USING (doc_id)"""
 
+
+ORACLE["build_cv_records"] = cv_records(masked(C.CV_SQL, lead=True), years("text_anon"))
+# The corpus says its years in this phrase only; an age follows it.
+ORACLE["build_free_cv_records"] = cv_records(
+    without_names(_FREE, breaks=True), "regexp_extract(text_anon, '([0-9]+) años de experiencia', 1)::DOUBLE"
+)
+
 ORACLE["build_jd_records"] = f"""
 WITH {lines_of(C.JD_SQL, known=True)}, {leading('role')}, {grams(C.JD_SQL)},
 found AS (SELECT doc_id, term, category FROM grams JOIN {terms_values(L.TERMS)} USING (term)),

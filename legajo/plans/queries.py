@@ -173,6 +173,13 @@ def anonymize_cvs(spark, sf_dir):
     return A.anonymize(C.cv_corpus(spark, sf_dir)).select("doc_id", "text_anon")
 
 
+@query
+def mask_names(spark, sf_dir):
+    masked = A.anonymize(C.free_cv_corpus(spark, sf_dir), names=True)
+    tags = F.regexp_count("text_anon", F.lit(r"\[NOMBRE_REDACTADO\]")).cast("long")
+    return masked.select("doc_id", tags.alias("tags"), F.md5("text_anon").alias("digest"))
+
+
 @query
 def pii_audit(spark, sf_dir):
     return A.pii_audit(_documents(spark, sf_dir, "source"), ["source"])
@@ -389,6 +396,12 @@ def extract_years(spark, sf_dir):
     return extract.extract_years(C.cv_corpus(spark, sf_dir))
 
 
+@query
+def experience_from_jobs(spark, sf_dir):
+    as_of = F.lit(C.AS_OF).cast("date")
+    return extract.experience_from_jobs(C.free_cv_corpus(spark, sf_dir), as_of)
+
+
 @query
 def infer_level(spark, sf_dir):
     years = extract.extract_years(C.jd_corpus(spark, sf_dir))
@@ -453,7 +466,7 @@ def extract_job_title(spark, sf_dir):
 
 @query
 def summarize(spark, sf_dir):
-    return extract.summarize(_documents(spark, sf_dir))
+    return extract.summarize(_documents(spark, sf_dir), plain=True)
 
 
 @query
@@ -473,9 +486,19 @@ def _flat(built: DataFrame, rules) -> DataFrame:
     return built.select("doc_id", *cols, _joined(F.col("errors")).alias("errors"))
 
 
+def _cv_records(corpus: DataFrame) -> DataFrame:
+    return _flat(records.build_cv_records(corpus, SALT, as_of=F.lit(C.AS_OF).cast("date")), CV_RULES)
+
+
 @query
 def build_cv_records(spark, sf_dir):
-    return _flat(records.build_cv_records(C.cv_corpus(spark, sf_dir), SALT), CV_RULES)
+    return _cv_records(C.cv_corpus(spark, sf_dir))
+
+
+@query
+def build_free_cv_records(spark, sf_dir):
+    """Records of CVs in any writing; no name, address or contact may reach one."""
+    return _cv_records(C.free_cv_corpus(spark, sf_dir))
 
 
 @query

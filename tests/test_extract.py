@@ -107,13 +107,78 @@ def test_summaries_take_prose_of_their_section_only(spark):
         (3, "PERFIL\n- solo\n- lista"),
         (4, "Sin títulos. Nada más"),
     ]
-    got = {r["doc_id"]: r["summary"] for r in extract.summarize(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r["doc_id"]: r["summary"] for r in extract.summarize(df, plain=True).collect()}
     assert got == {1: "Una línea Dos. Tres.", 2: "", 3: "solo lista", 4: "Sin títulos. Nada más"}
+    # A CV without a profile section has no summary: its lines may be name and address.
+    got = {r["doc_id"]: r["summary"] for r in extract.summarize(df).collect()}
+    assert got == {1: "Una línea Dos. Tres.", 2: "", 3: "solo lista", 4: ""}
+
+
+def test_headings_in_any_writing(spark):
+    plain = "PERFIL PROFESIONAL\nContadora.\nFORMACIÓN ACADÉMICA\n2012 - 2017: Economía — U\nIDIOMAS\nInglés: B2"
+    ways = [
+        plain, plain.replace("\n", "\r\n"), plain.replace("\n", "\r"), plain.replace("FORMACIÓN ACADÉMICA", " Formacion  Academica :".replace("  ", " ")),
+        plain.replace("PERFIL PROFESIONAL", "Perfil profesional").replace("IDIOMAS", "idiomas:"), plain.replace("Ó", "O\u0301").replace("É", "E\u0301"),
+    ]
+    df = spark.createDataFrame(list(enumerate(ways)), "doc_id int, text string")
+    assert {r["summary"] for r in extract.summarize(df).collect()} == {"Contadora."}
+    assert {tuple(r["careers"]) for r in extract.extract_careers(df).collect()} == {("Economía",)}
+    assert {tuple(i["idioma"] for i in r["languages"]) for r in extract.extract_languages(df).collect()} == {("Inglés",)}
+    assert {r["section"] for r in extract.tag_sections(df.filter("doc_id = 1")).collect()} == {"PERFIL PROFESIONAL", "FORMACIÓN ACADÉMICA", "IDIOMAS"}
+
+
+JOBS = [
+    ("2018 - 2021: A — B", [(2018 * 12, 2021 * 12)]),
+    ("- 03/2019–11/2020 C", [(2019 * 12 + 2, 2020 * 12 + 11)]),
+    ("Desde setiembre de 2012 hasta Dic. del 2012: D", [(2012 * 12 + 8, 2012 * 12 + 12)]),
+    ("2022 a la fecha", [(2022 * 12, 2024 * 12)]),
+    ("SEP 2023 - Actualidad: E", [(2023 * 12 + 8, 2024 * 12)]),
+    ("2014 - 2014: F", [(2014 * 12, 2015 * 12)]),
+    ("nov 2014 - 2014", [(2014 * 12 + 10, 2015 * 12)]),
+    ("2019 - 2017: G", []),
+    ("2030 - 2031: H", []),
+    ("2020 - 2040: I", [(2020 * 12, 2024 * 12)]),
+    ("13/2015 - 2016: J", []),
+    ("2015 - 00/2016: J", []),
+    ("Trabajé de 2010 a 2012", []),
+    ("20101 - 2012", []),
+    ("2010 - 20125: K", []),
+    ("", []),
+]
+
+
+def test_dates_of_jobs(column):
+    from datetime import date
+
+    got = column(lambda c: X.job_spans(c, F.lit(date(2024, 1, 31))), [[line] for line, _ in JOBS], "array<string>")
+    assert [[(s["start"], s["end"]) for s in r] for r in got] == [want for _, want in JOBS]
+
+
+def test_covered_months_against_single_months(column):
+    rng = random.Random(6)
+    spans = [[(a := rng.randint(0, 60), a + rng.randint(1, 20)) for _ in range(rng.randint(0, 8))] for _ in range(300)]
+    got = column(X.covered_months, spans, "array<struct<start:int,end:int>>")
+    assert got == [len({m for a, b in s for m in range(a, b)}) for s in spans]
+
+
+def test_experience_of_whole_texts(spark):
+    from datetime import date
+
+    rows = [
+        (1, "PERFIL\n2000 - 2010: no es empleo\nExperiencia\n2018 - 2021: A — B\n2020 - 2022: C — D\nFORMACIÓN\n2001 - 2006: E — F"),
+        (1, "EXPERIENCIA\r\n2023 - hoy: A"), (2, None), (3, ""), (None, "sin secciones 2018 - 2021"),
+        (4, "EXPERIENCIA\n" + "2001 - 2002: A — B\n2003 - 2004: C — D\n" * 3_000),
+    ]
+    df = spark.createDataFrame([(*r, 9) for r in rows], "doc_id int, text string, years int")
+    got = [(r["doc_id"], r["jobs"], r["months"], r["years"]) for r in extract.experience_from_jobs(df, F.lit(date(2024, 1, 1))).collect()]
+    assert sorted(got, key=str) == [(1, 1, 12, 1.0), (1, 2, 48, 4.0), (2, 0, 0, 0.0), (3, 0, 0, 0.0), (4, 6000, 24, 2.0), (None, 0, 0, 0.0)]
 
 
 def test_years(column):
-    values = ["4 años y 12+  AÑOS", "sin", "", "1" * 400 + " años", "07 años", None, "2.5 años", "1,5 años", "5\u00a0años", "5 an\u0303os", "30 años de edad"]
-    want = [12.0, None, None, float("inf"), 7.0, None, 2.5, 1.5, 5.0, 5.0, None]
+    values = ["4 años y 12+  AÑOS", "sin", "", "1" * 400 + " años", "07 años", None, "2.5 años", "1,5 años", "5\u00a0años", "5 an\u0303os", "30 años de edad", "tengo 30 años", "Tengo 5 años de experiencia",
+              "empresa con 40 años en el mercado. Pedimos 3 años", "10 (diez) años", "Edad: 33 años", "firma con 25 años; se piden 2 años"]
+    want = [12.0, None, None, float("inf"), 7.0, None, 2.5, 1.5, 5.0, 5.0, None, None, 5.0, 3.0, 10.0, None, 2.0]
     assert column(X.years_required, values) == want
 
 

@@ -55,7 +55,8 @@ def test_records_are_built_in_one_narrow_stage(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     built = records.build_cv_records(df, "s").filter(F.size("errors") == 0)
     plan = plan_of(built)
-    assert "Exchange" not in plan and plan.count("regexp_replace(") <= 11
+    # Nine that mask, one each for record id, blank lead, names, and two for headings.
+    assert "Exchange" not in plan and plan.count("regexp_replace(") <= 15
 
 
 def test_a_filter_on_errors_does_not_repeat_the_checks(spark):
