@@ -640,3 +640,25 @@ SELECT src.doc_id, {rid('src.doc_id')} AS jd_id, {JOB_TITLE} AS titulo_puesto, {
        {MENTIONS} AS idiomas_requeridos, summary AS descripcion_rol, CASE WHEN summary = '' THEN 'descripcion_rol' ELSE '' END AS errors
 FROM src JOIN yrs USING (doc_id) JOIN summed USING (doc_id) LEFT JOIN terms USING (doc_id)
 LEFT JOIN reqs USING (doc_id) LEFT JOIN grade USING (doc_id)"""
+
+
+def _listed_skills(column: str) -> str:
+    return f"list_filter(string_split({column}, '; '), lambda t: t <> '')"
+
+
+_RANKS = ", ".join(map(quoted, DEGREES))
+ORACLE["match_cvs_to_jds"] = f"""
+WITH cvs AS (SELECT doc_id AS cv, {_listed_skills('skills_tecnicos')} AS skills, round(anos_experiencia * 10)::BIGINT AS has,
+                    coalesce(list_position([{_RANKS}], nivel_educacion), 0) AS degree FROM ({ORACLE['build_cv_records']})),
+jds AS (SELECT doc_id AS jd, {_listed_skills('skills_requeridos')} AS must, {_listed_skills('skills_deseables')} AS wished,
+               round(anos_experiencia_min * 10)::BIGINT AS asked, coalesce(list_position([{_RANKS}], nivel_educacion_minimo), 0) AS least
+        FROM ({ORACLE['build_jd_records']})),
+asks AS (SELECT * REPLACE (list_filter(wished, lambda t: NOT list_contains(must, t)) AS wished) FROM jds),
+met AS (SELECT jd, cv, asked, has, degree, least, len(must) AS m, len(wished) AS n,
+               len(list_intersect(must, skills)) AS must_met, len(list_intersect(wished, skills)) AS nice_met
+        FROM asks, cvs),
+scored AS (SELECT jd, cv, must_met::INT AS must_met, nice_met::INT AS nice_met,
+                  700 * (2 * must_met + nice_met) // (2 * m + n) + CASE WHEN asked <= 0 THEN 200 ELSE 200 * least(has, asked) // asked END
+                  + CASE WHEN degree >= met.least THEN 100 ELSE 0 END AS score FROM met WHERE must_met + nice_met > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY jd ORDER BY score DESC, cv)::INT AS rank FROM scored)
+SELECT jd, rank, cv, score::BIGINT AS score, must_met, nice_met FROM ranked WHERE rank <= 5"""

@@ -13,7 +13,7 @@ from legajo.functions import redact as R
 from legajo.functions import text as T
 from legajo.functions.contract import CV_RULES, JD_RULES, record_schema
 from legajo.operators import anonymize as A
-from legajo.operators import assemble, attempts, correlate, extract, records, requests, validate
+from legajo.operators import assemble, attempts, correlate, extract, match, records, requests, validate
 from legajo.plans import corpora as C
 from legajo.plans import replies as lifecycle
 from legajo.session import scratch_path
@@ -504,3 +504,21 @@ def build_free_cv_records(spark, sf_dir):
 @query
 def build_jd_records(spark, sf_dir):
     return _flat(records.build_jd_records(C.jd_corpus(spark, sf_dir), SALT), JD_RULES)
+
+
+@query
+def match_cvs_to_jds(spark, sf_dir):
+    cvs = records.build_cv_records(C.cv_corpus(spark, sf_dir), SALT, as_of=F.lit(C.AS_OF).cast("date")).select(
+        F.col("doc_id").alias("cv"),
+        F.col("record.skills_tecnicos").alias("skills"),
+        F.col("record.anos_experiencia").alias("years"),
+        F.col("record.nivel_educacion").alias("degree"),
+    )
+    jds = records.build_jd_records(C.jd_corpus(spark, sf_dir), SALT).select(
+        F.col("doc_id").alias("jd"),
+        F.col("record.skills_requeridos").alias("must"),
+        F.col("record.skills_deseables").alias("nice"),
+        F.col("record.anos_experiencia_min").alias("years"),
+        F.col("record.nivel_educacion_minimo").alias("degree"),
+    )
+    return match.top_matches(cvs, jds, k=5)
