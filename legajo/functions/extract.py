@@ -17,14 +17,14 @@ from legajo.functions.contract import DEGREES
 # Four capitals or more, and blanks.
 HEADING = r"^(?=(?:[^\p{Lu}]*+\p{Lu}){4})[\p{Lu} ]+:?$"
 _WORDS = r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*[+#]*"
-# Written so that long runs of digits or blanks are read once. The number may be spelled out in brackets behind it, and
+# Written so that long runs of digits or blanks are read once, and nothing is looked at but in front of a digit. The number may be spelled out in brackets behind it, and
 # "ñ" written in two characters. An age is no experience, and neither is what a firm has behind it.
 _NOT_OWN = (
     rf"(?<!(?:[eE]dad|[eE]dad:|[cC]umpl[íio]|[cC]umplid[ao]s|(?:[eE]mpresa|[cC]ompañía|[fF]irma) con)[{SPACE}]{{1,3}})"
 )
 _AGE = rf"(?<!(?:[tT]engo|[tT]iene)[{SPACE}]{{1,3}})|(?=[0-9]++[{SPACE}]++a(?:ñ|n\u0303)os[{SPACE}]++(?:de[{SPACE}]++(?:experiencia|trayectoria)|trabajando|como)(?![{WORD}]))"
 _YEARS = (
-    rf"(?iu)(?<![0-9.,]){_NOT_OWN}(?:{_AGE})([0-9]++(?:[.,][0-9]++)?)\+?(?:[{SPACE}]*+\([^()\n]{{1,30}}\))?[{SPACE}]++a(?:ñ|n\u0303)os"
+    rf"(?iu)(?=[0-9])(?<![0-9.,]){_NOT_OWN}(?:{_AGE})([0-9]++(?:[.,][0-9]++)?)\+?(?:[{SPACE}]*+\([^()\n]{{1,30}}\))?[{SPACE}]++a(?:ñ|n\u0303)os"
     rf"(?![{SPACE}]++(?:de[{SPACE}]++(?:edad|fundad[ao]|vida)|en[{SPACE}]++el[{SPACE}]++mercado)(?![{WORD}]))"
 )
 _TITLE_LINE = rf"(?imu)^(?:posición|puesto|cargo|título)[ \t]*:[ \t]*([^{SPACE}].*)$"
@@ -129,8 +129,17 @@ def folded_names(names: Sequence[str]) -> list[str]:
 
 
 def heading_name(line: Column) -> Column:
-    """A line that may be a heading, as ``section_lines`` compares it."""
-    return folded(F.regexp_replace(F.trim(line), rf"[{SPACE}]*:?[{SPACE}]*$", ""))
+    """A line that may be a heading as ``section_lines`` compares it: folded, without blanks and colons."""
+    return F.translate(F.lower(line), _ACCENTED.lower() + " :\t\u00a0", _PLAIN.lower())
+
+
+def heading_names(headings: Sequence[str]) -> list[str]:
+    return sorted({name.lower().replace(" ", "") for name in folded_names(headings)})
+
+
+_KNOWN_NAMES = heading_names([name for part in L.SECTIONS.values() for name in part])
+# Room for a few blanks and a colon.
+_LONGEST_HEADING = max(map(len, _KNOWN_NAMES)) + 10
 
 
 def heading(line: Column, known: bool = False) -> Column:
@@ -142,8 +151,8 @@ def heading(line: Column, known: bool = False) -> Column:
     shaped = F.rlike(line, F.lit(HEADING))
     if not known:
         return shaped
-    names = folded_names([name for part in L.SECTIONS.values() for name in part])
-    named = (F.length(line) <= max(map(len, names)) + 10) & heading_name(line).isin(*names)
+    # A look at the length spares most lines the rest.
+    named = (F.length(line) <= _LONGEST_HEADING) & heading_name(line).isin(*_KNOWN_NAMES)
     return (line.endswith(":") & shaped) | named
 
 
@@ -176,8 +185,8 @@ def free_lines(sections: Column) -> Column:
 
 
 def section_lines(sections: Column, headings: Sequence[str]) -> Column:
-    """Lines below the given headings, in order, without the heading lines; for sections cut at known headings."""
-    mine = F.filter(sections, lambda s: s["section"].isin(*folded_names(headings)))
+    """Lines below the given headings, in any writing, in order, without the heading lines."""
+    mine = F.filter(sections, lambda s: heading_name(s["section"]).isin(*heading_names(headings)))
     return F.flatten(F.transform(mine, lambda s: F.slice(s["lines"], F.lit(2), F.size(s["lines"]))))
 
 
@@ -211,18 +220,20 @@ def job_spans(lines: Column, as_of: Column) -> Column:
     Dates are years, or a month, by name or number, and a year. A month that ends a span counts; a year that ends one does not, unless the span
     is within that year. A job that goes on, or ends later, ends in the month of ``as_of``. Lines whose end is not behind their start give nothing.
     """
+    # One search gives all parts of a line; a part with a tab in it there is none.
+    groups = "\t".join(f"${i}" for i in range(1, 8))
     found = F.filter(lines, lambda l: F.rlike(l, F.lit(_SPAN)))
-    part = lambda l, i: F.regexp_extract(l, _SPAN, i)
+    parts = F.transform(found, lambda l: F.split(F.regexp_replace(l, f"(?s){_SPAN}.*$", groups), "\t", 7))
     now = F.year(as_of) * 12 + F.month(as_of) - 1
 
-    def dates(l: Column) -> Column:
-        start = part(l, 3).cast("int") * 12 + _month(part(l, 1), part(l, 2), 0)
-        year, month = F.nullif(part(l, 7), F.lit("")).cast("int") * 12, _month(part(l, 5), part(l, 6), None)
-        whole = (part(l, 5) == "") & (part(l, 6) == "")
-        end = F.when(part(l, 4) != "", now).when(whole, F.when(year > start, year).when(year + 12 > start, year + 12)).otherwise(year + month + 1)
+    def dates(part: Column) -> Column:
+        start = part[2].cast("int") * 12 + _month(part[0], part[1], 0)
+        year, month = F.nullif(part[6], F.lit("")).cast("int") * 12, _month(part[4], part[5], None)
+        whole = (part[4] == "") & (part[5] == "")
+        end = F.when(part[3] != "", now).when(whole, F.when(year > start, year).when(year + 12 > start, year + 12)).otherwise(year + month + 1)
         return F.struct(start.alias("start"), F.when(end <= now, end).when(end > now, now).alias("end"))
 
-    return F.filter(F.transform(found, dates), lambda s: s["end"] > s["start"])
+    return F.filter(F.transform(parts, dates), lambda s: s["end"] > s["start"])
 
 
 def covered_months(spans: Column) -> Column:

@@ -119,6 +119,10 @@ WRITINGS = _case(
     _crlf(_with_heads("Resumen:", "Experiencia Profesional", " Formacion Academica: ", "idiomas")),
     "text",
 )
+#: The same with headings that no list knows for one CV in three.
+STRANGE_HEADS = (
+    f"CASE WHEN doc_id % 3 = 0 THEN {_with_heads('Sobre mí', 'Trayectoria', 'Mis estudios', 'Lenguas que hablo')} ELSE {WRITINGS} END"
+)
 #: The day up to which jobs that go on are counted.
 AS_OF = "2024-01-01"
 
@@ -236,6 +240,12 @@ def free_cv_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", F.expr(WRITINGS).alias("text"))
 
 
+def strange_cv_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text): CVs in several writings, one in three with headings of its own."""
+    df = _dealt(spark, sf_dir, "customer", K).select(F.col(K).alias("doc_id"), F.expr(_FREE_CV).alias("text"))
+    return df.select("doc_id", F.expr(STRANGE_HEADS).alias("text"))
+
+
 def jd_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, title, text)"""
     df = _dealt(spark, sf_dir, "part", P, "p_name", "p_brand", "p_type", "p_size")
@@ -263,6 +273,7 @@ def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The same corpora for DuckDB.
 CV_SQL = f"SELECT {K} AS doc_id, {CV_TEXT} AS text FROM customer"
+PLAIN_CV_SQL = f"SELECT {K} AS doc_id, {_FREE_CV} AS text FROM customer"
 FREE_CV_SQL = f"SELECT doc_id, {WRITINGS} AS text FROM (SELECT {K} AS doc_id, {_FREE_CV} AS text FROM customer)"
 JD_SQL = f"SELECT {P} AS doc_id, {JD_TITLE} AS title, {JD_TEXT} AS text FROM part"
 REPLIES_SQL = f"SELECT {K} AS doc_id, {REPLY_BODY} AS body FROM customer"

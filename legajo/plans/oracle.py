@@ -387,6 +387,13 @@ ORACLE["tag_sections"] = f"WITH {lines_of(f'SELECT doc_id, text FROM ({C.JD_SQL}
 ORACLE["tag_sections_documents"] = f"WITH {lines_of(DOCS)} {_TAGGED}"
 
 
+# Where the headings stand in the same CVs written with known ones.
+_PARTS = "CASE " + " ".join(f"WHEN section IN ({part_names(p)}) THEN '{p}'" for p in L.SECTIONS) + " ELSE 'lead' END"
+ORACLE["segment_sections"] = f"""
+WITH {lines_of(C.PLAIN_CV_SQL, known=True)}
+SELECT doc_id, min(pos)::INT AS start, {_PARTS} AS part FROM tagged GROUP BY doc_id, section"""
+
+
 def grams(source: str, text: str = "text") -> str:
     """CTEs ending in ``grams`` (doc_id, term): runs of one to three words."""
     return f"""
@@ -596,7 +603,7 @@ def without_names(source: str, breaks: bool = False) -> str:
     )
 
 
-ORACLE["mask_names"] = f"""
+ORACLE["mask_names"] = rf"""
 SELECT doc_id, len(regexp_extract_all(text_anon, '\[NOMBRE_REDACTADO\]'))::BIGINT AS tags, md5(text_anon) AS digest
 FROM ({without_names(_FREE)})"""
 

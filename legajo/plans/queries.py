@@ -13,7 +13,7 @@ from legajo.functions import redact as R
 from legajo.functions import text as T
 from legajo.functions.contract import CV_RULES, JD_RULES, record_schema
 from legajo.operators import anonymize as A
-from legajo.operators import assemble, attempts, correlate, extract, match, records, requests, validate
+from legajo.operators import assemble, attempts, correlate, extract, match, records, requests, segment, validate
 from legajo.plans import corpora as C
 from legajo.plans import replies as lifecycle
 from legajo.session import scratch_path
@@ -374,6 +374,14 @@ def tag_sections_documents(spark, sf_dir):
     return extract.tag_sections(_documents(spark, sf_dir))
 
 
+@query
+def segment_sections(spark, sf_dir):
+    """Sections of CVs whose headings are written anyhow or unknown, by costs learned from CVs with known ones."""
+    costs = segment.learn(C.free_cv_corpus(spark, sf_dir))
+    cut = segment.segmented(C.strange_cv_corpus(spark, sf_dir), costs)
+    return cut.select("doc_id", F.explode_outer("sections").alias("s")).select("doc_id", F.col("s.start").alias("start"), F.col("s.section").alias("part"))
+
+
 @query
 def extract_terms(spark, sf_dir):
     found = extract.extract_terms(C.cv_corpus(spark, sf_dir))

@@ -22,6 +22,8 @@ SHUFFLES = {
     "correlate_responses": 1,
     "extract_terms_table": 2,
     "jd_records_from_replies": 1,
+    # The last step only: rounds before it are written.
+    "match_cvs_to_jds": 1,
 }
 
 
