@@ -80,8 +80,9 @@ _FREE_CV = _lines(
     "''",
     "'PERFIL PROFESIONAL'",
     _case(K, 3, "'Ana Soto Quispe'", "'Jr. Puno ' || " + _s(f"{K} % 90") + " || ', Puno'", "'Vive cerca.'"),
-    f"'Especialista con ' || {_s(f'{K} % 14')} || ' años de experiencia en Python y SQL. ' || " + _MENTION
-    + " || ' coordina equipos de banca. Tengo 41 años. Otra frase.'",
+    f"'Especialista con ' || {_s(f'{K} % 14')} || ' años de experiencia en ' || " + _case(K, 5, "'Java y Spark'", "'Python y SQL'") + " || '. ' || " + _MENTION
+    + " || ' coordina equipos de ' || " + _case(K, 3, "'banca'", "'retail'", "'minería'") + " || ' con ' || "
+    + _case(K, 2, "'liderazgo'", "'empatía'") + " || '. Tengo 41 años. Otra frase.'",
     "''",
     "'EXPERIENCIA LABORAL'",
     f"{_s(f'2008 + {K} % 7')} || ' - ' || {_s(f'2012 + {K} % 5')} || ': Analista — Taller Norte'",
@@ -90,9 +91,9 @@ _FREE_CV = _lines(
     _case(K, 3, "'2020 - Actualidad: Gerente de Datos — Andes'", "'Ago. de 2021 a la fecha: Consultora'", "'- Soporte a usuarios'"),
     _case(K, 5, "'2019 - 2017: Al revés — Nada'", "'2014 - 2014: Asistente — Uno'", "'13/2015 - 2016: Sin mes'", "'2018-2030: Docente — Dos'", "''"),
     "'EDUCACIÓN'",
-    "'2003 - 2008: Contabilidad — Universidad del Valle'",
+    "'2003 - 2008: ' || " + _case(K, 3, "'Contabilidad'", "'Economía'") + " || ' — Universidad del Valle'",
     _case(K, 6, "'Grado de bachiller'", "'Título de licenciada'", "'Maestría en datos'", "'Técnico en redes'", "'Bachiller'", "'Cursos libres'"),
-    "''",
+    _case(K, 4, "'- Certificada en PMP'", "'- Examen de ITIL y Scrum Master'", "''"),
     "'IDIOMAS'",
     "'Español: Nativo | Inglés: ' || " + _case(K, 2, "'B2'", "'C1'"),
 )
