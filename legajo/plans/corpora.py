@@ -203,6 +203,19 @@ REPLY_ECHO = f"CASE WHEN {K} % 5 = 0 THEN 'otro' ELSE 'rid-' || {_s(K)} END"
 
 JD_REPLY_ECHO = "CASE WHEN p_partkey % 5 = 0 THEN 'otro' ELSE 'rid-' || " + _s("p_partkey") + " END"
 
+# One request in thirteen has no reply.
+JD_REPLY = f"CASE WHEN p_partkey % 13 <> 0 THEN {JD_REPLY_BODY} END"
+CV_REPLY = f"CASE WHEN {K} % 13 <> 0 THEN {REPLY_BODY} END"
+
+# Attempts at the requests about CVs: how many, and how the i-th of them ended. One request in seventeen was never sent.
+N_TRIES = f"CASE WHEN {K} % 17 = 0 THEN 0 ELSE " + _case(K, 9, "3", "1", "1", "2", "1", "4", "2", "1") + " END"
+TRY_CLASS = _case(
+    K, 9,
+    "'RateLimitError'", "NULL", "'ValueError'", "CASE WHEN i = 1 THEN 'TimeoutError' END", "'ConnectionError'",
+    "CASE WHEN i < 4 THEN 'APIError' END", "CASE WHEN i = 1 THEN 'RateLimitError' ELSE 'AuthError' END", "NULL",
+)
+TRY_MESSAGE = _case(K, 9, "'lento'", "NULL", "'esquema'", "'tarde'", "'red'", "'otra vez'", "'Authentication failed'", "NULL")
+
 ERROR_CLASS = (
     "CASE event_type WHEN 'signup' THEN 'ValueError' WHEN 'error' THEN 'RateLimitError' "
     "WHEN 'click' THEN 'ConnectionError' END"
@@ -259,6 +272,13 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.col(K).alias("doc_id"), F.expr(REPLY_BODY).alias("body"))
 
 
+def cv_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, i, error_class, message)"""
+    df = _dealt(spark, sf_dir, "customer", K)
+    rows = df.select(K, F.expr(f"explode(CASE WHEN {N_TRIES} > 0 THEN sequence(1, {N_TRIES}) END)").alias("i"))
+    return rows.select(F.col(K).alias("doc_id"), "i", F.expr(TRY_CLASS).alias("error_class"), F.expr(TRY_MESSAGE).alias("message"))
+
+
 def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, day, ts, event_id, error_class, message); a user's day is a request."""
     df = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
@@ -278,6 +298,7 @@ PLAIN_CV_SQL = f"SELECT {K} AS doc_id, {_FREE_CV} AS text FROM customer"
 FREE_CV_SQL = f"SELECT doc_id, {WRITINGS} AS text FROM (SELECT {K} AS doc_id, {_FREE_CV} AS text FROM customer)"
 JD_SQL = f"SELECT {P} AS doc_id, {JD_TITLE} AS title, {JD_TEXT} AS text FROM part"
 REPLIES_SQL = f"SELECT {K} AS doc_id, {REPLY_BODY} AS body FROM customer"
+TRIES_SQL = f"SELECT {K} AS doc_id, i, {TRY_CLASS} AS error_class, {TRY_MESSAGE} AS message FROM customer, range(1, 5) AS t(i) WHERE i <= {N_TRIES}"
 ATTEMPTS_SQL = (
     "SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, ts, event_id, "
     f"{ERROR_CLASS} AS error_class, {ERROR_MESSAGE} AS message FROM events"

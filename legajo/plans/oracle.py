@@ -337,6 +337,23 @@ SELECT doc_id, status, CASE status WHEN 'matched' THEN errors ELSE status END AS
        CASE WHEN status = 'matched' AND errors = '' THEN {number_of('anos_experiencia_min')} END AS years
 FROM e JOIN s USING (doc_id)"""
 
+ORACLE["cv_records_from_replies"] = f"""
+WITH n AS (SELECT doc_id, i, {VERDICT} AS verdict FROM ({C.TRIES_SQL}) WHERE i <= 3),
+f AS (SELECT doc_id, min(i) FILTER (WHERE verdict <> 'retryable') AS stop, max(i) AS last FROM n GROUP BY doc_id),
+o AS (SELECT f.doc_id, CASE WHEN stop IS NULL AND last = 3 THEN 'exhausted' WHEN stop IS NULL THEN 'pending' WHEN verdict = 'fatal' THEN 'fatal' ELSE 'ok' END AS outcome,
+             coalesce(stop, last)::BIGINT AS attempts,
+             (2 ** (1 + CASE WHEN stop IS NULL AND last < 3 THEN last ELSE coalesce(stop, last) - 1 END) - 2)::BIGINT AS wait_s
+      FROM f LEFT JOIN n ON n.doc_id = f.doc_id AND n.i = f.stop),
+sent AS (SELECT * FROM (SELECT {C.REPLY_DOC} AS doc_id, {C.K} AS k, {C.REPLY_ECHO} AS rid, {C.CV_REPLY} AS body FROM customer) WHERE body IS NOT NULL),
+met AS (SELECT doc_id, body, CASE WHEN doc_id < 0 THEN 'unknown' WHEN rid = 'rid-' || k::VARCHAR THEN 'matched' ELSE 'id_mismatch' END AS status FROM sent
+        UNION ALL SELECT {C.K}, NULL, 'unanswered' FROM customer WHERE {C.K} NOT IN (SELECT doc_id FROM sent)),
+j AS (SELECT met.doc_id, body, attempts, wait_s, CASE WHEN outcome <> 'ok' THEN outcome ELSE status END AS status, TRY_CAST(body AS JSON) AS v FROM met LEFT JOIN o USING (doc_id)),
+e AS (SELECT *, CASE status WHEN 'matched' THEN {errors(CV_RULES)} ELSE status END AS errors FROM j)
+SELECT CASE errors WHEN '' THEN 'good' ELSE 'quarantine' END AS side, CASE errors WHEN '' THEN v->>'$.candidato_id' ELSE doc_id::VARCHAR END AS key,
+       status, CASE WHEN errors <> '' THEN attempts END AS attempts, CASE WHEN errors <> '' THEN wait_s END AS wait_s, errors,
+       CASE WHEN errors = '' THEN {number_of('anos_experiencia')} END AS years, CASE WHEN errors <> '' THEN md5(body) END AS digest
+FROM e"""
+
 ORACLE["title_or_stem"] = """
 SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE (
          SELECT string_agg(upper(w[1]) || lower(w[2:]), ' ' ORDER BY i)

@@ -341,8 +341,8 @@ def jd_records_from_replies(spark, sf_dir):
     parts = C.table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_size")
     key = F.col("p_partkey").alias("doc_id")
     asked = parts.select(key, F.concat(F.lit("rid-"), "p_partkey").alias("record_id"))
-    sent = parts.select(key, F.expr(C.JD_REPLY_BODY).alias("body"), F.expr(C.JD_REPLY_ECHO).alias("rid"))
-    built = lifecycle.jd_records(asked, sent.filter("doc_id % 13 <> 0"), parts.select(key, F.col("p_name").alias("title")))
+    sent = parts.select(key, F.expr(C.JD_REPLY).alias("body"), F.expr(C.JD_REPLY_ECHO).alias("rid"))
+    built = lifecycle.jd_records(asked, sent, parts.select(key, F.col("p_name").alias("title")))
     return built.select(
         "doc_id",
         "status",
@@ -352,6 +352,29 @@ def jd_records_from_replies(spark, sf_dir):
     )
 
 
+@query
+def cv_records_from_replies(spark, sf_dir):
+    """Attempts resolved, replies met, checked and split; records and quarantine as they are read back."""
+    people = C.table(spark, sf_dir, "customer", "c_custkey")
+    asked = people.select(F.col("c_custkey").alias("doc_id"), F.concat(F.lit("rid-"), "c_custkey").alias("record_id"))
+    sent = people.select(F.expr(C.REPLY_DOC).alias("doc_id"), F.expr(C.REPLY_ECHO).alias("rid"), F.expr(C.CV_REPLY).alias("body"))
+    folder = scratch_path(spark, "cv-replies")
+    lifecycle.write_cv_records(lifecycle.cv_records(asked, C.cv_tries(spark, sf_dir), sent, ["i"]), folder)
+    good = sinks.read_records_json(spark, f"{folder}/records", record_schema(CV_RULES))
+    kept = "doc_id long, status string, attempts long, wait_s long, body string, errors array<string>"
+    bad = spark.read.schema(kept).json(f"{folder}/quarantine")
+    none = F.lit(None)
+    good = good.select(
+        F.lit("good").alias("side"), F.col("candidato_id").alias("key"), F.lit("matched").alias("status"), none.cast("long").alias("attempts"),
+        none.cast("long").alias("wait_s"), F.lit("").alias("errors"), F.col("anos_experiencia").alias("years"), none.cast("string").alias("digest"),
+    )
+    bad = bad.select(
+        F.lit("quarantine").alias("side"), F.col("doc_id").cast("string").alias("key"), "status", "attempts", "wait_s", _joined(F.col("errors")).alias("errors"),
+        none.cast("double").alias("years"), F.md5("body").alias("digest"),
+    )
+    return good.unionByName(bad)
+
+
 @query
 def split_quarantine(spark, sf_dir):
     checked = validate.validate_cv(C.replies(spark, sf_dir))

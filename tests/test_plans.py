@@ -10,7 +10,7 @@ from legajo.operators.extract import tag_sections
 from legajo.operators.validate import CV_RULES, validate_response
 
 SF = "/root/testdata/sf0.001"
-WRITERS = {"scan_documents", "write_records_json", "write_documents_text", "split_quarantine"}
+WRITERS = {"scan_documents", "write_records_json", "write_documents_text", "split_quarantine", "cv_records_from_replies"}
 # Operators that bring rows of one key together, and the shuffles they need.
 SHUFFLES = {
     "assemble_pages": 1,
