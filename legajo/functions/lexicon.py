@@ -66,6 +66,3 @@ LEVEL_BOUNDS: tuple[tuple[float, str], ...] = ((2, "junior"), (5, "semi-senior")
 TOP_LEVEL = "lead"
 
 NO_DEGREE = "no especificado"
-
-# A larger lexicon is joined as a table instead of being written into the plan.
-MAX_LITERAL_TERMS = 500

@@ -8,7 +8,7 @@ nothing is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,6 +81,28 @@ def with_words(df: DataFrame, text: str, terms: Sequence[str], prefix: str = "")
     )
 
 
+def _constant(one: DataFrame) -> Column:
+    """The one value of ``one`` as a constant: lambdas take no subquery, so it comes to the driver and goes out with the plan."""
+    field = one.schema[0]
+    return F.from_json(F.lit(one.select(F.to_json(field.name)).first()[0]), field.dataType)
+
+
+def _word_index(lexicon: DataFrame, buckets: int) -> Column:
+    """All terms of (term, category) as one constant: ``buckets`` arrays of (first, words, term, category), dealt by their first word."""
+    words = X.words(F.col("term"))
+    terms = lexicon.select("term", "category", words.alias("words")).filter(F.size("words") > 0)
+    entry = F.struct(F.get("words", F.lit(0)).alias("first"), "words", "term", "category")
+    held = terms.groupBy(_bucket(F.get("words", F.lit(0)), buckets).alias("id")).agg(F.collect_list(entry).alias("terms"))
+    none = F.array().cast(held.schema["terms"].dataType)
+    dense = lexicon.sparkSession.range(buckets).join(held, "id", "left").select("id", F.coalesce("terms", none).alias("terms"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("id").cast("int").alias("id"), "terms")))
+    return _constant(dense.agg(F.transform(ordered, lambda b: b["terms"]).alias("index")))
+
+
+def _bucket(word: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(buckets))
+
+
 def extract_terms(
     df: DataFrame,
     lexicon: Mapping[str, str] = L.TERMS,
@@ -90,30 +112,46 @@ def extract_terms(
     """(``doc``, one sorted array per category of the lexicon's terms found).
 
     Terms are met as runs of words, in any case, and come out as the lexicon writes them. Each row gives
-    a row, also where ids repeat; a null text has no terms. Lexicons of any size give the same.
+    a row, also where ids repeat; a null text has no terms. The lexicon, which the caller holds in memory, becomes an index
+    by first words that goes to the tasks as one constant: a text's words are looked up one by one, and only where a term
+    begins with one are the words behind it compared. One map stage at any size of lexicon; ``extract_terms_table`` is for
+    lexicons that are tables.
     """
     categories = list(dict.fromkeys(lexicon.values()))
-    work = df.select(doc, F.coalesce(F.col(text), F.lit("")).alias(text))
-    if len(lexicon) > L.MAX_LITERAL_TERMS:
-        # Too many for constants in the plan: the same answer from a table, per text and back to the rows.
-        rows = df.sparkSession.createDataFrame(list(lexicon.items()), "term string, category string")
-        work = work.withColumn("_key", F.sha2(F.encode(text, "UTF-8"), 256))
-        found = extract_terms_table(work.select("_key", text), rows, categories, "_key", text)
-        return work.select(doc, "_key").join(found, "_key").select(doc, *categories)
-    runs: dict[str, dict[str, list[str]]] = {cat: {} for cat in categories}
-    for term, run in X.term_runs(df.sparkSession, list(lexicon)).items():
-        if run:
-            runs[lexicon[term]].setdefault(run, []).append(term)
-    work = with_words(work, text, sorted({run for terms in runs.values() for run in terms}))
-
-    def found_in(cat: str) -> Column:
-        found = X.found_terms(F.col("_hits"), F.col("_spaced"), list(runs[cat]))
-        if all(terms == [run] for run, terms in runs[cat].items()):
-            return found
-        written = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for pair in runs[cat].items() for x in pair])
-        return F.array_sort(F.flatten(F.transform(found, lambda run: F.element_at(written, run))))
-
-    return work.select(doc, *[found_in(cat).alias(cat) for cat in categories])
+    buckets = 1 << max(4, len(lexicon).bit_length())
+    rows = df.sparkSession.createDataFrame(list(lexicon.items()), "term string, category string")
+    index = _word_index(rows, buckets)
+    # Words come through an explode, so that the look-ups do not build them anew.
+    work = df.select(doc, F.explode_outer(F.array(X.words(F.coalesce(F.col(text), F.lit(""))))).alias("_words"))
+
+    def begun(word: Column, i: Column) -> Column:
+        size = lambda e: F.size(e["words"])
+        met = lambda e: (e["first"] == word) & ((size(e) == 1) | (F.slice("_words", i + 1, size(e)) == e["words"]))
+        return F.filter(F.get(index, _bucket(word, buckets)), met)
+
+    found = F.array_distinct(F.flatten(F.transform("_words", begun)))
+    work = work.select(doc, F.explode_outer(F.array(found)).alias("_found"))
+    of = lambda c: F.transform(F.filter("_found", lambda e: e["category"] == c), lambda e: e["term"])
+    return work.select(doc, *[F.array_sort(of(c)).alias(c) for c in categories])
+
+
+def _lexicon_filter(runs: DataFrame, bits: int, ways: int = 3) -> Callable[[Column], Column]:
+    """A test whether a run may be one of ``_run``, by a Bloom filter that is one constant of ``bits`` bits; a no is never wrong."""
+    places = F.array(*[F.pmod(F.xxhash64("_run", F.lit(k)), F.lit(bits)) for k in range(ways)])
+    place = runs.select(F.explode(places).alias("p")).select(F.shiftright("p", 6).alias("id"), (F.col("p") % 64).cast("int").alias("bit"))
+    word = place.groupBy("id").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("w"))
+    dense = runs.sparkSession.range(bits >> 6).join(word, "id", "left").select("id", F.coalesce("w", F.lit(0).cast("long")).alias("w"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("id").cast("int").alias("id"), "w")))
+    value = _constant(dense.agg(F.transform(ordered, lambda x: x["w"]).alias("bits")))
+
+    def may_hold(run: Column) -> Column:
+        test = F.lit(True)
+        for k in range(ways):
+            p = F.pmod(F.xxhash64(run, F.lit(k)), F.lit(bits))
+            test = test & (F.getbit(F.get(value, F.shiftright(p, 6)), (p % 64).cast("int")) == 1)
+        return test
+
+    return may_hold
 
 
 def extract_terms_table(
@@ -122,25 +160,26 @@ def extract_terms_table(
     categories: Sequence[str],
     doc: str = "doc_id",
     text: str = "text",
+    filter_bits: int = 1 << 20,
 ) -> DataFrame:
     """``extract_terms`` for a lexicon table (term, category) of any size.
 
     Terms of any number of words and in any case are found; runs of words are
-    built in the lengths that the lexicon has, read from it by a subquery. Terms come out
-    as the lexicon writes them. How the runs meet the lexicon is left to Spark's statistics and its handling of skew; runs
-    that are no term are dropped before hits are gathered per document, but for
-    one run of each, which keeps documents without a hit. ``doc`` must be unique.
+    built in the lengths that the lexicon has, read from it first. Terms come out
+    as the lexicon writes them. A filter of ``filter_bits`` bits, an eighth of a megabyte whatever the lexicon, leaves out nearly all
+    runs that are no term before any is a row, so that what is shuffled grows with the hits; from some 100,000 terms on more bits
+    leave out more. The join then decides: how it meets the lexicon is left to Spark's statistics and its handling of
+    skew. A text without a hit is one row. ``doc`` must be unique.
     """
     key = X.words(F.col("term"))
     lexicon = lexicon.select("term", "category", F.concat_ws(" ", key).alias("_run"), F.size(key).alias("_n"))
     lexicon = lexicon.filter("_n > 0")
-    lengths = lexicon.agg(F.array_sort(F.collect_set("_n")).alias("_lengths"))
+    lengths = _constant(lexicon.agg(F.array_sort(F.collect_set("_n")).alias("lengths")))
+    may_hold = _lexicon_filter(lexicon, filter_bits)
     work = df.select(doc, F.explode_outer(F.array(X.words(F.col(text)))).alias("_words"))
-    # Lengths come in by a row each, words through an explode: a lambda would else build them anew for each run.
-    work = work.withColumn("_n", F.explode_outer(lengths.scalar()))
-    runs = work.select(doc, "_n", F.posexplode_outer(F.array_distinct(X.grams(F.col("_words"), F.col("_n")))).alias("_pos", "_run"))
+    hits = F.flatten(F.transform(lengths, lambda n: F.filter(X.grams(F.col("_words"), n), may_hold)))
+    runs = work.select(doc, F.explode_outer(F.array_distinct(hits)).alias("_run"))
     hits = runs.join(lexicon.drop("_n"), "_run", "left")
-    hits = hits.filter(F.col("category").isNotNull() | F.coalesce(F.col("_pos") == 0, F.lit(True)))
     found = [F.array_sort(F.collect_set(F.when(F.col("category") == c, F.col("term")))).alias(c) for c in categories]
     return hits.groupBy(doc).agg(*found)
 

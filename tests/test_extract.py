@@ -70,12 +70,12 @@ def test_terms_from_a_table_agree(spark, tmp_path):
 
 
 def test_lexicon_too_large_for_the_plan(spark):
-    df = spark.createDataFrame([(1, "t7 y t600"), (2, "nada"), (3, None)], "doc_id int, text string")
-    found = extract.extract_terms(df, {f"t{i}": "c" for i in range(L.MAX_LITERAL_TERMS + 200)}).collect()
-    assert {r["doc_id"]: r["c"] for r in found} == {1: ["t600", "t7"], 2: [], 3: []}
+    df = spark.createDataFrame([(1, "t7 y t19999 t20000"), (2, "nada"), (3, None)], "doc_id int, text string")
+    found = extract.extract_terms(df, {f"t{i}": "c" for i in range(20_000)}).collect()
+    assert {r["doc_id"]: r["c"] for r in found} == {1: ["t19999", "t7"], 2: [], 3: []}
 
 
-@pytest.mark.parametrize("size", [2, 600])
+@pytest.mark.parametrize("size", [2, 600, 5_000])
 def test_lexicons_of_any_size_give_the_same(spark, size):
     rows = [(1, "Usa SAP y machine-learning"), (1, "sap"), (1, "sap"), (2, None), (None, "Machine learning"), (3, "nada")]
     lexicon = {"SAP": "c", "machine-learning": "c"} | {f"relleno{i}": "c" for i in range(size - 2)}
@@ -84,6 +84,25 @@ def test_lexicons_of_any_size_give_the_same(spark, size):
     assert got == [("1", ["SAP"]), ("1", ["SAP"]), ("1", ["SAP", "machine-learning"]), ("2", []), ("3", []), ("None", ["machine-learning"])]
 
 
+def test_a_table_shuffles_hits_only(spark):
+    words = [f"palabra{i}" for i in range(400)]
+    rng = random.Random(4)
+    docs = [" ".join(rng.choices(words, k=200)) for _ in range(300)] + ["palabra1 otra", None, ""]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string").repartition(4)
+    lexicon = spark.createDataFrame([("palabra1", "c"), ("palabra2 palabra3", "c"), ("otra", "c")], "term string, category string")
+    found = extract.extract_terms_table(df, lexicon, ["c"])
+    got = {r["doc_id"]: r["c"] for r in found.collect()}
+    spaced = [f" {d or ''} " for d in docs]
+    assert got == {i: [t for t in ("otra", "palabra1", "palabra2 palabra3") if f" {t} " in d] for i, d in enumerate(spaced)}
+    # Rows behind the filter: hits, and one for each text without any; a filter too small for the lexicon changes no answer.
+    runs = df.select(F.explode(F.array(X.words(F.col("text")))).alias("w"))
+    may_hold = extract._lexicon_filter(lexicon.select(F.col("term").alias("_run")), 1 << 22)
+    passed = runs.select(F.sum(F.size(F.filter("w", may_hold)))).first()[0]
+    assert passed == sum(d.split().count("palabra1") + d.split().count("otra") for d in spaced)
+    tiny = extract.extract_terms_table(df, lexicon, ["c"], filter_bits=64)
+    assert {r["doc_id"]: r["c"] for r in tiny.collect()} == got
+
+
 def test_long_terms_capitals_and_an_empty_lexicon(spark):
     df = spark.createDataFrame([(1, "Sé administración de bases de  datos y sap"), (2, "")], "doc_id int, text string")
     lexicon = spark.createDataFrame([("administración de bases de datos", "c"), ("SAP", "c")], "term string, category string")
