@@ -12,6 +12,7 @@ from legajo.functions import lexicon as L
 from legajo.functions import text as T
 from legajo.functions.patterns import SPACE
 from legajo.operators.anonymize import anonymize
+from legajo.operators import segment
 from legajo.operators.extract import summary, with_sections, with_words
 from legajo.operators.validate import keep_together
 from legajo.functions.contract import CV_RULES, JD_RULES, FieldRule
@@ -60,6 +61,7 @@ def build_cv_records(
     text: str = "text",
     carry: Sequence[str] = (),
     as_of: Column | None = None,
+    costs: segment.Costs | None = None,
 ) -> DataFrame:
     """(``doc``, ``carry``, record, errors) for each CV, from its masked text.
 
@@ -67,16 +69,21 @@ def build_cv_records(
     without it no record depends on the day it is made. Names that the text gives are masked wherever it mentions them, and a summary
     takes no line that may say who or where a person is.
 
+    Sections begin at known headings or, given ``costs`` that ``segment.learn`` found, where a text's lines say so, whatever its headings.
+
     One narrow job from raw text to checked record: no shuffle at any size. The
     whole text is read; the cut belongs to requests only.
     """
     masked, hits = F.col("text_anon"), F.col("_hits")
-    part = lambda name: X.section_lines(F.col("sections"), L.SECTIONS[name])
+    if costs is None:
+        part = lambda name: X.section_lines(F.col("sections"), L.SECTIONS[name])
+    else:
+        part = lambda name: segment.part_lines(F.col("sections"), name)
     terms = lambda known: X.found_terms(hits, F.col("_spaced"), known)
     said = F.coalesce(X.years_required(masked), F.lit(0.0))
     plain = df.select(doc, *carry, F.col(text), T.plain_breaks(F.col(text)).alias("_plain"))
     masked_text = anonymize(plain, "_plain", skip_blank_lead=True, names=True)
-    cut = with_sections(masked_text, "text_anon", known=True)
+    cut = with_sections(masked_text, "text_anon", known=True) if costs is None else segment.segmented(masked_text, costs, "text_anon")
     read = with_words(cut, "text_anon", _LISTED)
     read = read.withColumn("_profile", part("profile")).withColumn("_jobs", part("experience"))
     if as_of is None:

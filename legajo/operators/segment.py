@@ -169,3 +169,11 @@ def segmented(df: DataFrame, costs: Costs, text: str = "text", out: str = "secti
         return F.struct(p["start"].alias("start"), name.alias("section"), F.slice(lines, p["start"] + 1, end - p["start"]).alias("lines"))
 
     return df.withColumn(out, F.transform("_path", section)).drop("_lines", "_kinds", "_path")
+
+
+def part_lines(sections: Column, part: str) -> Column:
+    """Lines of a part of ``segmented`` sections, in order, without a first line that is or looks like its heading."""
+    mine = F.filter(sections, lambda s: s["section"] == part)
+    headed = lambda line: X.heading(line, known=True) | (F.rlike(line, F.lit(_TITLE)) & ~X.private(line))
+    body = lambda lines: F.slice(lines, F.when(headed(F.get(lines, F.lit(0))), 2).otherwise(1), F.size(lines))
+    return F.flatten(F.transform(mine, lambda s: body(s["lines"])))

@@ -651,6 +651,8 @@ ORACLE["build_free_cv_records"] = cv_records(
     without_names(_FREE, breaks=True), "regexp_extract(text_anon, '([0-9]+) años de experiencia', 1)::DOUBLE"
 )
 
+ORACLE["build_strange_cv_records"] = cv_records(without_names(C.PLAIN_CV_SQL), "regexp_extract(text_anon, '([0-9]+) años de experiencia', 1)::DOUBLE")
+
 ORACLE["build_jd_records"] = f"""
 WITH {lines_of(C.JD_SQL, known=True)}, {leading('role')}, {grams(C.JD_SQL)},
 found AS (SELECT doc_id, term, category FROM grams JOIN {terms_values(L.TERMS)} USING (term)),

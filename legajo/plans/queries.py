@@ -517,8 +517,8 @@ def _flat(built: DataFrame, rules) -> DataFrame:
     return built.select("doc_id", *cols, _joined(F.col("errors")).alias("errors"))
 
 
-def _cv_records(corpus: DataFrame) -> DataFrame:
-    return _flat(records.build_cv_records(corpus, SALT, as_of=F.lit(C.AS_OF).cast("date")), CV_RULES)
+def _cv_records(corpus: DataFrame, costs: segment.Costs | None = None) -> DataFrame:
+    return _flat(records.build_cv_records(corpus, SALT, as_of=F.lit(C.AS_OF).cast("date"), costs=costs), CV_RULES)
 
 
 @query
@@ -532,6 +532,12 @@ def build_free_cv_records(spark, sf_dir):
     return _cv_records(C.free_cv_corpus(spark, sf_dir))
 
 
+@query
+def build_strange_cv_records(spark, sf_dir):
+    """Records of CVs with headings that no list knows: the same as with known ones."""
+    return _cv_records(C.strange_cv_corpus(spark, sf_dir), segment.learn(C.free_cv_corpus(spark, sf_dir)))
+
+
 @query
 def build_jd_records(spark, sf_dir):
     return _flat(records.build_jd_records(C.jd_corpus(spark, sf_dir), SALT), JD_RULES)
