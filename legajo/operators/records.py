@@ -123,7 +123,9 @@ def build_jd_records(
     raw, hits = F.col(text), F.col("_hits")
     part = lambda name: X.section_lines(F.col("sections"), L.SECTIONS[name])
     terms = lambda known, of="": X.found_terms(F.col(f"{of}_hits"), F.col(f"{of}_spaced"), known)
-    years = F.coalesce(X.years_required(raw), F.lit(0.0))
+    # What the required items say goes before what the rest does.
+    asked_for = X.years_required(F.array_join(part("mandatory"), "\n"))
+    years = F.coalesce(asked_for, X.years_required(raw), F.lit(0.0))
     read = with_sections(df.select(doc, *carry, text, title), text, known=True)
     read = with_words(read, text, _LISTED).withColumn("_years", years)
     for name, section in (("must", "mandatory"), ("nice", "desirable")):

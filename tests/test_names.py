@@ -9,7 +9,8 @@ from legajo.functions import extract as X
 from legajo.functions import names as N
 from legajo.functions import redact as R
 from legajo.operators.anonymize import anonymize
-from legajo.operators.records import build_cv_records
+from legajo.operators.records import build_cv_records, build_jd_records
+from legajo.operators.segment import learn
 from legajo.plans import corpora as C
 
 TAG = "[NOMBRE_REDACTADO]"
@@ -78,3 +79,19 @@ def test_the_case_that_failed_before(spark):
     df = spark.createDataFrame([(1, text), (2, text.replace("\n", "\r\n"))], "doc_id int, text string")
     got = build_cv_records(df, "s").select("record.resumen_perfil", "record.anos_experiencia", "errors").collect()
     assert [tuple(r) for r in got] == [("Contadora con 4 años. Ordenada.", 4.0, [])] * 2
+
+
+def test_nor_with_headings_that_no_list_knows(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, costs = C.strange_cv_corpus(spark, sf), learn(C.free_cv_corpus(spark, sf))
+    as_of = F.lit(C.AS_OF).cast("date")
+    rows = build_cv_records(docs, "s", as_of=as_of, costs=costs).select(F.to_json("record").alias("r"), "errors").collect()
+    assert sum(not r["errors"] for r in rows) > 0.8 * len(rows)
+    assert not any(re.search(r"quispe|paredes|d[ií]az|mar[ií]a|soto|cruz|[ñn]ahui|olmos|puno\b|cusco|@", r["r"] or "", re.I) for r in rows)
+
+
+def test_years_of_job_descriptions_come_from_what_is_required(spark):
+    text = "Somos un equipo con 12 años de trabajo\nRequisitos:\n- 3 años con Python\nFunciones\nDiseñar."
+    rows = [(1, "t", text), (2, "t", text.replace("- 3 años", "- algo")), (3, "t", "Funciones\nDiseñar.")]
+    built = build_jd_records(spark.createDataFrame(rows, "doc_id int, title string, text string"), "s")
+    assert {r["doc_id"]: r["record"]["anos_experiencia_min"] for r in built.collect()} == {1: 3.0, 2: 12.0, 3: 0.0}
