@@ -4,27 +4,34 @@ Weights are whole parts of a period, the sum of all parts. Each source's rows ar
 w of H parts is released at slot floor(i H / w) and due by slot ceil((i + 1) H / w); at each slot the released block
 with the earliest deadline goes. On one sequence with full use every deadline is met, so after any number of slots each source has its
 share to less than one block, as long as all have blocks left. The order repeats after H slots: one period is scheduled, in one
-row of H steps whatever the data's size, and every block finds its slot from its number.
+row of H steps whatever the data's size, and every block finds its slot from its number. A step looks at the blocks that are due next only,
+so that its cost does not grow with the sources.
 
-Periods or sources that are too many for one row are scheduled by halves. Two sides of a and b parts need no period: block k of the
-one goes to slot floor(k (a + b) / a) and the other side fills the rest, which is Pfair for both. Sources of like parts are put
-in groups, groups in classes, and both are halved down to the source; classes are split off one by one, the largest first. Every block finds its slot from its
-number by the splits above its source. Parts are kept exactly; each split adds less than one block times the source's share of its
-side, which is less than six blocks in all.
+``tempered_parts`` keeps the period near MOST_PARTS at most: beyond it targets are rounded to whole parts, and ``share`` has what was asked for.
+
+``splits`` is another schedule for callers who name it (``by="halves"``): it keeps any parts exactly and has no period, but promises less. Two
+sides of a and b parts need no period: block k of the one goes to slot floor(k (a + b) / a) and the other side fills the rest, which is Pfair
+for both. Sources of like parts are put in groups, groups in classes, and both are halved down to the source; classes are split off one by one, the
+largest first. Each split adds less than one block times the source's share of its side, which is less than six blocks in all.
 
 Rows are numbered within their source without gathering a source: they are dealt by hash into bins of bounded size, numbered in
-their bin, and bins are numbered on by their counts. No row is dropped or repeated; when a source runs dry its slots stay empty and
-the others go on at their own pace.
+their bin, and bins are numbered on by their counts. Slots go to the bins, which need a few each, and with them to the rows. No row is dropped
+or repeated; when a source runs dry its slots stay empty and the others go on at their own pace.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bounds of a period that is scheduled in one row and broadcast; beyond either, sources are scheduled by halves.
-MOST_PARTS = 10_000
-MOST_SOURCES = 500
+from legajo.llm.scratch import saved
+
+#: Parts of a period that ``tempered_parts`` makes at most, but for one of each source.
+MOST_PARTS = 1_000_000
+#: Slots of a period that are scheduled before their blocks are put away, and slots for whose deadlines blocks are held ready.
+CHUNK, AHEAD = 256, 64
 #: Sources in a group, about.
 GROUP_SOURCES = 1000
 #: Parts of the smallest target at least, so that rounding moves no target by more than a sixteenth.
@@ -32,47 +39,100 @@ LEAST_PARTS = 8
 BIN_ROWS = 4096
 
 
-def tempered_parts(docs: DataFrame, source: str = "source", power: float = 0.7, parts: int = 1000) -> DataFrame:
-    """(source, parts): targets in proportion to a power of the sources' row counts.
+def tempered_parts(docs: DataFrame, source: str = "source", power: float = 0.7, parts: int = 1000, weight: Column | None = None) -> DataFrame:
+    """(source, parts, share): targets in proportion to a power of the sources' row counts, times ``weight``.
 
-    About ``parts`` parts in all, or as many more as give the smallest source LEAST_PARTS.
+    ``weight`` is an expression on ``source``. ``share`` is the target before rounding. There are about ``parts`` parts in all, or as many more as give the smallest source LEAST_PARTS
+    within MOST_PARTS. Each source has one part at least.
     """
     name = F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source")
     sizes = docs.groupBy(name).agg(F.pow(F.count("*"), F.lit(power)).alias("size"))
-    one = sizes.agg(F.greatest(parts / F.sum("size"), LEAST_PARTS / F.min("size")).alias("scale"))
-    return sizes.select("source", F.round(F.col("size") * one.scalar()).cast("long").alias("parts"))
+    if weight is not None:
+        sizes = sizes.withColumn("size", F.col("size") * weight)
+    total = F.sum("size")
+    scale = F.least(F.greatest(parts / total, LEAST_PARTS / F.min("size")), MOST_PARTS / total)
+    one = sizes.agg(F.struct(scale.alias("scale"), total.alias("total")).alias("one")).scalar()
+    whole = F.greatest(F.lit(1), F.round(F.col("size") * one["scale"])).cast("long")
+    return sizes.select("source", whole.alias("parts"), (F.col("size") / one["total"]).alias("share"))
+
+
+def _no_keys() -> Column:
+    return F.array().cast("array<bigint>")
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _earliest(state: Column, keys: Column) -> Column:
+    """One slot: the keys released at it come in, the smallest of all goes out.
+
+    ``near`` has the blocks due up to ``bound``, which are the only ones looked at until there are none; ``far`` the others and ``fresh`` those that came in since.
+    """
+
+    def entered(x: Column) -> Column:
+        near = F.concat(x["near"], F.filter(keys, lambda k: k <= x["bound"]))
+        fresh = F.concat(x["fresh"], F.filter(keys, lambda k: k > x["bound"]))
+        return F.struct(near.alias("near"), fresh.alias("fresh"), x["far"].alias("far"), x["bound"].alias("bound"))
+
+    def refilled(x: Column) -> Column:
+        pool = F.struct(F.concat(x["far"], x["fresh"]).alias("keys"))
+        pool = _let(pool, lambda p: F.struct(p["keys"].alias("keys"), (F.array_min(p["keys"]) + AHEAD * F.col("n")).alias("bound")))
+
+        def cut(p: Column) -> Column:
+            near = F.filter(p["keys"], lambda k: k <= p["bound"])
+            return F.struct(near.alias("near"), _no_keys().alias("fresh"), F.filter(p["keys"], lambda k: k > p["bound"]).alias("far"), p["bound"].alias("bound"))
+
+        return _let(pool, cut)
+
+    def popped(x: Column) -> Column:
+        first = F.array_min(x["near"])
+        left = F.array_remove(x["near"], first)
+        return F.struct(
+            left.alias("near"), x["fresh"].alias("fresh"), x["far"].alias("far"), x["bound"].alias("bound"), F.array_append(state["out"], first).alias("out")
+        )
+
+    return _let(_let(_let(state, entered), lambda x: F.when(F.size(x["near"]) > 0, x).otherwise(refilled(x))), popped)
 
 
 def period(targets: DataFrame) -> DataFrame:
-    """(source, nth, slot, period): the slots of one period, from (source, parts).
+    """(source, nth, slot, parts, period): the slots of one period, from (source, parts).
 
-    Sources without parts have no slot. More than MOST_PARTS parts in all are an error.
+    Sources without parts have no slot. A block's key is its deadline times the number of sources, plus its source's place among their names.
     """
-    queue = F.transform(
-        F.array_sort(F.collect_list(F.struct("source", "parts"))),
-        lambda x: F.struct(x["source"].alias("source"), x["parts"].cast("long").alias("parts"), F.lit(0).cast("long").alias("i")),
-    )
-    one = targets.filter("parts > 0").agg(queue.alias("queue"), F.coalesce(F.sum("parts"), F.lit(0)).cast("long").alias("h"))
-    one = one.filter("h > 0").withColumn("h", F.when(F.col("h") <= MOST_PARTS, F.col("h")).otherwise(F.raise_error(F.lit("too many parts"))))
-
-    def step(state, t):
-        release = lambda x: F.floor(x["i"] * F.col("h") / x["parts"])
-        deadline = lambda x: F.ceil((x["i"] + 1) * F.col("h") / x["parts"])
-        ready = F.filter(state["queue"], lambda x: release(x) <= t)
-        first = F.array_min(F.transform(ready, lambda x: F.struct(deadline(x).alias("due"), x["source"].alias("source"), x["i"].alias("i"))))
-        queue = F.transform(
-            state["queue"],
-            lambda x: F.struct(
-                x["source"].alias("source"), x["parts"].alias("parts"), F.when(x["source"] == first["source"], x["i"] + 1).otherwise(x["i"]).alias("i")
-            ),
+    queue = F.array_sort(F.collect_list(F.struct("source", F.col("parts").cast("long").alias("parts"))))
+    one = targets.filter("parts > 0").agg(queue.alias("queue"), F.coalesce(F.sum("parts"), F.lit(0)).cast("long").alias("h")).filter("h > 0")
+    one = one.select("h", F.size("queue").cast("long").alias("n"), F.posexplode("queue").alias("rank", "x"))
+    ranks = saved(one.select("h", "n", F.col("rank").cast("long").alias("rank"), "x.source", "x.parts"), "targets")
+    blocks = ranks.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("nth"))
+    key = F.expr("((nth + 1) * h + parts - 1) div parts * n + rank")
+    released = blocks.select("h", "n", F.expr("nth * h div parts").alias("slot"), key.alias("key"))
+    # Every slot, also one at which nothing is released.
+    every = ranks.filter("rank = 0").select("h", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("h") - 1)).alias("slot"), F.lit(None).cast("long").alias("key"))
+    slots = released.unionByName(every).groupBy("h", "n", "slot").agg(F.collect_list("key").alias("keys"))
+    chunk = F.array_sort(F.collect_list(F.struct("slot", "keys"))).alias("slots")
+    chunks = slots.groupBy("h", "n", F.call_function("div", "slot", F.lit(CHUNK)).alias("chunk")).agg(chunk)
+    row = chunks.groupBy("h", "n").agg(F.array_sort(F.collect_list(F.struct("chunk", "slots"))).alias("chunks"))
+    held = [_no_keys().alias("near"), _no_keys().alias("fresh"), _no_keys().alias("far"), F.lit(-1).cast("long").alias("bound")]
+
+    def scheduled_chunk(state: Column, chunk: Column) -> Column:
+        carried = [state[c].alias(c) for c in ("near", "fresh", "far", "bound")]
+        return F.aggregate(
+            chunk["slots"],
+            F.struct(*carried, _no_keys().alias("out")),
+            lambda a, x: _earliest(a, x["keys"]),
+            lambda a: F.struct(*[a[c].alias(c) for c in ("near", "fresh", "far", "bound")], F.array_append(state["out"], a["out"]).alias("out")),
         )
-        out = F.array_append(state["out"], F.struct(t.alias("slot"), first["source"].alias("source"), first["i"].alias("nth")))
-        return F.struct(queue.alias("queue"), out.alias("out"))
 
-    none = F.array().cast("array<struct<slot: bigint, source: string, nth: bigint>>")
-    slots = F.sequence(F.lit(0).cast("long"), F.col("h") - 1)
-    state = F.aggregate(slots, F.struct("queue", none.alias("out")), step, lambda s: s["out"])
-    return one.select("h", F.inline(state)).select("source", "nth", "slot", F.col("h").alias("period"))
+    none = F.array().cast("array<array<bigint>>").alias("out")
+    order = F.aggregate("chunks", F.struct(*held, none), scheduled_chunk, lambda a: F.flatten(a["out"]))
+    # Outer, as Spark would compute the schedule once more in a not-empty filter below the explode.
+    order = row.select("h", "n", F.posexplode_outer(order).alias("slot", "key"))
+    order = order.select("h", F.col("slot").cast("long").alias("slot"), (F.col("key") % F.col("n")).alias("rank"), F.expr("key div n").alias("due"))
+    # The block with this deadline is the last one whose fluid end is not behind it.
+    nth = F.expr("due * parts div h - 1").alias("nth")
+    return order.join(ranks.drop("h", "n"), "rank").select("source", nth, "slot", "parts", F.col("h").alias("period"))
 
 
 def _halved(items: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -120,13 +180,29 @@ def _slot(total: int) -> Column:
     return F.expr(f"aggregate(__steps, block_no, (k, s) -> k div s.own * s.both + {ahead})")
 
 
-def scheduled(docs: DataFrame, targets: DataFrame, doc: str = "doc_id", source: str = "source", block: int = 32) -> DataFrame:
+def _bin_slots(counts: DataFrame, targets: DataFrame, block: int) -> DataFrame:
+    """``counts`` with ``__first``, the first block of the bin, and ``__slots``, the slots of its blocks; null without a target."""
+    # A source's slots by the number of the block in the period: one row for each source, of as many slots as it has parts.
+    nths = F.transform(F.array_sort(F.collect_list(F.struct("nth", "slot"))), lambda x: x["slot"])
+    slots = period(targets).groupBy(F.col("source").alias("__source"), "parts", "period").agg(nths.alias("nths"))
+    first = F.expr(f"__before div {block}")
+    # A bin's numbers are those of the source's rows from __before on, so its blocks follow each other.
+    last = F.expr(f"(__before + __count - 1) div {block}")
+    at = lambda b: F.call_function("div", b, F.col("parts")) * F.col("period") + F.get("nths", (b % F.col("parts")).cast("int"))
+    found = F.when(F.col("parts").isNotNull(), F.transform(F.sequence(first, last), at))
+    return counts.join(slots, "__source", "left").select(*counts.columns, first.alias("__first"), found.alias("__slots"))
+
+
+def scheduled(docs: DataFrame, targets: DataFrame, doc: str = "doc_id", source: str = "source", block: int = 32, by: str = "deadlines") -> DataFrame:
     """``docs`` with ``block_no``, ``slot`` and ``position``; existing columns of these names are replaced.
 
+    ``by`` is ``deadlines``, whose lag is below one block, or ``halves`` (``splits``), whose lag is below six; the data never choose.
     Rows of a source are taken in an order by their hash, so that it does not follow the input's.
     ``position`` is slot * block + place in the block: unique, with gaps where blocks are short or a source ran dry. A null source is the source ``""``. Rows of a source without
     a target have no slot and come last, with a null ``position``. Equal rows are interchangeable.
     """
+    if by not in ("deadlines", "halves"):
+        raise ValueError(f"no schedule by {by}")
     names = ("block_no", "slot", "position")
     docs = docs.drop(*names)
     bins = max(1, docs.count() // BIN_ROWS)
@@ -134,29 +210,23 @@ def scheduled(docs: DataFrame, targets: DataFrame, doc: str = "doc_id", source:
     place = F.xxhash64(*docs.columns)
     rows = docs.withColumns({"__source": F.coalesce(F.col(source).cast("string"), F.lit("")), "__hash": place})
     rows = rows.withColumn("__bin", F.pmod(F.col("__hash"), F.lit(bins)))
-    counts = rows.groupBy("__source", "__bin").agg(F.count("*").alias("__n"))
+    counts = rows.groupBy("__source", "__bin").agg(F.count("*").alias("__count"))
     upto = Window.partitionBy("__source").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("__source", "__bin", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__before"))
-    size = targets.filter("parts > 0").agg(F.coalesce(F.sum("parts"), F.lit(0)).alias("parts"), F.count("*").alias("sources")).first()
-    halved = size["parts"] > MOST_PARTS or size["sources"] > MOST_SOURCES
-    if halved:
-        # To the counts, not the rows: a source has a count for each of its bins.
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__count").over(upto), F.lit(0)))
+    # To the counts, not the rows: a source has a count for each of its bins.
+    if by == "halves":
         steps = splits(targets).select(F.col("source").alias("__source"), F.col("steps").alias("__steps"))
         counts = counts.join(steps, "__source", "left")
+        slot = _slot(targets.filter("parts > 0").agg(F.coalesce(F.sum("parts"), F.lit(0))).first()[0])
+    else:
+        counts = _bin_slots(counts, targets, block)
+        slot = F.get("__slots", (F.col("block_no") - F.col("__first")).cast("int"))
     within = Window.partitionBy("__source", "__bin").orderBy("__hash", doc)
-    rows = rows.withColumn("__n", F.row_number().over(within)).join(counts, ["__source", "__bin"])
+    rows = rows.withColumn("__n", F.row_number().over(within)).join(counts.drop("__count"), ["__source", "__bin"])
     rank = F.col("__before") + F.col("__n") - 1
     rows = rows.withColumns({"block_no": F.floor(rank / block).cast("long"), "__place": F.pmod(rank, F.lit(block))})
-    if halved:
-        rows = rows.withColumn("slot", _slot(size["parts"]))
-        return rows.withColumn("position", F.col("slot") * block + F.col("__place")).select(*docs.columns, *names)
-    slots = period(targets).select(F.col("source").alias("__source"), F.col("nth").alias("__nth"), F.col("period").alias("__period"), F.col("slot").alias("__slot"))
-    parts = targets.filter("parts > 0").select(F.col("source").alias("__source"), F.col("parts").cast("long").alias("__parts"))
-    rows = rows.join(F.broadcast(parts), "__source", "left").withColumn("__nth", F.pmod("block_no", "__parts"))
-    rows = rows.join(F.broadcast(slots), ["__source", "__nth"], "left")
-    slot = F.floor(F.col("block_no") / F.col("__parts")) * F.col("__period") + F.col("__slot")
-    rows = rows.withColumn("slot", slot.cast("long")).withColumn("position", (F.col("slot") * block + F.col("__place")).cast("long"))
-    return rows.select(*docs.columns, *names)
+    rows = rows.withColumn("slot", slot.cast("long"))
+    return rows.withColumn("position", (F.col("slot") * block + F.col("__place")).cast("long")).select(*docs.columns, *names)
 
 
 def mixed(docs: DataFrame, targets: DataFrame, doc: str = "doc_id", source: str = "source", block: int = 32) -> DataFrame:

@@ -58,7 +58,9 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.scheduled(docs, mixing.tempered_parts(docs)).select("doc_id", "source", "block_no", "slot", "position")
+    # Fixed unequal weights, from 1 to 5, by a source's name.
+    targets = mixing.tempered_parts(docs, weight=1 + F.crc32("source") % 5)
+    return mixing.scheduled(docs, targets).select("doc_id", "source", "block_no", "slot", "position")
 
 
 @query

@@ -5,6 +5,8 @@ from collections import Counter
 from fractions import Fraction
 from math import ceil, floor
 
+from pyspark.sql import functions as F
+
 from legajo.llm import mixing
 
 
@@ -29,10 +31,12 @@ def test_period(spark):
         assert all(abs(done[s] - Fraction((slot + 1) * w, 100)) < 1 for s, w in parts.items())
 
 
-def test_rows_are_kept_and_mixed(spark):
+def test_rows_are_kept_and_mixed(spark, monkeypatch):
     rows = [(i, "big" if i % 3 else ("b", "c", None)[i // 3 % 3], "x") for i in range(6_000)] + [(None, "big", "x")] * 40 + [(1, "odd", "y")]
     df = spark.createDataFrame(rows, "doc_id long, source string, parts string").repartition(5)
     targets = spark.createDataFrame([("big", 3), ("b", 2), ("c", 2), ("", 1)], "source string, parts int")
+    # A source in many bins, each with blocks that it shares with the next.
+    monkeypatch.setattr(mixing, "BIN_ROWS", 100)
     got = mixing.scheduled(df, targets, block=7).collect()
     assert Counter((r["doc_id"], r["source"], r["parts"]) for r in got) == Counter(rows)
     placed = [r for r in got if r["position"] is not None]
@@ -78,7 +82,7 @@ def lags(spark, parts, horizon):
     return most
 
 
-def test_more_parts_than_one_row_schedules(spark, monkeypatch):
+def test_halves_keep_any_parts(spark, monkeypatch):
     rng = random.Random(3)
     monkeypatch.setattr(mixing, "GROUP_SOURCES", 20)
     parts = {f"s{i}": rng.choice([1, 2, 3, 5]) for i in range(300)} | {"big": 9_000, "": 4_000, "mid": 700, "odd": 77}
@@ -88,16 +92,62 @@ def test_more_parts_than_one_row_schedules(spark, monkeypatch):
     assert lags(spark, {"only": 5}, 50) == 0
 
 
+def lag_of_deadlines(spark, sizes):
+    """The largest lag in blocks over one period, for sources of so many rows."""
+    df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, n long")
+    # As tempered_parts counts them, without making the rows.
+    rows = df.select("source", F.pow("n", F.lit(0.7)).alias("size"))
+    total, least = rows.agg(F.sum("size"), F.min("size")).first()
+    scale = min(max(1000 / total, mixing.LEAST_PARTS / least), mixing.MOST_PARTS / total)
+    parts = {r["source"]: max(1, round(r["size"] * scale)) for r in rows.collect()}
+    targets = spark.createDataFrame(list(parts.items()), "source string, parts long")
+    h, done, most = sum(parts.values()), Counter(), 0
+    slots = sorted((r["slot"], r["source"], r["nth"]) for r in mixing.period(targets).collect())
+    assert [t for t, _, _ in slots] == list(range(h))
+    for slot, source, nth in slots:
+        assert nth == done[source]
+        most = max(most, slot * parts[source] / h - nth, nth + 1 - (slot + 1) * parts[source] / h)
+        done[source] += 1
+    assert done == parts
+    return h, most
+
+
+def test_one_promise_at_every_size(spark):
+    parts, lag = lag_of_deadlines(spark, {f"s{i}": int(10 ** (1 + 6 * i / 29)) for i in range(30)})
+    assert parts > 400_000 and lag < 1
+    parts, lag = lag_of_deadlines(spark, {f"s{i}": 1 + i % 7 for i in range(10_000)})
+    assert parts > 80_000 and lag < 1
+
+
+def test_many_blocks_ready_are_taken_in_order(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 4)
+    monkeypatch.setattr(mixing, "AHEAD", 3)
+    rng = random.Random(8)
+    parts = {f"s{i:03}": rng.choice([1, 1, 2, 3, 40]) for i in range(60)}
+    targets = spark.createDataFrame(list(parts.items()), "source string, parts int")
+    assert sorted((r["slot"], r["source"], r["nth"]) for r in mixing.period(targets).collect()) == by_hand(parts)
+
+
 def test_many_sources(spark):
     rows = [(i, f"s{i % 9_500}") for i in range(19_000)] + [(-1 - i, "big") for i in range(6_000)] + [(None, None), (None, None), (7, "none")]
     df = spark.createDataFrame(rows, "doc_id long, source string")
     targets = mixing.tempered_parts(df.filter("source is null or source <> 'none'"))
     shares = {r["source"]: r["parts"] for r in targets.collect()}
-    assert sum(shares.values()) > mixing.MOST_PARTS and abs(shares["big"] / shares["s1"] - 3_000**0.7) < 0.07 * 3_000**0.7
-    got = mixing.scheduled(df, targets, block=2).collect()
-    assert Counter((r["doc_id"], r["source"]) for r in got) == Counter(rows)
-    assert [r["source"] for r in got if r["position"] is None] == ["none"]
-    assert len({r["position"] for r in got if r["position"] is not None}) == len(rows) - 1
+    assert sum(shares.values()) > 70_000 and abs(shares["big"] / shares["s1"] - 3_000**0.7) < 0.07 * 3_000**0.7
+    for by in ("deadlines", "halves"):
+        got = mixing.scheduled(df, targets, block=2, by=by).collect()
+        assert Counter((r["doc_id"], r["source"]) for r in got) == Counter(rows)
+        assert [r["source"] for r in got if r["position"] is None] == ["none"]
+        assert len({r["position"] for r in got if r["position"] is not None}) == len(rows) - 1
+
+
+def test_rounding_is_stated(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_PARTS", 100)
+    df = spark.createDataFrame([("a",)] * 5_000 + [("b",)] + [("c",)] * 40, "source string")
+    got = {r["source"]: (r["parts"], r["share"]) for r in mixing.tempered_parts(df, power=1.0).collect()}
+    assert got == {"a": (99, 5_000 / 5_041), "b": (1, 1 / 5_041), "c": (1, 40 / 5_041)}
+    got = mixing.tempered_parts(df, power=0.0, weight=F.length("source") + (F.col("source") == "a").cast("int"), parts=8).collect()
+    assert {r["source"]: r["parts"] for r in got} == {"a": 16, "b": 8, "c": 8}
 
 
 def test_small_targets_keep_their_proportions(spark):
