@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from legajo.llm.quality import RULES, STEPS
+from legajo.llm.quality import STEPS
 from legajo.llm.queries import LISTED_HOSTS, URL_RULES
 
-#: A rule's share of the limit on false rejection.
-RATE = 0.02 / len(RULES)
+#: The limit on false rejection.
+RATE = 0.02
 
 
 def _case(value: int) -> str:
@@ -89,38 +89,42 @@ SQL = {
         ), covered AS (
             SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest(range(8)) AS k FROM twins WHERE n > 1) GROUP BY doc_id
         ), lines AS (
-            SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM words)
+            SELECT doc_id, count(*) - count(DISTINCT x) AS n, count(*) AS n_lines FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM words)
             WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id
         ), measures AS (
             SELECT doc_id, stratum, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
-                length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines,
+                length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, n_lines,
                 coalesce(c.n, 0) AS n_repeat_words, length(regexp_replace(t, '\P{{Lu}}+', '', 'g')) AS n_capitals,
                 length(regexp_replace(t, '[^!?]+', '', 'g')) AS n_marks
             FROM words LEFT JOIN covered c USING (doc_id) LEFT JOIN lines l USING (doc_id)
         ), base AS (
             SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measures
         ), valued AS (
-            SELECT doc_id, stratum, base_failed, unnest([
-                {{'rule': 'symbols', 'step': least({STEPS}, floor(n_symbols / n_words * {STEPS}))}}, {{'rule': 'repeats', 'step': least({STEPS}, floor(n_repeat_words / n_words * {STEPS}))}},
-                {{'rule': 'capitals', 'step': least({STEPS}, floor(n_capitals / word_chars * {STEPS}))}}, {{'rule': 'marks', 'step': least({STEPS}, floor(n_marks / n_words * {STEPS}))}}
-            ], recursive := true) FROM base
+            SELECT doc_id, stratum, base_failed, least({STEPS}, floor({STEPS} * greatest(
+                coalesce(n_symbols / nullif(n_words, 0), 0), coalesce(n_repeat_words / nullif(n_words, 0), 0), coalesce(n_dup_lines / n_lines, 0),
+                coalesce(n_capitals / nullif(word_chars, 0), 0), coalesce(n_marks / nullif(n_words, 0), 0)))) AS step
+            FROM base
         ), marked AS (
             SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
         ), counted AS (
-            SELECT stratum, rule, coalesce(step, 0) AS step, count(*) FILTER (good >= 1) AS good, count(*) FILTER (good < 1) AS bad
+            SELECT stratum, step, count(*) FILTER (good >= 1) AS good, count(*) FILTER (good < 1) AS bad
             FROM valued JOIN marked USING (doc_id) WHERE NOT base_failed GROUP BY ALL
         ), tried AS (
-            SELECT stratum, rule, c, sum(good) AS n, coalesce(sum(good) FILTER (step >= c), 0) AS k, coalesce(sum(bad) FILTER (step >= c), 0) AS bad
-            FROM counted, range(1, {STEPS} + 1) AS t(c) GROUP BY ALL
+            SELECT stratum, c, sum(good) AS n, coalesce(sum(good) FILTER (step >= c), 0) AS k, coalesce(sum(bad) FILTER (step >= c), 0) AS bad
+            FROM counted, range(1, {STEPS} + 1) AS t(c) GROUP BY ALL HAVING sum(good) > 0
         ), tested AS (
-            SELECT *, (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RATE}) + (n - j) * ln(1 - {RATE})))
-                       FROM range(0, 1 + k::BIGINT) AS t(j)) AS chance
-            FROM tried WHERE k <= {RATE} * n
+            SELECT *, CASE WHEN k <= {RATE} * n THEN
+                (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RATE}) + (n - j) * ln(1 - {RATE})))
+                 FROM range(0, 1 + k::BIGINT) AS t(j)) ELSE 1 END AS chance
+            FROM tried
+        ), ends AS (
+            SELECT n, chance, sum(n) OVER (ORDER BY chance / n DESC, stratum DESC ROWS UNBOUNDED PRECEDING) AS rest FROM tested WHERE c = 1
         ), cuts AS (
-            SELECT stratum, rule, arg_max(c, (bad - 10 * k) * 1000 + c) AS cut FROM tested
-            WHERE bad - 10 * k > 0 AND chance <= 0.05 / 4 / (SELECT count(DISTINCT stratum) FROM counted) GROUP BY ALL
+            SELECT stratum, arg_max(c, (bad - 10 * k) * 1000 + c) AS cut FROM tested
+            WHERE bad - 10 * k > 0 AND chance <= 0.05 * n / greatest(n, (SELECT coalesce(max(rest) FILTER (chance > 0.05 * n / rest), 0) FROM ends))
+            GROUP BY ALL
         ), over AS (
-            SELECT DISTINCT doc_id FROM valued JOIN cuts USING (stratum, rule) WHERE step >= cut
+            SELECT DISTINCT doc_id FROM valued JOIN cuts USING (stratum) WHERE step >= cut
         )
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
             NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM over) AS kept
