@@ -88,9 +88,14 @@ def line_preview(text: Column, n: int = 5) -> Column:
     return F.array_join(F.slice(lines, 1, n), "\n")
 
 
+def sentences(text: Column, limit: int = -1) -> Column:
+    """The sentences of a text; a line's end is a sentence's end. What is behind ``limit - 1`` of them stays in one last part."""
+    return F.split(F.trim(text), rf"[{SPACE}]*\n[{SPACE}]*|(?<=[.!?])[{SPACE}]+", limit)
+
+
 def leading_sentences(text: Column, n: int = 3) -> Column:
-    """The first ``n`` sentences, joined by one blank; a line's end is a sentence's end."""
-    parts = F.split(F.trim(text), rf"[{SPACE}]*\n[{SPACE}]*|(?<=[.!?])[{SPACE}]+", n + 1)
+    """The first ``n`` sentences, joined by one blank."""
+    parts = sentences(text, n + 1)
     return F.array_join(F.slice(parts, 1, n), " ")
 
 

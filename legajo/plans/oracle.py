@@ -539,10 +539,10 @@ JOB_TITLE = f"coalesce(nullif(nullif(trim(regexp_extract(text, '{_TITLE}', 1)),
 ORACLE["extract_job_title"] = f"SELECT doc_id, {JOB_TITLE} AS job_title FROM ({C.JD_SQL})"
 
 
-def sentences(text: str) -> str:
+def sentence_list(text: str) -> str:
     blank = r"[\t-\r\x{1c}-\x{20}\x{85}\p{Z}]"
     cut = rf"regexp_replace(trim({text}), '([.!?]){blank}+|{blank}*\n{blank}*', '\1' || chr(1), 'g')"
-    return f"array_to_string(string_split({cut}, chr(1))[1:3], ' ')"
+    return f"string_split({cut}, chr(1))"
 
 
 # Lines that may say who or where somebody is.
@@ -565,12 +565,31 @@ def leading(part: str, bare: bool = False) -> str:
 prose AS (SELECT *, regexp_matches(line, '{_BULLET}') AS item FROM body WHERE ({inside}) AND {full}),
 lead AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT item),
            string_agg(regexp_extract(line, '{_BULLET}', 1), chr(10) ORDER BY pos)) AS words FROM prose GROUP BY doc_id),
-summed AS (SELECT s.doc_id, coalesce({sentences('words')}, '') AS summary FROM src s LEFT JOIN lead l ON s.doc_id = l.doc_id)"""
+summed AS (SELECT s.doc_id, coalesce(array_to_string(({sentence_list('words')})[1:3], ' '), '') AS summary FROM src s LEFT JOIN lead l ON s.doc_id = l.doc_id)"""
 
 
 for _name, _source in (("summarize", DOCS), ("summarize_cvs", _CV_TEXT)):
     ORACLE[_name] = f"WITH {lines_of(_source, known=True)}, {leading('profile', _name == 'summarize')} SELECT * FROM summed"
 
+# Two sentences: the one with the heaviest words, then the one that adds most to it.
+_RANKED = f"""
+cut AS (SELECT doc_id, {sentence_list('words')} AS parts FROM lead),
+said AS (SELECT doc_id, unnest(parts) AS s, generate_subscripts(parts, 1) AS nth FROM cut),
+toks AS (SELECT DISTINCT doc_id, nth, w FROM (SELECT doc_id, nth, unnest(regexp_extract_all(lower(s), '{WORDS}')) AS w FROM said)),
+weights AS (SELECT w, floor(1000 * ln((SELECT count(*) FROM src)::DOUBLE / count(DISTINCT doc_id)))::BIGINT AS weight FROM toks GROUP BY w),
+weighed AS (SELECT * FROM toks JOIN weights USING (w)),
+gains AS (SELECT doc_id, nth, 1000 * sum(weight) // count(*) AS gain FROM weighed GROUP BY ALL),
+firsts AS (SELECT doc_id, nth FROM gains QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY gain DESC, nth) = 1),
+taken AS (SELECT doc_id, w, true AS had FROM toks JOIN firsts USING (doc_id, nth)),
+added AS (SELECT doc_id, x.nth, 1000 * coalesce(sum(weight) FILTER (had IS NULL), 0) // count(*) AS gain
+          FROM weighed x LEFT JOIN taken USING (doc_id, w) JOIN firsts f USING (doc_id) WHERE x.nth <> f.nth GROUP BY ALL),
+picks AS (SELECT * FROM firsts UNION ALL
+          (SELECT doc_id, nth FROM added QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY gain DESC, nth) = 1)),
+ranked AS (SELECT doc_id, string_agg(s, ' ' ORDER BY nth) AS summary FROM said JOIN picks USING (doc_id, nth) GROUP BY doc_id)
+SELECT doc_id, coalesce(summary, '') AS summary FROM src LEFT JOIN ranked USING (doc_id)"""
+for _name, _source in (("summarize_ranked", DOCS), ("summarize_ranked_cvs", _CV_TEXT)):
+    ORACLE[_name] = f"WITH {lines_of(_source, known=True)}, {leading('profile', _name == 'summarize_ranked')}, {_RANKED}"
+
 _MONTH_NAMES = "ene feb mar abr may jun jul ago set oct nov dic"
 _MONTH = "(?:(ene|feb|mar|abr|may|jun|jul|ago|sep|set|oct|nov|dic)[a-z]*\\.?\\s*(?:del?\\s+)?|([0-9]{1,2})\\s*[/.]\\s*)?((?:19|20)[0-9]{2})"
 _SPAN = f"(?i)^[\\s•*-]*(?:desde\\s+)?{_MONTH}\\s*(?:-|–|—|a|al|hasta)\\s*(?:(?:la\\s+)?(actualidad|actualmente|actual|presente|hoy|fecha)|{_MONTH})(?:[^\\p{{L}}\\p{{N}}_]|$)"

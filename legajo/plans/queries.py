@@ -13,7 +13,7 @@ from legajo.functions import redact as R
 from legajo.functions import text as T
 from legajo.functions.contract import CV_RULES, JD_RULES, record_schema
 from legajo.operators import anonymize as A
-from legajo.operators import assemble, attempts, correlate, extract, match, records, requests, segment, validate
+from legajo.operators import assemble, attempts, correlate, extract, match, ranked, records, requests, segment, validate
 from legajo.plans import corpora as C
 from legajo.plans import replies as lifecycle
 from legajo.session import scratch_path
@@ -521,6 +521,16 @@ def _cv_records(corpus: DataFrame, costs: segment.Costs | None = None) -> DataFr
     return _flat(records.build_cv_records(corpus, SALT, as_of=F.lit(C.AS_OF).cast("date"), costs=costs), CV_RULES)
 
 
+@query
+def summarize_ranked(spark, sf_dir):
+    return ranked.summarize_ranked(_documents(spark, sf_dir), plain=True)
+
+
+@query
+def summarize_ranked_cvs(spark, sf_dir):
+    return ranked.summarize_ranked(C.cv_corpus(spark, sf_dir))
+
+
 @query
 def build_cv_records(spark, sf_dir):
     return _cv_records(C.cv_corpus(spark, sf_dir))
