@@ -129,7 +129,7 @@ def test_many_blocks_ready_are_taken_in_order(spark, monkeypatch):
 
 
 def test_many_sources(spark):
-    rows = [(i, f"s{i % 1_900}") for i in range(19_000)] + [(-1 - i, "big") for i in range(6_000)] + [(None, None), (None, None), (7, "none")]
+    rows = [(i, f"s{i % 1_900}") for i in range(3_800)] + [(-1 - i, "big") for i in range(6_000)] + [(None, None), (None, None), (7, "none")]
     df = spark.createDataFrame(rows, "doc_id long, source string")
     targets = mixing.tempered_parts(df.filter("source is null or source <> 'none'"))
     shares = {r["source"]: r["parts"] for r in targets.collect()}
