@@ -8,18 +8,28 @@ from pyspark.sql import functions as F
 from legajo.functions import extract as X
 from legajo.functions import lexicon as L
 from legajo.functions import text as T
-from legajo.operators.extract import with_sections
+from legajo.operators.extract import _bucket, _constant, with_sections
+from legajo.session import scratch_path
+
+
+def _weight(tagged: Column) -> Column:
+    """The weight of a ``word weight`` string; the two go as one, so that sets of them are compared by hashes."""
+    return F.substring_index(tagged, " ", -1).cast("long")
+
+
+def _total(tagged: Column) -> Column:
+    return F.aggregate(tagged, F.lit(0).cast("long"), lambda a, w: a + _weight(w))
 
 
 def _picked(sentences: Column, n: int) -> Column:
     """Numbers of the ``n`` sentences taken one after the other, in order; each time the one that adds most for its words.
 
     A sentence adds the weights of those of its words that no sentence taken before it has. Ties go to the earlier one.
+    ``sentences`` holds (at, words, total) and should be a plain column.
     """
 
     def adds(s: Column, taken: Column) -> Column:
-        new = F.array_except(s["words"], taken)
-        gain = F.aggregate(new, F.lit(0).cast("long"), lambda a, w: a + w["weight"])
+        gain = s["total"] - _total(F.array_intersect(s["words"], taken))
         gain = F.call_function("div", gain * 1000, F.size(s["words"]))
         return F.struct(gain.alias("gain"), (-s["at"]).alias("at"), s["words"].alias("words"))
 
@@ -33,37 +43,100 @@ def _picked(sentences: Column, n: int) -> Column:
             F.concat(a["taken"], F.flatten(F.transform(found, lambda b: b["words"]))).alias("taken"),
         )
 
-    none = F.struct(F.array().cast("array<int>").alias("picked"), F.array().cast("array<struct<word:string,weight:bigint>>").alias("taken"))
+    none = F.struct(F.array().cast("array<int>").alias("picked"), F.array().cast("array<string>").alias("taken"))
     return F.array_sort(F.aggregate(F.sequence(F.lit(1), F.lit(n)), none, step, lambda a: a["picked"]))
 
 
-def summarize_ranked(df: DataFrame, doc: str = "doc_id", text: str = "text", sentences: int = 2, plain: bool = False) -> DataFrame:
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add ``name``, computed once per row however often it is read."""
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
+def _packed(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below ``spark.checkpoint.dir``, densely, and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _weight_index(weights: DataFrame, buckets: int) -> Column:
+    """All of (word, weight) as one constant: ``buckets`` arrays of them, dealt by their word."""
+    held = weights.groupBy(_bucket(F.col("word"), buckets).alias("id")).agg(F.collect_list(F.struct("word", "weight")).alias("words"))
+    none = F.array().cast(held.schema["words"].dataType)
+    dense = weights.sparkSession.range(buckets).join(held, "id", "left").select("id", F.coalesce("words", none).alias("words"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("id").cast("int").alias("id"), "words")))
+    return _constant(dense.agg(F.transform(ordered, lambda b: b["words"]).alias("index")))
+
+
+def _by_sentence(held: Column) -> Column:
+    """Weights by the number of their sentence, from (at, weights) in that order; sentences between them have none."""
+    none = F.array().cast("array<bigint>")
+
+    def upto(h: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(held, i - 1)["at"], F.lit(-1))
+        return F.concat(F.array_repeat(none, h["at"] - before - 1), F.array(h["weights"]))
+
+    return F.flatten(F.transform(held, upto))
+
+
+def summarize_ranked(
+    df: DataFrame, doc: str = "doc_id", text: str = "text", sentences: int = 2, plain: bool = False, common: int = 1 << 16
+) -> DataFrame:
     """(``doc``, summary): the sentences of a CV's profile section that say most, in their order, without lines that may tell who it is about.
 
     Texts and ``plain`` are those of ``summarize``. A word weighs ``1000 ln(rows / rows that have it)``, counted over these sentences of all rows;
     a sentence without a word is none. Each row gives a row, also with a null or repeated ``doc``; without a sentence the summary is ``""``.
 
-    Equal texts are one class with a count, so that a text which many rows repeat is split into words once; words meet their weights in a plain join, whose hot
-    words adaptive skew handling divides. A class's words come together in one row, which grows with its text only.
+    The sentences to choose from are cut once and written. Rows that have a word are counted map-side. The ``common`` words of most rows go to the tasks
+    as one constant and are weighed where the text lies; only other words leave their text, to meet their weights in a join whose words are all rare, and the
+    weights come back in one row per text. Every word has its weight, whatever ``common`` is; a corpus with no more words than that shuffles counts only.
     """
     cut = with_sections(df.select(doc, text), text, known=True)
     lines = X.section_lines(F.col("sections"), L.SECTIONS["profile"])
     if plain:
         bare = ~F.exists("sections", lambda s: s["section"].isNotNull())
         lines = F.when(bare, F.flatten(F.transform("sections", lambda s: s["lines"]))).otherwise(lines)
-    rows = cut.withColumn("_lines", lines)
-    body = F.array_join(F.coalesce(X.prose(F.col("_lines"), not plain), F.array()), "\n")
-    rows = rows.select(doc, body.alias("_body")).withColumn("_key", F.sha2("_body", 256))
-    texts = rows.groupBy("_key").agg(F.min("_body").alias("_body"), F.count("*").alias("_n"))
-    split = texts.select("_key", "_n", F.posexplode(T.sentences(F.col("_body"))).alias("at", "sentence"))
-    words = split.select("_key", "_n", "at", F.explode(F.array_distinct(X.words(F.col("sentence")))).alias("word"))
-    held = words.select("_key", "_n", "word").distinct().groupBy("word").agg(F.sum("_n").alias("_rows"))
-    total = texts.agg(F.sum("_n")).scalar()
-    weights = held.select("word", F.floor(1000 * F.log(total.cast("double") / F.col("_rows"))).cast("long").alias("weight"))
-    weighed = words.join(weights, "word").groupBy("_key", "at").agg(F.collect_list(F.struct("word", "weight")).alias("words"))
-    weighed = weighed.groupBy("_key").agg(F.collect_list(F.struct("at", "words")).alias("_sentences"))
-    picked = weighed.select("_key", _picked(F.col("_sentences"), sentences).alias("_picked"))
-    parts = T.sentences(F.col("_body"))
-    said = texts.join(picked, "_key").withColumn("_parts", parts)
-    said = said.select("_key", F.array_join(F.transform("_picked", lambda i: F.get("_parts", i)), " ").alias("_said"))
-    return rows.select(doc, "_key").join(said, "_key", "left").select(doc, F.coalesce("_said", F.lit("")).alias("summary"))
+    cut = _once(_once(cut.select(F.col(doc).alias("_doc"), "sections"), "_lines", lines), "_prose", X.prose(F.col("_lines"), not plain))
+    body = F.array_join(F.coalesce("_prose", F.array()), "\n")
+    cut = _once(cut.select("_doc", body.alias("_body")), "_parts", T.sentences(F.col("_body")))
+    texts = _packed(cut.select("_doc", F.monotonically_increasing_id().alias("_id"), "_parts"), "ranked-texts")
+    total = texts.count()
+    words = F.transform("_parts", lambda s: F.array_distinct(X.words(s)))
+    # "outer", as the filter that Spark adds to other explodes would find the words once more.
+    each = texts.select(F.explode_outer(F.array_distinct(F.flatten(words))).alias("word")).filter("word is not null")
+    rows = _packed(each.groupBy("word").agg(F.count("*").alias("_rows")), "ranked-words")
+    weight = F.floor(1000 * F.log(F.lit(float(total)) / F.col("_rows"))).cast("long")
+    weights = rows.select("word", "_rows", weight.alias("weight"))
+    known = rows.count()
+    top = weights if known <= common else weights.orderBy(F.desc("_rows"), "word").limit(common)
+    buckets = 1 << max(4, min(known, common).bit_length())
+    index = _weight_index(top, buckets)
+    # Null for a word that is not in the index.
+    weight_of = lambda w: F.get(F.filter(F.get(index, _bucket(w, buckets)), lambda e: e["word"] == w), F.lit(0))["weight"]
+    tagged = lambda w, weight: F.concat_ws(" ", w, weight.cast("string"))
+    if known <= common:
+        here = F.transform(words, lambda ws: F.transform(ws, lambda w: tagged(w, weight_of(w))))
+        cut = _once(texts, "_words", here)
+    else:
+        rare = F.transform(words, lambda ws: F.filter(ws, lambda w: weight_of(w).isNull()))
+        left = texts.select("_id", F.posexplode_outer(rare).alias("at", "rare")).select("_id", "at", F.posexplode_outer("rare").alias("nth", "word"))
+        # A text's words are together in one task, whose two aggregates need no other shuffle.
+        met = left.filter("word is not null").join(weights, "word").select("_id", "at", "nth", "weight").repartition("_id")
+        in_order = F.array_sort(F.collect_list(F.struct("nth", "weight")))
+        held = met.groupBy("_id", "at").agg(F.transform(in_order, lambda e: e["weight"]).alias("weights"))
+        held = held.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("at", "weights"))).alias("_held"))
+        here = F.transform(words, lambda ws: F.transform(ws, lambda w: F.struct(w.alias("word"), weight_of(w).alias("weight"))))
+        cut = _once(_once(texts.join(held, "_id", "left"), "_here", here), "_rare", _by_sentence(F.col("_held")))
+
+        def whole(ws: Column, at: Column) -> Column:
+            common_ones = F.transform(F.filter(ws, lambda w: w["weight"].isNotNull()), lambda w: tagged(w["word"], w["weight"]))
+            others = F.filter(ws, lambda w: w["weight"].isNull())
+            others = F.zip_with(others, F.coalesce(F.get("_rare", at), F.array().cast("array<bigint>")), lambda w, weight: tagged(w["word"], weight))
+            return F.concat(common_ones, others)
+
+        cut = _once(cut.select("_doc", "_parts", "_here", "_rare"), "_words", F.transform("_here", whole))
+    numbered = F.filter(F.transform("_words", lambda ws, at: F.struct(at.alias("at"), ws.alias("words"))), lambda s: F.size(s["words"]) > 0)
+    summed = F.transform(numbered, lambda s: F.struct(s["at"], s["words"], _total(s["words"]).alias("total")))
+    cut = _once(cut.select("_doc", "_parts", "_words"), "_sentences", summed)
+    cut = _once(cut.select("_doc", "_parts", "_sentences"), "_picked", _picked(F.col("_sentences"), sentences))
+    return cut.select(F.col("_doc").alias(doc), F.array_join(F.transform("_picked", lambda i: F.get("_parts", i)), " ").alias("summary"))

@@ -51,6 +51,23 @@ def test_two_sentences_where_there_are_two_and_nothing_private(spark):
     assert not any(w in s for s in got.values() for w in ("Quispe", "Olmos", "@", "Inglés"))
 
 
+def test_words_beyond_the_common_ones_weigh_as_they_should(spark):
+    rng = random.Random(5)
+    sentence = lambda: " ".join(f"p{int(rng.paretovariate(0.5)) % 400}" for _ in range(rng.randint(1, 9))) + rng.choice(".!?")
+    texts = [" ".join(sentence() for _ in range(rng.randint(1, 7))) for _ in range(120)]
+    texts += [None, "", "única", "p1 p1. !!! zz", *texts[:9], " ".join(sentence() for _ in range(500))]
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    want = Counter((i // 2, s) for i, s in enumerate(by_hand(texts, 3)))
+    for common in (1, 20, 1 << 16):
+        assert Counter(tuple(r) for r in summarize_ranked(df, sentences=3, plain=True, common=common).collect()) == want
+
+
+def test_a_corpus_of_common_words_shuffles_no_text(spark):
+    df = spark.createDataFrame([(1, "uno dos. tres"), (2, "dos. cuatro")], "doc_id int, text string")
+    plan = summarize_ranked(df, plain=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_no_pairs_of_rows(spark):
     df = spark.createDataFrame([(1, "uno dos. tres")], "doc_id int, text string")
     plan = summarize_ranked(df, plain=True)._jdf.queryExecution().executedPlan().toString()
