@@ -8,6 +8,7 @@ aggregate: every part either goes on or is entered from the part that was cheape
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -54,11 +55,15 @@ class Costs:
     other: Sequence[Sequence[int]]
 
 
+def _let(value: Column, then) -> Column:
+    """``then`` of ``value``, which is computed once however often it is read."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def kinds(lines: Column) -> Column:
     """The number of each line's kind: those of KINDS, a line that may be private, anything else, and known headings by their part."""
 
-    def kind(line: Column, i: Column) -> Column:
-        known = X.heading_name(line)
+    def kind(line: Column, i: Column, known: Column) -> Column:
         out = F.when(F.rlike(line, F.lit(KINDS["blank"])), 0)
         for part, names in enumerate(L.SECTIONS.values()):
             out = out.when(known.isin(*X.heading_names(names)), _HEADINGS + part)
@@ -72,7 +77,7 @@ def kinds(lines: Column) -> Column:
                 out = out.when(F.rlike(line, F.lit(pattern)), n)
         return out.otherwise(_TEXT)
 
-    return F.transform(lines, kind)
+    return F.transform(lines, lambda line, i: _let(X.heading_name(line), lambda known: kind(line, i, known)))
 
 
 _SELDOM = 0.001
@@ -118,36 +123,35 @@ def learn(df: DataFrame, text: str = "text", strange: float = 0.15, unlike: floa
     return Costs(enter, stay, first_costs, other_costs)
 
 
-def _let(value: Column, then) -> Column:
-    """``then`` of ``value``, which is computed once however often it is read."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def labelled(kinds: Column, costs: Costs) -> Column:
     """(start, part) of the cheapest labelling of lines of these kinds; parts by number."""
-    flat = lambda rows: F.array(*[F.lit(c).cast("long") for row in rows for c in row])
-    first, other, enter, stay = flat(costs.first), flat(costs.other), flat([costs.enter]), flat([costs.stay])
     none = 1 << 40
+    far = lambda p, k: costs.enter[p] + costs.first[p][k] if p else none
+    near = lambda p, k: costs.stay[p] + costs.other[p][k]
+    cell = lambda p, k: {"on": near(p, k), "new": far(p, k), "gap": far(p, k) - near(p, k)}
+    # A row for each kind, with what a line of it adds in each part; one constant.
+    cells = [[cell(p, k) for p in range(len(PARTS))] for k in range(_N_KINDS)]
+    table = F.from_json(F.lit(json.dumps(cells)), "array<array<struct<on:bigint,new:bigint,gap:bigint>>>")
     path = F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("part")))
-    state = lambda cost: F.struct(F.lit(cost).cast("long").alias("cost"), path.alias("path"))
-    begin = F.array(state(0), *[state(none)] * (len(PARTS) - 1))
-    cheapest = lambda a: F.array_min(F.transform(a, lambda x, s: F.struct(x["cost"].alias("cost"), s.alias("part"))))
+    state = lambda cost, p: F.struct(F.lit(cost).cast("long").alias("cost"), F.lit(p).alias("part"), path.alias("path"))
+    begin = F.array(state(0, 0), *[state(none, p) for p in range(1, len(PARTS))])
+    # By cost, then by part, of which there is one each.
+    cheapest = F.array_min
 
     def step(a: Column, line: Column) -> Column:
         def after(best: Column) -> Column:
-            def one(x: Column, s: Column) -> Column:
-                at = s * _N_KINDS + line["kind"]
-                on = x["cost"] + F.get(stay, s) + F.get(other, at)
-                new = F.when(s == 0, F.lit(none).cast("long")).otherwise(best["cost"] + F.get(enter, s) + F.get(first, at))
-                opened = F.concat(F.get(a, best["part"])["path"], F.array(F.struct(line["at"].alias("start"), s.alias("part"))))
-                return F.when(on <= new, F.struct(on.alias("cost"), x["path"].alias("path"))).otherwise(F.struct(new.alias("cost"), opened.alias("path")))
+            def one(x: Column, c: Column) -> Column:
+                opened = F.concat(best["path"], F.array(F.struct(line["at"].alias("start"), x["part"].alias("part"))))
+                goes_on = F.struct((x["cost"] + c["on"]).alias("cost"), x["part"].alias("part"), x["path"].alias("path"))
+                enters = F.struct((best["cost"] + c["new"]).alias("cost"), x["part"].alias("part"), opened.alias("path"))
+                return F.when(x["cost"] - best["cost"] <= c["gap"], goes_on).otherwise(enters)
 
-            return F.transform(a, one)
+            return F.zip_with(a, F.get(table, line["kind"]), one)
 
         return _let(cheapest(a), after)
 
     numbered = F.transform(kinds, lambda k, i: F.struct(i.alias("at"), k.alias("kind")))
-    return F.aggregate(numbered, begin, step, lambda a: F.get(a, cheapest(a)["part"])["path"])
+    return F.aggregate(numbered, begin, step, lambda a: cheapest(a)["path"])
 
 
 def segmented(df: DataFrame, costs: Costs, text: str = "text", out: str = "sections") -> DataFrame:

@@ -3,6 +3,8 @@
 import itertools
 import random
 
+from pyspark.sql import functions as F
+
 from legajo.operators import segment
 from legajo.plans import corpora as C
 
@@ -68,3 +70,9 @@ def test_costs_of_an_empty_table(spark):
     df = spark.createDataFrame([("IDIOMAS\nInglés: B2",)], "text string")
     sections = segment.segmented(df, costs).first()["sections"]
     assert [s["section"] for s in sections][-1] == "languages"
+
+
+def test_a_line_is_folded_once_to_find_its_kind(spark):
+    # Lambdas share nothing: an expression that nine branches read would be computed in each.
+    plan = lambda c: spark.range(1).selectExpr("array('a') AS lines").select(c.alias("kinds"))._jdf.queryExecution().analyzed().toString()
+    assert plan(segment.kinds(F.col("lines"))).count("translate(lower(") == 1
