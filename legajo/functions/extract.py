@@ -29,7 +29,7 @@ _YEARS = (
 )
 _TITLE_LINE = rf"(?imu)^(?:posición|puesto|cargo|título)[ \t]*:[ \t]*([^{SPACE}].*)$"
 _DATED = rf"^[0-9]{{4}}[{SPACE}]*-[{SPACE}]*[\p{{L}}\p{{N}}]+[{SPACE}]*:[{SPACE}]*([^{SPACE}].*?)(?<=[^{SPACE}])[{SPACE}]++—[{SPACE}]+[^{SPACE}]"
-_BULLET = rf"^[{SPACE}]*[-•][{SPACE}]*(.*[^{SPACE}])[{SPACE}]*$"
+_BULLET = rf"^[{SPACE}]*+[-•][{SPACE}]*+(.*[^{SPACE}])[{SPACE}]*$"
 _LANGUAGE_PAIR = (
     rf"^[{SPACE}-]*+(\p{{L}}++(?: ++\p{{L}}++)*+)[{SPACE}]*+:[{SPACE}]*+"
     rf"([^(:{SPACE}]++(?:[{SPACE}]++[^(:{SPACE}]++)*+)[{SPACE}]*+(?:\(.*)?$"
@@ -163,9 +163,11 @@ def private(line: Column) -> Column:
 
 def prose(lines: Column, public: bool = False) -> Column:
     """Lines that are text and no list; where there is none, the items of the list. With ``public`` none that is ``private``."""
-    full = F.filter(lines, lambda l: F.rlike(l, F.lit(rf"[^{SPACE}]")) & (~private(l) if public else F.lit(True)))
-    text = F.filter(full, lambda l: ~F.rlike(l, F.lit(_BULLET)))
-    return F.when(F.size(text) > 0, text).otherwise(bullets(full))
+    # Each list is the element of an array of one, as what a lambda names is computed once.
+    full = F.array(F.filter(lines, lambda l: F.rlike(l, F.lit(rf"[^{SPACE}]")) & (~private(l) if public else F.lit(True))))
+    text = lambda f: F.array(F.filter(f, lambda l: ~F.rlike(l, F.lit(_BULLET))))
+    either = lambda f: F.transform(text(f), lambda t: F.when(F.size(t) > 0, t).otherwise(bullets(f)))
+    return F.get(F.flatten(F.transform(full, either)), F.lit(0))
 
 
 def free_lines(sections: Column) -> Column:

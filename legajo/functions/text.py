@@ -18,6 +18,9 @@ NO_TITLE = "Puesto sin título"
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 _CASE_RUNS = rf"([{_CASED}]+|[^{_CASED}]+)"
 _TOKEN = rf"[{WORD}]+|[^{WORD}{SPACE}]"
+# Blanks behind a mark, or with a line's end among them; a run of them is read from its first one only, and once.
+_BLANK = SPACE.replace(r"\t-\r", r"\t\x0b-\r")
+_SENTENCE_END = rf"(?<=[.!?])[{SPACE}]++|\n[{SPACE}]*+|[{_BLANK}](?<![{SPACE}]{{2}})[{_BLANK}]*+\n[{SPACE}]*+"
 
 
 def _title_run(run: Column) -> Column:
@@ -90,7 +93,7 @@ def line_preview(text: Column, n: int = 5) -> Column:
 
 def sentences(text: Column, limit: int = -1) -> Column:
     """The sentences of a text; a line's end is a sentence's end. What is behind ``limit - 1`` of them stays in one last part."""
-    return F.split(F.trim(text), rf"[{SPACE}]*\n[{SPACE}]*|(?<=[.!?])[{SPACE}]+", limit)
+    return F.split(F.trim(text), _SENTENCE_END, limit)
 
 
 def leading_sentences(text: Column, n: int = 3) -> Column:

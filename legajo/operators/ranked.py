@@ -12,20 +12,25 @@ from legajo.operators.extract import _bucket, _constant, with_sections
 from legajo.session import scratch_path
 
 
-def _weight(tagged: Column) -> Column:
-    """The weight of a ``word weight`` string; the two go as one, so that sets of them are compared by hashes."""
-    return F.substring_index(tagged, " ", -1).cast("long")
+#: Bits of a code that hold its word's weight: 1000 ln of any number of rows is below 2 ** 16.
+WEIGHT_BITS = 16
 
 
-def _total(tagged: Column) -> Column:
-    return F.aggregate(tagged, F.lit(0).cast("long"), lambda a, w: a + _weight(w))
+def _code(number: Column, weight: Column) -> Column:
+    """A word as one number, its own and its weight side by side: sets of them are compared by hashes and carry their weights along."""
+    return F.shiftleft(number, WEIGHT_BITS).bitwiseOR(weight)
+
+
+def _total(codes: Column) -> Column:
+    weight = lambda code: code.bitwiseAND(F.lit((1 << WEIGHT_BITS) - 1).cast("long"))
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda a, c: a + weight(c))
 
 
 def _picked(sentences: Column, n: int) -> Column:
     """Numbers of the ``n`` sentences taken one after the other, in order; each time the one that adds most for its words.
 
     A sentence adds the weights of those of its words that no sentence taken before it has. Ties go to the earlier one.
-    ``sentences`` holds (at, words, total) and should be a plain column.
+    ``sentences`` holds (at, words, total), words by their codes, and should be a plain column.
     """
 
     def adds(s: Column, taken: Column) -> Column:
@@ -33,18 +38,16 @@ def _picked(sentences: Column, n: int) -> Column:
         gain = F.call_function("div", gain * 1000, F.size(s["words"]))
         return F.struct(gain.alias("gain"), (-s["at"]).alias("at"), s["words"].alias("words"))
 
-    def step(a: Column, _: Column) -> Column:
-        left = F.filter(sentences, lambda s: ~F.array_contains(a["picked"], s["at"]))
-        best = F.array_max(F.transform(left, lambda s: adds(s, a["taken"])))
+    def step(picked: Column, _: Column) -> Column:
+        left = F.filter(sentences, lambda s: ~F.exists(picked, lambda b: -b["at"] == s["at"]))
+        # An array of one, whose element names the words taken, so that they are gathered once and not for each sentence.
+        taken = F.array(F.flatten(F.transform(picked, lambda b: b["words"])))
+        best = F.transform(taken, lambda words: F.array_max(F.transform(left, lambda s: adds(s, words))))
         # An array of none or one, so that a text with fewer sentences gives them all.
-        found = F.filter(F.array(best), lambda b: b.isNotNull())
-        return F.struct(
-            F.concat(a["picked"], F.transform(found, lambda b: -b["at"])).alias("picked"),
-            F.concat(a["taken"], F.flatten(F.transform(found, lambda b: b["words"]))).alias("taken"),
-        )
+        return F.concat(picked, F.filter(best, lambda b: b.isNotNull()))
 
-    none = F.struct(F.array().cast("array<int>").alias("picked"), F.array().cast("array<string>").alias("taken"))
-    return F.array_sort(F.aggregate(F.sequence(F.lit(1), F.lit(n)), none, step, lambda a: a["picked"]))
+    none = F.array().cast("array<struct<gain:bigint,at:int,words:array<bigint>>>")
+    return F.array_sort(F.aggregate(F.sequence(F.lit(1), F.lit(n)), none, step, lambda picked: F.transform(picked, lambda b: -b["at"])))
 
 
 def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -59,22 +62,22 @@ def _packed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _weight_index(weights: DataFrame, buckets: int) -> Column:
-    """All of (word, weight) as one constant: ``buckets`` arrays of them, dealt by their word."""
-    held = weights.groupBy(_bucket(F.col("word"), buckets).alias("id")).agg(F.collect_list(F.struct("word", "weight")).alias("words"))
+def _code_index(codes: DataFrame, buckets: int) -> Column:
+    """All of (word, code) as one constant: ``buckets`` arrays of them, dealt by their word."""
+    held = codes.groupBy(_bucket(F.col("word"), buckets).alias("id")).agg(F.collect_list(F.struct("word", "code")).alias("words"))
     none = F.array().cast(held.schema["words"].dataType)
-    dense = weights.sparkSession.range(buckets).join(held, "id", "left").select("id", F.coalesce("words", none).alias("words"))
+    dense = codes.sparkSession.range(buckets).join(held, "id", "left").select("id", F.coalesce("words", none).alias("words"))
     ordered = F.array_sort(F.collect_list(F.struct(F.col("id").cast("int").alias("id"), "words")))
     return _constant(dense.agg(F.transform(ordered, lambda b: b["words"]).alias("index")))
 
 
 def _by_sentence(held: Column) -> Column:
-    """Weights by the number of their sentence, from (at, weights) in that order; sentences between them have none."""
+    """Codes by the number of their sentence, from (at, codes) in that order; sentences between them have none."""
     none = F.array().cast("array<bigint>")
 
     def upto(h: Column, i: Column) -> Column:
         before = F.coalesce(F.get(held, i - 1)["at"], F.lit(-1))
-        return F.concat(F.array_repeat(none, h["at"] - before - 1), F.array(h["weights"]))
+        return F.concat(F.array_repeat(none, h["at"] - before - 1), F.array(h["codes"]))
 
     return F.flatten(F.transform(held, upto))
 
@@ -88,8 +91,8 @@ def summarize_ranked(
     a sentence without a word is none. Each row gives a row, also with a null or repeated ``doc``; without a sentence the summary is ``""``.
 
     The sentences to choose from are cut once and written. Rows that have a word are counted map-side. The ``common`` words of most rows go to the tasks
-    as one constant and are weighed where the text lies; only other words leave their text, to meet their weights in a join whose words are all rare, and the
-    weights come back in one row per text. Every word has its weight, whatever ``common`` is; a corpus with no more words than that shuffles counts only.
+    as one constant and are weighed where the text lies; only other words leave their text, to meet their weights in a join whose words are all rare, and come
+    back as numbers in one row per text. Every word has its weight and a number of its own, whatever ``common`` is; a corpus with no more words than that shuffles counts only.
     """
     cut = with_sections(df.select(doc, text), text, known=True)
     lines = X.section_lines(F.col("sections"), L.SECTIONS["profile"])
@@ -104,37 +107,31 @@ def summarize_ranked(
     words = F.transform("_parts", lambda s: F.array_distinct(X.words(s)))
     # "outer", as the filter that Spark adds to other explodes would find the words once more.
     each = texts.select(F.explode_outer(F.array_distinct(F.flatten(words))).alias("word")).filter("word is not null")
-    rows = _packed(each.groupBy("word").agg(F.count("*").alias("_rows")), "ranked-words")
+    # As many parts as leave the number of a word room beside its weight.
+    counted = each.groupBy("word").agg(F.count("*").alias("_rows")).coalesce(1 << 14)
+    rows = _packed(counted.withColumn("_number", F.monotonically_increasing_id()), "ranked-words")
     weight = F.floor(1000 * F.log(F.lit(float(total)) / F.col("_rows"))).cast("long")
-    weights = rows.select("word", "_rows", weight.alias("weight"))
+    codes = rows.select("word", "_rows", _code(F.col("_number"), weight).alias("code"))
     known = rows.count()
-    top = weights if known <= common else weights.orderBy(F.desc("_rows"), "word").limit(common)
+    top = codes if known <= common else codes.orderBy(F.desc("_rows"), "word").limit(common)
     buckets = 1 << max(4, min(known, common).bit_length())
-    index = _weight_index(top, buckets)
+    index = _code_index(top, buckets)
     # Null for a word that is not in the index.
-    weight_of = lambda w: F.get(F.filter(F.get(index, _bucket(w, buckets)), lambda e: e["word"] == w), F.lit(0))["weight"]
-    tagged = lambda w, weight: F.concat_ws(" ", w, weight.cast("string"))
+    code_of = lambda w: F.get(F.filter(F.get(index, _bucket(w, buckets)), lambda e: e["word"] == w), F.lit(0))["code"]
+    here = F.transform(words, lambda ws: F.array_compact(F.transform(ws, code_of)))
     if known <= common:
-        here = F.transform(words, lambda ws: F.transform(ws, lambda w: tagged(w, weight_of(w))))
         cut = _once(texts, "_words", here)
     else:
-        rare = F.transform(words, lambda ws: F.filter(ws, lambda w: weight_of(w).isNull()))
-        left = texts.select("_id", F.posexplode_outer(rare).alias("at", "rare")).select("_id", "at", F.posexplode_outer("rare").alias("nth", "word"))
+        rare = F.transform(words, lambda ws: F.filter(ws, lambda w: code_of(w).isNull()))
+        left = texts.select("_id", F.posexplode_outer(rare).alias("at", "rare")).select("_id", "at", F.explode_outer("rare").alias("word"))
         # A text's words are together in one task, whose two aggregates need no other shuffle.
-        met = left.filter("word is not null").join(weights, "word").select("_id", "at", "nth", "weight").repartition("_id")
-        in_order = F.array_sort(F.collect_list(F.struct("nth", "weight")))
-        held = met.groupBy("_id", "at").agg(F.transform(in_order, lambda e: e["weight"]).alias("weights"))
-        held = held.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("at", "weights"))).alias("_held"))
-        here = F.transform(words, lambda ws: F.transform(ws, lambda w: F.struct(w.alias("word"), weight_of(w).alias("weight"))))
+        met = left.filter("word is not null").join(codes, "word").select("_id", "at", "code").repartition("_id")
+        held = met.groupBy("_id", "at").agg(F.collect_list("code").alias("codes"))
+        held = held.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("at", "codes"))).alias("_held"))
         cut = _once(_once(texts.join(held, "_id", "left"), "_here", here), "_rare", _by_sentence(F.col("_held")))
-
-        def whole(ws: Column, at: Column) -> Column:
-            common_ones = F.transform(F.filter(ws, lambda w: w["weight"].isNotNull()), lambda w: tagged(w["word"], w["weight"]))
-            others = F.filter(ws, lambda w: w["weight"].isNull())
-            others = F.zip_with(others, F.coalesce(F.get("_rare", at), F.array().cast("array<bigint>")), lambda w, weight: tagged(w["word"], weight))
-            return F.concat(common_ones, others)
-
-        cut = _once(cut.select("_doc", "_parts", "_here", "_rare"), "_words", F.transform("_here", whole))
+        none = F.array().cast("array<bigint>")
+        whole = F.transform("_here", lambda ws, at: F.concat(ws, F.coalesce(F.get("_rare", at), none)))
+        cut = _once(cut.select("_doc", "_parts", "_here", "_rare"), "_words", whole)
     numbered = F.filter(F.transform("_words", lambda ws, at: F.struct(at.alias("at"), ws.alias("words"))), lambda s: F.size(s["words"]) > 0)
     summed = F.transform(numbered, lambda s: F.struct(s["at"], s["words"], _total(s["words"]).alias("total")))
     cut = _once(cut.select("_doc", "_parts", "_words"), "_sentences", summed)

@@ -2,10 +2,17 @@
 
 import random
 import re
+import time
 from collections import Counter
 from math import floor, log
 
+from pyspark.sql import functions as F
+
+from legajo.functions import extract as X
+from legajo.functions import text as T
+from legajo.operators import ranked
 from legajo.operators.ranked import summarize_ranked
+from legajo.plans.queries import REGISTRY
 
 
 def by_hand(texts, n):
@@ -72,3 +79,40 @@ def test_no_pairs_of_rows(spark):
     df = spark.createDataFrame([(1, "uno dos. tres")], "doc_id int, text string")
     plan = summarize_ranked(df, plain=True)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+def test_sentences_are_tried_once_for_each_taken_and_words_are_numbers(spark):
+    df = spark.createDataFrame([(1, "uno dos. tres"), (2, "dos. cuatro")], "doc_id int, text string")
+    plan = summarize_ranked(df, plain=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("array_max(") == 1 and "substring_index" not in plan
+
+
+def test_keys_are_dealt_before_texts_are_cut(spark, monkeypatch):
+    plans, packed = {}, ranked._packed
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return packed(df, name)
+
+    monkeypatch.setattr(ranked, "_packed", kept)
+    REGISTRY["summarize_ranked_cvs"](spark, "/root/testdata/sf0.001")
+    above, below = plans["ranked-texts"].split("RoundRobinPartitioning")
+    # One file of keys is one task, which must not cut all texts.
+    assert "split(" in above and not any(f in below for f in ("split(", "RLIKE", "concat("))
+
+
+def test_lines_are_judged_once(spark):
+    df = spark.createDataFrame([(["Rosa Quispe", "Hace informes."],), (["- a", "Av. Sol 3"],), ([],), (None,)], "l array<string>")
+    out = df.select(X.prose(F.col("l"), public=True).alias("p"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("RLIKE(") == 5
+    assert [r["p"] for r in out.collect()] == [["Hace informes."], ["a"], [], None]
+
+
+def test_long_runs_of_blanks_are_read_once(spark):
+    run = F.repeat(F.lit(" "), 60_000)
+    cuts = T.sentences(F.concat(F.lit("Uno."), run, F.lit("dos"), run, F.lit("tres\n cuatro")))
+    listed = X.prose(F.array(F.concat(F.lit("-"), run), F.concat(F.lit("- a"), run)))
+    began = time.monotonic()
+    (row,) = spark.range(1).select(F.size(cuts).alias("n"), listed.alias("listed")).collect()
+    assert time.monotonic() - began < 10
+    assert row["n"] == 3 and [i.strip() for i in row["listed"]] == ["-"]
