@@ -32,7 +32,7 @@ from legajo.llm.scratch import saved
 #: A float32 product of places is off by less than SLACK; a double product of vectors by less than EXACT.
 SLACK, EXACT = 1e-4, 1e-9
 #: Blocks in a strip, strips that a task reads from either side, bytes of a strip and pairs that are compared at once, at most or so.
-STRIP, SIDE, STRIP_BYTES, AT_ONCE = 16, 4, 1 << 23, 1 << 20
+STRIP, SIDE, STRIP_BYTES, AT_ONCE = 16, 8, 1 << 23, 1 << 20
 DEALT_ROW = "leaf int, given binary, low long, known boolean, weight long"
 STRIP_ROW = "at long, low array<double>, high array<double>, cuts binary, given binary, weights binary, lows binary, known binary"
 
